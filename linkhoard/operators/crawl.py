@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import NO_LIMIT, check_limit
 from ..functions import html, http
 from ..functions import urls as U
-from ..sources.tables import materialize
+from ..sources.tables import is_small, measure, settle
 from . import robots as robots_ops
 from .lookup import lookup
 from .ranking import number_rows
@@ -74,76 +74,90 @@ def crawl(
     new page. The history is an append-only list of level tables.
     """
     limit = check_limit(limit)
-    hosts = tuple(hosts)
     start = U.with_scheme(F.col("source"))
-    found = sources.select(
-        "source_id",
-        start.alias("url"),
-        U.host(start).alias("start_host"),
-        F.lit(0).cast("long").alias("base"),
-        F.lit(-1).cast("long").alias("parent"),
-        F.lit(0).cast("long").alias("pos"),
+    zero = F.lit(0).cast("long")
+    found, seen = measure(
+        sources.select(
+            "source_id",
+            start.alias("url"),
+            U.host(start).alias("start_host"),
+            zero.alias("base"),
+            (zero - 1).alias("parent"),
+            zero.alias("pos"),
+        ),
+        "crawl-start",
+        rows=F.count("*"),
     )
-    if limit == 0:
-        found = found.filter(F.lit(False))
+    pages = links.select(F.col("src").alias("_page"), "links")
+    # All rows of a source share ``base``, the number of pages visited before their level.
+    ord_ = F.col("base") + F.col("rn") - 1
+    level_columns = [
+        F.col("source_id"),
+        F.col("url"),
+        F.col("start_host"),
+        ord_.alias("ord"),
+        (F.col("base") + F.col("_level_total")).alias("base"),
+        F.col("links"),
+    ]
+    within_limit = F.lit(True) if limit == NO_LIMIT else F.col("ord") < limit
+    goes_on = F.lit(True) if limit == NO_LIMIT else F.col("base") < limit
+    dst_host = U.host(F.col("link.dst"))
+    accepted = (dst_host == F.col("start_host")) | U.host_matches(dst_host, tuple(hosts))
+    first_offer = [
+        F.max("start_host").alias("start_host"),
+        F.max("base").alias("base"),
+        F.min(F.struct(F.col("ord").alias("parent"), F.col("link.pos").alias("pos"))).alias("_from"),
+    ]
+    offers = F.sum(F.when(goes_on, F.size("links")))
+
+    rows = seen["rows"] if limit != 0 else 0
     levels: list[DataFrame] = []
-    depth = 0
-    while True:
+    while rows:
         if rules is not None:
-            found = robots_ops.verdicts(found, rules, user_agent).filter("allowed").drop("allowed")
-        fetched = materialize(
-            lookup(
-                found,
-                links.select(F.col("src").alias("_page"), "links"),
-                "url",
-                "_page",
-                spread=["source_id", "parent", "pos"],
-                narrow_right=True,
-            ).withColumn("fetched", F.col("links").isNotNull()),
-            f"crawl-found-{depth}",
+            found = robots_ops.verdicts(found, rules, user_agent, rows=rows).filter("allowed").drop("allowed")
+        fetched = lookup(
+            found,
+            pages,
+            "url",
+            "_page",
+            spread=["source_id", "parent", "pos"],
+            how="inner",
+            rows=rows,
+            narrow_right=True,
         )
-        # All rows of a source share ``base``, the number of pages visited before this level.
         ranked = number_rows(
-            fetched, "source_id", "parent", ties=("pos", "url"), counted="fetched", extra={"total": "_level_total"}
-        ).withColumn("ord", F.col("base") + F.col("rn") - 1)
-        if limit != NO_LIMIT:
-            ranked = ranked.filter(F.col("ord").isNull() | (F.col("ord") < limit))
-        level = materialize(
-            ranked.select(
-                "source_id",
-                "url",
-                "start_host",
-                "ord",
-                F.lit(depth).cast("long").alias("depth"),
-                (F.col("base") + F.col("_level_total")).alias("base"),
-                "links",
-            ),
-            f"crawl-level-{depth}",
+            settle(fetched, "crawl-fetched", rows),
+            "source_id",
+            "parent",
+            ties=("pos", "url"),
+            extra={"total": "_level_total"},
+            rows=rows,
+        )
+        level, seen = measure(
+            ranked.select(*level_columns).filter(within_limit), f"crawl-level-{len(levels)}", offers=offers
         )
         levels.append(level)
-        visited = level.filter(F.col("ord").isNotNull())
-        if limit != NO_LIMIT:
-            visited = visited.filter(F.col("base") < limit)
-        dst_host = U.host(F.col("link.dst"))
+        rows = seen["offers"]
+        if not rows:
+            break
+        history = reduce(DataFrame.unionByName, [x.select("source_id", "url") for x in levels])
         onward = (
-            visited.select("source_id", "start_host", "base", "ord", F.explode("links").alias("link"))
-            .filter((dst_host == F.col("start_host")) | U.host_matches(dst_host, hosts))
+            level.filter(goes_on)
+            .select("source_id", "start_host", "base", "ord", F.explode("links").alias("link"))
+            .filter(accepted)
             .groupBy("source_id", F.col("link.dst").alias("url"))
-            .agg(
-                F.max("start_host").alias("start_host"),
-                F.max("base").alias("base"),
-                F.min(F.struct(F.col("ord").alias("parent"), F.col("link.pos").alias("pos"))).alias("_from"),
-            )
+            .agg(*first_offer)
         )
-        history = reduce(DataFrame.unionByName, [x.select("source_id", "url") for x in levels])
         found = onward.join(history, ["source_id", "url"], "left_anti").select(
             "source_id", "url", "start_host", "base", "_from.parent", "_from.pos"
         )
-        depth += 1
-        found = materialize(found, f"crawl-next-{depth}")
-        if found.isEmpty():
-            break
-    return reduce(
-        DataFrame.unionByName,
-        [x.filter(F.col("ord").isNotNull()).select("source_id", "ord", "depth", "url") for x in levels],
-    )
+        if not is_small(rows):
+            found, seen = measure(found, f"crawl-found-{len(levels)}", rows=F.count("*"))
+            rows = seen["rows"]
+    visits = [
+        x.select("source_id", "ord", F.lit(depth).cast("long").alias("depth"), "url")
+        for depth, x in enumerate(levels)
+    ]
+    if not visits:
+        return found.select("source_id", zero.alias("ord"), zero.alias("depth"), "url").filter(F.lit(False))
+    return reduce(DataFrame.unionByName, visits)

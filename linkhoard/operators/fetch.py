@@ -9,16 +9,43 @@ from pyspark.sql import functions as F
 
 from ..functions import http
 from ..functions.urls import is_http_url, with_scheme
-from ..sources.tables import materialize
+from ..sources.tables import measure
 from .lookup import lookup
 
 MAX_REDIRECTS = 10
-NOT_RECORDED = "no response on record"
+_HEADERS = ("code", "message", "location", "error_class", "error_message")
 
 
-def fetch(requests: DataFrame, responses: DataFrame, url: str = "url", *, spread: list[str]) -> DataFrame:
+def fetch(
+    requests: DataFrame, responses: DataFrame, url: str = "url", *, spread: list[str], rows: int | None = None
+) -> DataFrame:
     """Left join of requests to recorded responses on the URL; one exchange, no redirects followed."""
-    return lookup(requests, responses.withColumnRenamed("url", "_answer_url"), url, "_answer_url", spread=spread)
+    answers = responses.withColumnRenamed("url", "_answer_url")
+    return lookup(requests, answers, url, "_answer_url", spread=spread, rows=rows)
+
+
+def failure_message(url: Column, error: Column, known: Column) -> Column:
+    """Text for a failed request: the recorded error, or what is wrong with the answer."""
+    return (
+        F.when(error == "InvalidURIError", F.concat(F.lit("malformed URL or redirect at "), url))
+        .when(~known, F.concat(F.lit("no response on record for "), url))
+        .when(F.col("error_class").isNotNull(), F.concat_ws(", ", "error_class", "error_message"))
+        .when(error.endswith("RedirectError"), F.concat(F.lit("cannot follow the redirect of "), url))
+        .when(
+            error == "UnknownResponseCodeError",
+            F.concat(F.lit("unknown response code "), F.coalesce("code", F.lit("")), F.lit(" for "), url),
+        )
+        .otherwise(F.concat(F.lit("response code "), F.coalesce("code", F.lit("")), F.lit(" for "), url))
+    )
+
+
+def outcome_of(url: Column, known: Column, **rules: bool) -> Column:
+    """Outcome of a looked-up request: a malformed URL or a missing response is an error."""
+    return (
+        F.when(~is_http_url(url), "InvalidURIError")
+        .when(~known, "ClientError")
+        .otherwise(http.outcome(F.col("code"), F.col("error_class"), **rules))
+    )
 
 
 def follow(
@@ -29,84 +56,77 @@ def follow(
     max_redirects: int = MAX_REDIRECTS,
     follow_redirects: bool = True,
     raise_on_http_error: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """Answer each distinct ``url`` of ``requests``, following redirects.
 
     Returns ``(url, final_url, code, message, hops, error_class, error_message[, payload])``. A
     failed request has ``final_url`` and ``code`` NULL. ``payload`` is an expression over the
     response columns, evaluated where the chain ends; response bodies are read only for it.
+    ``rows`` is a known upper bound on the number of requests.
 
     Each hop is one join of the URLs still moving. The loop ends when none is left, at the
-    latest after ``max_redirects`` hops.
+    latest after ``max_redirects`` hops. A chain that comes back to a URL of its own can only end
+    as ``MaxRedirectError`` and does so at once.
     """
-    columns = ["code", "message", "location", "error_class", "error_message"]
-    answers = responses.select(F.col("url").alias("_answer_url"), *columns, *_payload_inputs(responses, payload))
-    moving = requests.select("url").distinct().withColumn("at", with_scheme(F.col("url")))
+    wide = [] if payload is None else [c for c in responses.columns if c not in ("url", *_HEADERS)]
+    answers = responses.select(F.col("url").alias("_answer_url"), *_HEADERS, *wide, F.lit(True).alias("_recorded"))
+
+    known = F.coalesce(F.col("_recorded"), F.lit(False))
+    outcome = outcome_of(
+        F.col("at"), known, follow_redirects=follow_redirects, raise_on_http_error=raise_on_http_error
+    )
+    redirected = F.col("_outcome") == http.FOLLOW
+    answered = F.col("_outcome") == http.RESPONSE
+    endless = F.array_contains(F.array_append("trail", F.col("at")), F.col("_target"))
+    failed = F.coalesce(
+        F.when(redirected, http.redirect_error(F.col("location"))),
+        F.when(redirected & ((F.col("hops") >= max_redirects) | endless), "MaxRedirectError"),
+        F.when(~redirected & ~answered, F.col("_outcome")),
+    )
+    step_columns = [
+        F.col("url"),
+        F.when(answered, F.col("at")).alias("final_url"),
+        F.when(answered, F.col("code")).alias("code"),
+        F.when(answered, F.col("message")).alias("message"),
+        F.when(F.col("_failed") == "MaxRedirectError", F.lit(max_redirects).cast("long")).otherwise(F.col("hops")).alias("hops"),
+        F.col("_failed").alias("error_class"),
+        F.when(F.col("_failed").isNotNull(), failure_message(F.col("at"), F.col("_failed"), known)).alias("error_message"),
+        F.when(F.col("_failed").isNull(), F.col("_target")).alias("_next"),
+        F.array_append("trail", F.col("at")).alias("trail"),
+        *([] if payload is None else [F.when(answered, payload).alias("payload")]),
+    ]
+    target = F.when(redirected, http.redirect_target(F.col("at"), F.col("location")))
+    onward = [F.col("url"), F.col("_next").alias("at"), (F.col("hops") + 1).alias("hops"), F.col("trail")]
+    moves = F.col("_next").isNotNull()
+
+    moving = requests.select("url").distinct().select(
+        "url", with_scheme(F.col("url")).alias("at"), F.lit(0).cast("long").alias("hops"), F.array().cast("array<string>").alias("trail")
+    )
     finished = []
-    for hop in range(max_redirects + 1):
+    while True:
+        first = not finished
         found = lookup(
             moving,
-            answers.withColumn("_recorded", F.lit(True)),
+            answers,
             "at",
             "_answer_url",
             spread=["url"],
-            narrow_right=hop > 0 or payload is not None,
-        )
-        known = F.coalesce(F.col("_recorded"), F.lit(False))
-        well_formed = is_http_url(F.col("at"))
-        outcome = (
-            F.when(~well_formed, "InvalidURIError")
-            .when(~known, "ClientError")
-            .otherwise(
-                http.outcome(
-                    F.col("code"),
-                    F.col("error_class"),
-                    follow_redirects=follow_redirects,
-                    raise_on_http_error=raise_on_http_error,
-                )
-            )
-        )
-        is_redirect = outcome == http.FOLLOW
-        failed = F.coalesce(
-            F.when(is_redirect, http.redirect_error(F.col("location"))),
-            F.when(is_redirect & F.lit(hop == max_redirects), "MaxRedirectError"),
-            F.when(~outcome.isin(http.FOLLOW, http.RESPONSE), outcome),
+            rows=rows,
+            unique=first,
+            narrow_right=rows is not None or not first or payload is not None,
+            light=payload is None,
         )
-        answered = outcome == http.RESPONSE
-        message = (
-            F.when(~well_formed, F.concat(F.lit("malformed URL "), "at"))
-            .when(~known, F.concat(F.lit(NOT_RECORDED + " for "), "at"))
-            .when(F.col("error_class").isNotNull(), F.concat_ws(", ", "error_class", "error_message"))
-            .when(
-                F.col("_failed") == "UnknownResponseCodeError",
-                F.concat(F.lit("unknown response code "), F.coalesce("code", F.lit("")), F.lit(" for "), "at"),
-            )
-            .when(
-                F.col("_failed") == "ResponseError", F.concat(F.lit("response code "), "code", F.lit(" for "), "at")
-            )
-            .otherwise(F.concat(F.lit("cannot follow the redirect of "), "at"))
+        step, seen = measure(
+            found.withColumn("_outcome", outcome)
+            .withColumn("_target", target)
+            .withColumn("_failed", failed)
+            .select(*step_columns),
+            "hop",
+            moving=F.count("_next"),
         )
-        hop_rows = found.withColumn("_failed", failed).select(
-            "url",
-            F.when(answered, F.col("at")).alias("final_url"),
-            F.when(answered, F.col("code")).alias("code"),
-            F.when(answered, F.col("message")).alias("message"),
-            F.lit(hop).cast("long").alias("hops"),
-            F.col("_failed").alias("error_class"),
-            F.when(F.col("_failed").isNotNull(), message).alias("error_message"),
-            F.when(is_redirect & F.col("_failed").isNull(), http.redirect_target(F.col("at"), F.col("location"))).alias(
-                "_next"
-            ),
-            *([] if payload is None else [F.when(answered, payload).alias("payload")]),
-        )
-        step = materialize(hop_rows, f"hop-{hop}")
-        finished.append(step.filter(F.col("_next").isNull()).drop("_next"))
-        moving = step.filter(F.col("_next").isNotNull()).select("url", F.col("_next").alias("at"))
-        if hop == max_redirects or not follow_redirects or moving.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, finished)
-
-
-def _payload_inputs(responses: DataFrame, payload: Column | None) -> list[str]:
-    narrow = {"url", "code", "message", "location", "error_class", "error_message"}
-    return [] if payload is None else [c for c in responses.columns if c not in narrow]
+        finished.append(step.filter(~moves).drop("_next", "trail"))
+        rows = seen["moving"]
+        if rows == 0:
+            return reduce(DataFrame.unionByName, finished)
+        moving = step.filter(moves).select(*onward)

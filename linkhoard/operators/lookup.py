@@ -1,10 +1,12 @@
-"""Left joins to a table with unique keys that stay balanced when one key is very common."""
+"""Joins to a table with unique keys that stay balanced when one key is very common."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import is_small
+
 # A key is hot when it may hold more than this share of the rows: at most 1/share keys are.
 HOT_SHARE = 0.005
 SALTS = 32
@@ -17,37 +19,48 @@ def lookup(
     right_key: str,
     *,
     spread: list[str],
+    how: str = "left",
+    rows: int | None = None,
+    unique: bool = False,
     narrow_right: bool = False,
-    salts: int = SALTS,
+    light: bool = False,
 ) -> DataFrame:
-    """Left outer join on ``left_key = right_key``; ``right`` holds each key at most once.
+    """Join on ``left_key = right_key``, ``left`` or ``inner``; ``right`` holds each key at most once.
 
-    The rows of a hot (or NULL) left key are spread over ``salts`` partitions by a hash of the ``spread``
-    columns, and the matching right row is repeated for each. Hot keys come from a frequent-item
-    sketch, which misses none above its threshold and holds at most ``1 / HOT_SHARE`` keys; the
-    join result does not depend on it. The right key column is dropped.
+    The rows of a hot (or NULL) left key are spread over ``SALTS`` partitions by a hash of the
+    ``spread`` columns, and the matching right row is repeated for each. Hot keys come from a
+    frequent-item sketch, which misses none above its threshold and holds at most
+    ``1 / HOT_SHARE`` keys; the join result does not depend on it. The right key column is dropped.
 
-    ``narrow_right`` first keeps only the right rows that are asked for. Use it when ``left`` is
-    expected to be much smaller: Spark can then broadcast the keys and need not shuffle ``right``.
+    ``rows`` is a known upper bound on the rows of ``left``; when it is small, or the left keys are
+    declared ``unique``, no key can be hot and the join is a plain one. ``narrow_right`` first
+    keeps only the right rows that are asked for: if ``left`` is small, its keys are broadcast and
+    ``right`` is read without a shuffle. ``light`` says that right rows are a few short columns;
+    together with a small ``left`` the rows asked for are then few and short enough to broadcast.
     """
-    hot = left.stat.freqItems([left_key], HOT_SHARE).scalar()
+    small = is_small(rows)
+    if small and narrow_right and how == "inner":
+        right = right.withColumnRenamed(right_key, "_right_key")
+        return right.join(F.broadcast(left), F.col(left_key) == F.col("_right_key")).drop("_right_key")
     if narrow_right:
-        wanted = left.select(F.col(left_key).alias(right_key)).distinct()
-        right = right.join(wanted, right_key, "left_semi")
+        wanted = left.select(F.col(left_key).alias(right_key))
+        right = right.join(F.broadcast(wanted) if small else wanted.distinct(), right_key, "left_semi")
+    right = right.withColumnRenamed(right_key, "_right_key")
+    if small or unique:
+        if small and narrow_right and light:
+            right = F.broadcast(right)
+        return left.join(right, F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
+
+    hot = left.stat.freqItems([left_key], HOT_SHARE).scalar()
 
     def is_hot(key: Column) -> Column:
         return F.coalesce(F.array_contains(hot, key), F.lit(False))
 
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    copies = F.when(is_hot(F.col("_right_key")), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     salted_left = left.withColumn(
-        "_salt",
-        F.when(
-            is_hot(F.col(left_key)) | F.col(left_key).isNull(), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-        ).otherwise(F.lit(0)),
+        "_salt", F.when(is_hot(F.col(left_key)) | F.col(left_key).isNull(), salt).otherwise(F.lit(0))
     )
-    copies = F.when(is_hot(F.col(right_key)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_right_salt", F.explode(copies)).withColumnRenamed(right_key, "_right_key")
-    return salted_left.join(
-        salted_right,
-        (salted_left[left_key] == salted_right["_right_key"]) & (salted_left["_salt"] == salted_right["_right_salt"]),
-        "left",
-    ).drop("_salt", "_right_salt", "_right_key")
+    salted_right = right.withColumn("_right_salt", F.explode(copies))
+    on = (F.col(left_key) == F.col("_right_key")) & (F.col("_salt") == F.col("_right_salt"))
+    return salted_left.join(salted_right, on, how).drop("_salt", "_right_salt", "_right_key")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import NO_LIMIT, check_limit
-from ..sources.tables import materialize
+from ..sources.tables import is_small, settle
 
 ROWS_PER_CHUNK = 1 << 18
 
@@ -17,11 +17,11 @@ def number_rows(
     ord: str,
     *,
     ties: tuple[str, ...] = (),
-    counted: str | None = None,
     limit: int = NO_LIMIT,
     rn: str = "rn",
     extra: dict[str, str] | None = None,
     chunk: int = ROWS_PER_CHUNK,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``rn``, the 1-based position of each row in its group by ``ord`` and ``ties``.
 
@@ -29,14 +29,24 @@ def number_rows(
     ``chunk`` consecutive ``ord`` values: rows are counted per chunk (map-side first), the small
     chunk table is summed up per group, and rows are ranked inside their chunk only.
 
-    ``counted`` names a boolean column: rows where it is false take no position (``rn`` NULL).
     ``limit`` keeps positions up to a limit; chunks behind it are skipped before any ranking.
     ``extra`` adds group facts: ``{"total": column name}``, ``{"first": column name}``.
+    ``rows`` is a known upper bound on the rows of ``df``; small tables are ranked directly.
     """
     extra = extra or {}
+    if is_small(rows):
+        whole = Window.partitionBy(group)
+        order = whole.orderBy(ord, *ties)
+        facts = {
+            "total": F.count("*").over(whole),
+            "first": F.min(ord).over(whole),
+        }
+        numbered = df.withColumn(rn, F.row_number().over(order).cast("long")).select(
+            "*", *[facts[name].alias(column) for name, column in extra.items()]
+        )
+        return numbered if limit == NO_LIMIT else numbered.filter(F.col(rn) <= limit)
     cut = df.withColumn("_chunk", F.expr(f"`{ord}` div {chunk}"))
-    counts = F.count("*") if counted is None else F.count_if(F.col(counted))
-    sizes = cut.groupBy(group, "_chunk").agg(counts.alias("_size"), F.min(ord).alias("_first"))
+    sizes = cut.groupBy(group, "_chunk").agg(F.count("*").alias("_size"), F.min(ord).alias("_first"))
     chunks = Window.partitionBy(group)
     before = F.coalesce(
         F.sum("_size").over(chunks.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
@@ -48,14 +58,9 @@ def number_rows(
     if limit != NO_LIMIT:
         offsets = offsets.filter(F.col("_before") < limit)
     within = Window.partitionBy(group, "_chunk").orderBy(ord, *ties)
-    if counted is None:
-        local = F.row_number().over(within).cast("long")
-    else:
-        running = F.count_if(F.col(counted)).over(within.rowsBetween(Window.unboundedPreceding, 0))
-        local = F.when(F.col(counted), running)
     numbered = (
         cut.join(offsets, [group, "_chunk"])
-        .withColumn("_local", local)
+        .withColumn("_local", F.row_number().over(within).cast("long"))
         .withColumn(rn, F.col("_before") + F.col("_local"))
         .select(*df.columns, rn, *extra.values())
     )
@@ -70,23 +75,31 @@ def limit_per_source(urls: DataFrame, limit: int | None, source_id: str = "sourc
     return number_rows(urls, source_id, ord, limit=limit, rn="_rn").drop("_rn")
 
 
-def running_total(df: DataFrame, group: str, order: list[str], size: str, out: str) -> DataFrame:
+def running_total(
+    df: DataFrame, group: str, order: list[str], size: str, out: str, *, rows: int | None = None
+) -> DataFrame:
     """Add ``out``, the sum of ``size`` over the rows before this one in its group.
 
     For orders that are no integers. Rows are range-partitioned by group and order, so that a
     large group spans many partitions; every partition is summed up on its own and shifted by
     the totals of the earlier partitions. The partition number is written with the rows because
-    a second run of the range partitioning might cut elsewhere.
+    a second run of the range partitioning might cut elsewhere. ``rows`` is a known upper bound on
+    the rows of ``df``; small tables are summed up directly.
     """
-    placed = materialize(
-        df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()), "running-total"
+
+    def sum_before(window: WindowSpec, column: str) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    if is_small(rows):
+        return df.withColumn(out, sum_before(Window.partitionBy(group).orderBy(*order), size))
+    placed = settle(
+        df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()), "running-total", rows
     )
     totals = placed.groupBy(group, "_part").agg(F.sum(size).alias("_sum"))
-    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select(group, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
-    within = Window.partitionBy(group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select(group, "_part", sum_before(Window.partitionBy(group).orderBy("_part"), "_sum").alias("_shift"))
+    within = Window.partitionBy(group, "_part").orderBy(*order)
     return (
         placed.join(shifts, [group, "_part"])
-        .withColumn(out, F.col("_shift") + F.coalesce(F.sum(size).over(within), F.lit(0)))
+        .withColumn(out, F.col("_shift") + sum_before(within, size))
         .select(*df.columns, out)
     )

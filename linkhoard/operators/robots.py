@@ -22,7 +22,7 @@ def accepted_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def scan(urls: DataFrame, responses: DataFrame, url: str = "url") -> DataFrame:
+def scan(urls: DataFrame, responses: DataFrame, url: str = "url", *, rows: int | None = None) -> DataFrame:
     """``(host, accepted, text)`` for every host among ``urls``.
 
     One document per host, whatever the scheme and port; a host whose document cannot be fetched
@@ -37,7 +37,11 @@ def scan(urls: DataFrame, responses: DataFrame, url: str = "url") -> DataFrame:
     text = R.accepted_text(F.col("code"), F.col("message"), F.col("content_type"), F.col("body"))
     accepted = R.is_accepted(F.col("code"), F.col("message"), F.col("content_type"))
     answers = follow(
-        hosts, responses, payload=F.struct(accepted.alias("accepted"), text.alias("text")), raise_on_http_error=True
+        hosts,
+        responses,
+        payload=F.struct(accepted.alias("accepted"), text.alias("text")),
+        raise_on_http_error=True,
+        rows=rows,
     )
     return hosts.join(answers, "url", "left").select(
         "host",
@@ -97,7 +101,15 @@ def grouped(parsed: DataFrame) -> DataFrame:
     )
 
 
-def verdicts(urls: DataFrame, parsed: DataFrame, user_agent: str, url: str = "url", out: str = "allowed") -> DataFrame:
+def verdicts(
+    urls: DataFrame,
+    parsed: DataFrame,
+    user_agent: str,
+    url: str = "url",
+    out: str = "allowed",
+    *,
+    rows: int | None = None,
+) -> DataFrame:
     """Add ``out``: may the user agent visit the URL?
 
     All rules of a host travel as one array, so each URL is joined once and never multiplied;
@@ -107,7 +119,7 @@ def verdicts(urls: DataFrame, parsed: DataFrame, user_agent: str, url: str = "ur
         F.col("host").alias("_robots_host"), R.for_agent(F.col("rules"), user_agent).alias("_rules")
     )
     return (
-        lookup(urls.withColumn("_host", U.host(F.col(url))), relevant, "_host", "_robots_host", spread=[url])
+        lookup(urls.withColumn("_host", U.host(F.col(url))), relevant, "_host", "_robots_host", spread=[url], rows=rows)
         .withColumn(out, R.is_allowed(U.request_path(F.col(url)), F.col("_rules")))
         .drop("_host", "_rules")
     )

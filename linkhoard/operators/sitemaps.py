@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import http
 from ..functions import sitemap as S
 from ..functions import urls as U
-from ..sources.tables import materialize
+from ..sources.tables import materialize, measure, settle
 from . import robots
 from .fetch import follow
 from .lookup import lookup
@@ -45,61 +45,47 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
     later level offers a smaller path, the document's children are offered again.
     """
     seeded = "doc" in roots.columns
+    payload = _parsed()
+    step = [
+        F.col("root_id"),
+        F.col("doc_url"),
+        F.concat("path", F.array(F.col("_pos").cast("long"))).alias("path"),
+    ]
+    shortest = F.min("path").alias("path")
+    better = F.col("_path").isNull() | (F.col("path") < F.col("_path"))
+
+    rows_written = F.count("*")
     start = roots.select("root_id", "doc_url", F.array().cast(_PATH).alias("path"))
-    frontier = best = materialize(start, "sitemap-roots")
+    frontier, seen = measure(start, "sitemap-roots", rows=rows_written)
     documents: list[DataFrame] = []
     if seeded:
         documents.append(materialize(roots.select("doc_url", "doc.*"), "sitemap-seeds"))
-    depth = 0
-    while True:
-        wanted = frontier.select(F.col("doc_url").alias("url")).distinct()
+    levels = []
+    while rows := seen["rows"]:
+        levels.append(frontier)
+        wanted = frontier.select(F.col("doc_url").alias("url"))
         if documents:
             known = _union([d.select(F.col("doc_url").alias("url")) for d in documents])
             wanted = wanted.join(known, "url", "left_anti")
-        if not (seeded and depth == 0):
-            answers = follow(wanted, responses, payload=_parsed(), max_redirects=max_redirects)
+        if not (seeded and len(levels) == 1):
+            answers = follow(wanted, responses, payload=payload, max_redirects=max_redirects, rows=rows)
             documents.append(answers.select(F.col("url").alias("doc_url"), "payload.*"))
-        indexes = _union([d.filter(F.col("kind") == S.INDEX).select("doc_url", "child_locs") for d in documents])
-        children = (
-            lookup(
-                frontier,
-                indexes.withColumnRenamed("doc_url", "_index_url"),
-                "doc_url",
-                "_index_url",
-                spread=["root_id"],
-            )
-            .select("root_id", "path", F.posexplode("child_locs").alias("_pos", "doc_url"))
-            .select(
-                "root_id",
-                "doc_url",
-                F.concat("path", F.array(F.col("_pos").cast("long"))).alias("path"),
-            )
-        )
-        offered = children.groupBy("root_id", "doc_url").agg(F.min("path").alias("path"))
-        improved = (
-            offered.join(best.withColumnRenamed("path", "_path"), ["root_id", "doc_url"], "left")
-            .filter(F.col("_path").isNull() | (F.col("path") < F.col("_path")))
-            .select("root_id", "doc_url", "path")
+        indexes = _union(
+            [d.filter(F.col("kind") == S.INDEX).select(F.col("doc_url").alias("_index_url"), "child_locs") for d in documents]
         )
-        depth += 1
-        frontier = materialize(improved, f"sitemap-level-{depth}")
-        if frontier.isEmpty():
-            break
-        best = materialize(
-            best.unionByName(frontier).groupBy("root_id", "doc_url").agg(F.min("path").alias("path")),
-            f"sitemap-reached-{depth}",
+        reached = _union(levels).groupBy("root_id", "doc_url").agg(F.min("path").alias("_path"))
+        offered = (
+            lookup(frontier, indexes, "doc_url", "_index_url", spread=["root_id"], how="inner", rows=rows)
+            .select("root_id", "path", F.posexplode("child_locs").alias("_pos", "doc_url"))
+            .select(*step)
+            .groupBy("root_id", "doc_url")
+            .agg(shortest)
         )
-    return best, _union(documents)
-
-
-def listed_urls(reached: DataFrame, documents: DataFrame) -> DataFrame:
-    """``(root_id, path, pos, url)``: the page URLs of all reached documents, duplicates kept."""
-    leaves = documents.filter(F.size("page_locs") > 0).select(F.col("doc_url").alias("_leaf_url"), "page_locs")
-    return (
-        lookup(reached, leaves, "doc_url", "_leaf_url", spread=["root_id"])
-        .select("root_id", "path", F.posexplode("page_locs").alias("pos", "url"))
-        .withColumn("pos", F.col("pos").cast("long"))
-    )
+        improved = offered.join(reached, ["root_id", "doc_url"], "left").filter(better).drop("_path")
+        frontier, seen = measure(improved, f"sitemap-level-{len(levels)}", rows=rows_written)
+    every = _union(levels or [frontier]).groupBy("root_id", "doc_url").agg(shortest)
+    nothing = documents or [responses.select(F.col("url").alias("doc_url"), payload.alias("_d")).select("doc_url", "_d.*").limit(0)]
+    return materialize(every, "sitemap-reached"), _union(nothing)
 
 
 def ordered_urls(reached: DataFrame, documents: DataFrame) -> DataFrame:
@@ -108,17 +94,17 @@ def ordered_urls(reached: DataFrame, documents: DataFrame) -> DataFrame:
     Only documents are ordered; the position of a URL is the number of URLs in earlier documents
     plus its place in its own.
     """
+    rows = reached.count()
     listing = documents.filter(F.size("page_locs") > 0).withColumnRenamed("doc_url", "_leaf_url")
     sizes = listing.select("_leaf_url", F.size("page_locs").cast("long").alias("_n"))
     leaves = (
-        lookup(reached, sizes, "doc_url", "_leaf_url", spread=["root_id"])
-        .filter(F.col("_n").isNotNull())
+        lookup(reached, sizes, "doc_url", "_leaf_url", spread=["root_id"], how="inner", rows=rows)
         .select("root_id.source_id", "root_id.root_pos", "path", "doc_url", "_n")
     )
-    placed = running_total(leaves, "source_id", ["root_pos", "path"], "_n", "_before")
+    placed = running_total(leaves, "source_id", ["root_pos", "path"], "_n", "_before", rows=rows)
     pages = listing.select("_leaf_url", "page_locs")
     return (
-        lookup(placed, pages, "doc_url", "_leaf_url", spread=["source_id", "_before"])
+        lookup(placed, pages, "doc_url", "_leaf_url", spread=["source_id", "_before"], how="inner", rows=rows)
         .select("source_id", "_before", F.posexplode("page_locs").alias("_pos", "url"))
         .select("source_id", (F.col("_before") + F.col("_pos")).alias("ord"), "url")
     )
@@ -163,14 +149,17 @@ def candidates(sources: DataFrame) -> DataFrame:
     )
 
 
-def probe(sources: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -> DataFrame:
+def probe(
+    sources: DataFrame, responses: DataFrame, *, max_redirects: int = 10, rows: int | None = None
+) -> DataFrame:
     """``(source_id, pos, outcome, final_url)``: the first candidate that decides, per source.
 
     A 2xx answer is a ``hit``; a final 4xx or 5xx is a miss and the next candidate counts; a
     request error (``error``) ends the search. Sources with six misses have no row.
     """
     tried = candidates(sources).withColumn("url", U.with_scheme(F.col("candidate")))
-    answers = follow(tried, responses, max_redirects=max_redirects)
+    rows = None if rows is None else rows * len(U.SITEMAP_NAMES)
+    answers = follow(tried, responses, max_redirects=max_redirects, rows=rows)
     outcome = (
         F.when(F.col("error_class").isNotNull(), "error")
         .when(http.is_success(F.col("code")), "hit")
@@ -183,6 +172,7 @@ def probe(sources: DataFrame, responses: DataFrame, *, max_redirects: int = 10)
             "url",
             "_tried",
             spread=["source_id"],
+            rows=rows,
         )
         .filter(F.col("outcome") != "miss")
         .groupBy("source_id")
@@ -200,20 +190,25 @@ def discover(
     ``robots``, ``candidate``, ``self``, ``error``. The answer of robots.txt is final even when its
     sitemaps list nothing.
     """
-    normalized = materialize(sources.select("source_id", U.with_scheme(F.col("source")).alias("source")), "sources")
-    parsed = robots.parse(robots.scan(normalized, responses, "source")).filter(F.size("sitemaps") > 0)
-    declared = materialize(
+    normalized, seen = measure(
+        sources.select("source_id", U.with_scheme(F.col("source")).alias("source")), "sources", rows=F.count("*")
+    )
+    rows = seen["rows"]
+    parsed = robots.parse(robots.scan(normalized, responses, "source", rows=rows)).filter(F.size("sitemaps") > 0)
+    declared = settle(
         lookup(
             normalized.withColumn("_host", U.host(F.col("source"))),
             parsed.select(F.col("host").alias("_robots_host"), "sitemaps"),
             "_host",
             "_robots_host",
             spread=["source_id"],
-        ).select("source_id", "source", F.col("sitemaps")),
+            rows=rows,
+        ).select("source_id", "source", "sitemaps"),
         "declared-sitemaps",
+        rows,
     )
     undeclared = declared.filter(F.col("sitemaps").isNull()).select("source_id", "source")
-    probed = materialize(probe(undeclared, responses, max_redirects=max_redirects), "probed")
+    probed = settle(probe(undeclared, responses, max_redirects=max_redirects, rows=rows), "probed", rows)
     from_robots = declared.select(
         "source_id", F.posexplode("sitemaps").alias("root_pos", "doc_url"), F.lit("robots").alias("via")
     )

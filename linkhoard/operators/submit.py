@@ -13,7 +13,7 @@ from ..functions import http
 from ..functions import urls as U
 from ..schemas import RESULTS
 from ..sources.tables import materialize
-from .fetch import NOT_RECORDED, fetch
+from .fetch import failure_message, fetch, outcome_of
 
 BatchAdapter = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -31,18 +31,10 @@ class RecordedAdapter:
             "url", "code", "error_class", "error_message", F.lit(True).alias("_recorded")
         )
         joined = fetch(requests, answers, "_request", spread=["source_id", "ord"])
-        outcome = (
-            F.when(~U.is_http_url(F.col("_request")), "InvalidURIError")
-            .when(F.col("_recorded").isNull(), "ClientError")
-            .otherwise(http.outcome(F.col("code"), F.col("error_class"), follow_redirects=False))
-        )
+        known = F.coalesce(F.col("_recorded"), F.lit(False))
+        outcome = outcome_of(F.col("_request"), known, follow_redirects=False)
         done = F.col("_outcome") == http.RESPONSE
-        message = (
-            F.when(F.col("_outcome") == "InvalidURIError", F.concat(F.lit("malformed URL "), "_request"))
-            .when(F.col("_recorded").isNull(), F.concat(F.lit(NOT_RECORDED + " for "), "_request"))
-            .when(F.col("error_class").isNotNull(), F.concat_ws(", ", "error_class", "error_message"))
-            .otherwise(F.concat(F.lit("unknown response code "), F.coalesce("code", F.lit("")), F.lit(" for "), "_request"))
-        )
+        message = failure_message(F.col("_request"), F.col("_outcome"), known)
         return joined.withColumn("_outcome", outcome).select(
             "source_id",
             "ord",

@@ -5,12 +5,21 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
 
 
+# Row counts up to this take the direct plans: one window per group, plain joins, broadcast keys.
+SMALL_ROWS = 100_000
+
+
+def is_small(rows: int | None) -> bool:
+    """True if a known bound on a row count allows the direct plans."""
+    return rows is not None and rows <= SMALL_ROWS
+
+
 def work_folder(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``.
 
@@ -36,6 +45,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measure(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, and aggregates of the rows written, taken while they are written."""
+    seen = Observation()
+    table = materialize(df.observe(seen, *[value.alias(name) for name, value in metrics.items()]), label)
+    return table, seen.get
+
+
+def settle(df: DataFrame, label: str, rows: int | None) -> DataFrame:
+    """``materialize`` unless the rows are known to be few, when computing them twice is cheaper."""
+    return df if is_small(rows) else materialize(df, label)
+
+
 def url_list(df: DataFrame, source_id: str = "source_id", urls: str = "urls") -> DataFrame:
     """``(source_id, ord, url)`` from one list, or one single URL, per row."""
     listed = F.col(urls)
