@@ -60,30 +60,30 @@ def pattern(value: Column) -> Column:
     return F.when(value == "", NEVER).otherwise(F.concat(F.lit("^"), F.replace(escaped, F.lit("*"), F.lit(".*"))))
 
 
-def _agent_before(agents: Column, line_no: Column) -> Column:
-    previous = F.filter(agents, lambda a: a["line_no"] < line_no)
-    return F.coalesce(F.try_element_at(previous, F.lit(-1))["pattern"], F.lit(ANY_AGENT))
-
-
-def _agents(entries_: Column) -> Column:
+def agents(entries_: Column) -> Column:
+    """``array<struct<line_no, pattern>>`` of the ``User-agent`` lines."""
     return F.transform(
         F.filter(entries_, lambda e: e["key"] == AGENT),
         lambda e: F.struct(e["line_no"], pattern(e["value"]).alias("pattern")),
     )
 
 
-def rules(entries_: Column) -> Column:
+def _agent_before(agents_: Column, line_no: Column) -> Column:
+    previous = F.filter(agents_, lambda a: a["line_no"] < line_no)
+    return F.coalesce(F.try_element_at(previous, F.lit(-1))["pattern"], F.lit(ANY_AGENT))
+
+
+def rules(entries_: Column, agents_: Column) -> Column:
     """``array<struct<line_no, agent_pattern, directive, path_pattern, prefix>>``.
 
     A rule belongs to the last ``User-agent`` line before it. ``prefix`` holds the literal text
     of a rule without wildcard, which is tested without a regular expression.
     """
-    agents = _agents(entries_)
     return F.transform(
         F.filter(entries_, lambda e: e["key"].isin(ALLOW, DISALLOW)),
         lambda e: F.struct(
             e["line_no"],
-            _agent_before(agents, e["line_no"]).alias("agent_pattern"),
+            _agent_before(agents_, e["line_no"]).alias("agent_pattern"),
             e["key"].alias("directive"),
             pattern(e["value"]).alias("path_pattern"),
             F.when((e["value"] != "") & ~e["value"].contains("*"), e["value"]).alias("prefix"),
@@ -91,25 +91,28 @@ def rules(entries_: Column) -> Column:
     )
 
 
-def delays(entries_: Column) -> Column:
-    """``array<struct<line_no, agent_pattern, delay_s>>``; a later line for an agent replaces an earlier."""
-    agents = _agents(entries_)
+def delays(entries_: Column, agents_: Column) -> Column:
+    """``array<struct<line_no, agent_pattern, delay_s>>`` of all ``Crawl-delay`` lines."""
 
     def leading_integer(value: Column) -> Column:
         return F.coalesce(F.regexp_extract(value, r"^[+-]?\d{1,18}", 0).try_cast("long"), F.lit(0).cast("long"))
 
-    found = F.transform(
+    return F.transform(
         F.filter(entries_, lambda e: e["key"] == DELAY),
         lambda e: F.struct(
             e["line_no"],
-            _agent_before(agents, e["line_no"]).alias("agent_pattern"),
+            _agent_before(agents_, e["line_no"]).alias("agent_pattern"),
             leading_integer(e["value"]).alias("delay_s"),
         ),
     )
+
+
+def last_per_agent(delays_: Column) -> Column:
+    """A later line for an agent replaces an earlier one."""
     return F.filter(
-        found,
+        delays_,
         lambda d: ~F.exists(
-            found, lambda o: (o["agent_pattern"] == d["agent_pattern"]) & (o["line_no"] > d["line_no"])
+            delays_, lambda o: (o["agent_pattern"] == d["agent_pattern"]) & (o["line_no"] > d["line_no"])
         ),
     )
 

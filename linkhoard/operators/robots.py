@@ -52,13 +52,18 @@ def scan(urls: DataFrame, responses: DataFrame, url: str = "url", *, rows: int |
 
 def parse(documents: DataFrame) -> DataFrame:
     """One row per host: ``(host, rules, delays, others, sitemaps)`` from ``(host, text)``."""
-    entries = F.col("_entries")
-    return documents.withColumn("_entries", R.entries(F.col("text"))).select(
-        "host",
-        R.rules(entries).alias("rules"),
-        R.delays(entries).alias("delays"),
-        R.others(entries).alias("others"),
-        R.sitemaps(entries).alias("sitemaps"),
+    entries, agents = F.col("_entries"), F.col("_agents")
+    return (
+        documents.withColumn("_entries", R.entries(F.col("text")))
+        .withColumn("_agents", R.agents(entries))
+        .withColumn("_delays", R.delays(entries, agents))
+        .select(
+            "host",
+            R.rules(entries, agents).alias("rules"),
+            R.last_per_agent(F.col("_delays")).alias("delays"),
+            R.others(entries).alias("others"),
+            R.sitemaps(entries).alias("sitemaps"),
+        )
     )
 
 

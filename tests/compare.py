@@ -1,4 +1,7 @@
-"""Run registered queries against their SQL: ``python -m tests.compare [sf_dir] [key ...]``."""
+"""Run registered queries against their SQL: ``python -m tests.compare [--large] [sf_dir] [key ...]``.
+
+``--large`` takes the plans for large tables whatever the size.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,8 @@ import time
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
+from linkhoard.sources import tables
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -56,8 +61,12 @@ def difference(df: DataFrame, sf_dir: str, sql: str) -> str | None:
 def main() -> None:
     import __spark_entry__ as entry
 
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:] or list(entry.queries())
+    args = sys.argv[1:]
+    if "--large" in args:
+        args.remove("--large")
+        tables.SMALL_ROWS = -1
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:] or list(entry.queries())
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
