@@ -9,9 +9,9 @@ from . import urls
 
 # Parts of a page whose text is not markup.
 _NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-_LINK = (
-    r"(?is)<(?:(?:a|link)\b(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*?\shref|i?frame\b(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*?\ssrc)"
-    r"\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>\"']++)"
+_TAG = r"""(?i)<(?:a|link|i?frame)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+_ADDRESS = (
+    r"""(?is)\A<(?:(?:a|link)\b.*?[\s"']href|i?frame\b.*?[\s"']src)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)"""
 )
 # Character references that occur in addresses.
 _REFERENCES = {"&quot;": '"', "&#34;": '"', "&#39;": "'", "&#x27;": "'", "&#38;": "&", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
@@ -19,7 +19,8 @@ _REFERENCES = {"&quot;": '"', "&#34;": '"', "&#39;": "'", "&#x27;": "'", "&#38;"
 
 def hrefs(html: Column) -> Column:
     """Link addresses in page order as written: ``a`` and ``link`` hrefs, frame sources."""
-    found = F.regexp_extract_all(F.regexp_replace(html, _NOT_MARKUP, " "), F.lit(_LINK), F.lit(1))
+    tags = F.regexp_extract_all(F.regexp_replace(html, _NOT_MARKUP, " "), F.lit(_TAG), F.lit(0))
+    addresses = F.filter(F.transform(tags, lambda tag: F.regexp_extract(tag, _ADDRESS, 1)), lambda a: a != "")
 
     def clean(address: Column) -> Column:
         address = F.regexp_replace(address, r"""^["']|["']$""", "")
@@ -27,7 +28,7 @@ def hrefs(html: Column) -> Column:
             address = F.replace(address, F.lit(reference), F.lit(character))
         return urls.strip(address)
 
-    return F.transform(found, clean)
+    return F.transform(addresses, clean)
 
 
 def links(page_url: Column, html: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -105,26 +105,21 @@ def plain_lines(content: Column) -> Column:
     return F.filter(F.transform(F.split(content, "\n", -1), urls.strip), urls.is_http_url)
 
 
-def parse(content: Column) -> Column:
-    """``struct<kind, root_name, page_locs, child_locs>`` of one document text.
+def with_document(df: DataFrame, out: str, body: str = "body") -> DataFrame:
+    """Add ``out``, a ``struct<kind, root_name, page_locs, child_locs>`` read from a body column.
 
-    Text that is not a well-formed XML document is read as one URL per line.
+    Text that is not a well-formed XML document is read as one URL per line. The steps are columns
+    of their own so that each document is decoded and parsed once.
     """
-    xml = F.from_xml(content, _XML_SCHEMA, _XML_OPTIONS)
-    root = root_name(content)
-    well_formed = F.coalesce(
-        root.isNotNull() & xml["_corrupt"].isNull() & _closes_once(content, root), F.lit(False)
-    )
-    kind = (
+    content, xml, root, well_formed = (F.col(c) for c in ("_text", "_xml", "_root", "_well_formed"))
+    is_index = well_formed & (root == "sitemapindex")
+    none = F.array().cast("array<string>")
+    document = F.struct(
         F.when(~well_formed, PLAIN)
         .when(root == "sitemapindex", INDEX)
         .when(root == "urlset", URLSET)
         .otherwise(OTHER)
-    )
-    is_index = well_formed & (root == "sitemapindex")
-    none = F.array().cast("array<string>")
-    return F.struct(
-        kind.alias("kind"),
+        .alias("kind"),
         F.when(well_formed, root).alias("root_name"),
         F.when(is_index, none)
         .when(well_formed, _locations(xml["url"]))
@@ -132,3 +127,12 @@ def parse(content: Column) -> Column:
         .alias("page_locs"),
         F.when(is_index, _locations(xml["sitemap"])).otherwise(none).alias("child_locs"),
     )
+    checked = root.isNotNull() & xml["_corrupt"].isNull() & _closes_once(content, root)
+    return (
+        df.withColumn("_text", text(decode_body(F.col(body))))
+        .withColumn("_xml", F.from_xml(content, _XML_SCHEMA, _XML_OPTIONS))
+        .withColumn("_root", root_name(content))
+        .withColumn("_well_formed", F.coalesce(checked, F.lit(False)))
+        .withColumn(out, document)
+        .drop("_text", "_xml", "_root", "_well_formed")
+    )

@@ -21,23 +21,21 @@ SITEMAP_NAMES = (
     "sitemap.xml",
 )
 
-# RFC 3986 building blocks.
+# RFC 3986 building blocks. Repeated groups are possessive: Java then matches them in a loop, and
+# very long texts cannot exhaust the stack.
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 _PCT = r"%[0-9A-Fa-f]{2}"
 _NAME = r"A-Za-z0-9\-._~!$&'()*+,;="
-_SEGMENT = rf"(?:[{_NAME}:@]|{_PCT})"
 _AUTHORITY = (
-    rf"(?:(?:[{_NAME}:]|{_PCT})*@)?"  # user info
-    rf"(?:\[[0-9A-Fa-f:.]+\]|(?:[{_NAME}]|{_PCT})*)"  # IP literal or name
+    rf"(?:(?:[{_NAME}:]|{_PCT})*+@)?"  # user info
+    rf"(?:\[[0-9A-Fa-f:.]+\]|(?:[{_NAME}]|{_PCT})*+)"  # IP literal or name
     r"(?::[0-9]*)?"  # port
 )
-_TAIL = rf"(?:\?(?:{_SEGMENT}|[/?])*+)?(?:#(?:{_SEGMENT}|[/?])*+)?"
-_HTTP_URL = (
-    rf"^(?i:https?):(?://{_AUTHORITY}(?:/{_SEGMENT}*+)*+|(?!//)(?:{_SEGMENT}|/)*+){_TAIL}\z"
-)
-_ANY_REFERENCE = (
-    rf"^(?:{_SCHEME}:)?(?://{_AUTHORITY}(?:/{_SEGMENT}*+)*+|(?!//)(?:{_SEGMENT}|/)*+){_TAIL}\z"
-)
+_PATH = rf"(?:[{_NAME}:@/]|{_PCT})*+"
+_TAIL = rf"(?:\?(?:[{_NAME}:@/?]|{_PCT})*+)?(?:#(?:[{_NAME}:@/?]|{_PCT})*+)?"
+_AFTER_SCHEME = rf"(?://{_AUTHORITY}(?:/{_PATH})?|(?!//){_PATH}){_TAIL}\z"
+_HTTP_URL = rf"^(?i:https?):{_AFTER_SCHEME}"
+_ANY_REFERENCE = rf"^(?:{_SCHEME}:)?{_AFTER_SCHEME}"
 _HOST = rf"^{_SCHEME}://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^:/?#]*)"
 _ROOT = rf"^({_SCHEME}://[^/?#]*)"
 

@@ -18,6 +18,10 @@ from .lookup import lookup
 from .ranking import number_rows
 
 
+# Pages of one source whose links are ranked together: a bounded piece of a level.
+PARENTS_PER_CHUNK = 1 << 12
+
+
 def page_links(pages: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
     """``(src, pos, href, dst)``: the links of every page in page order."""
     return pages.select(F.col(url).alias("src"), F.inline(html.links(F.col(url), F.col(body))))
@@ -111,10 +115,12 @@ def crawl(
     offers = F.sum(F.when(goes_on, F.size("links")))
 
     rows = seen["rows"] if limit != 0 else 0
+    visited = 0
     levels: list[DataFrame] = []
     while rows:
         if rules is not None:
             found = robots_ops.verdicts(found, rules, user_agent, rows=rows).filter("allowed").drop("allowed")
+            found = settle(found, "crawl-allowed", rows)
         fetched = lookup(
             found,
             pages,
@@ -131,12 +137,14 @@ def crawl(
             "parent",
             ties=("pos", "url"),
             extra={"total": "_level_total"},
+            chunk=PARENTS_PER_CHUNK,
             rows=rows,
         )
         level, seen = measure(
-            ranked.select(*level_columns).filter(within_limit), f"crawl-level-{len(levels)}", offers=offers
+            ranked.select(*level_columns).filter(within_limit), f"crawl-level-{len(levels)}", rows=F.count("*"), offers=offers
         )
         levels.append(level)
+        visited += seen["rows"]
         rows = seen["offers"]
         if not rows:
             break
@@ -148,6 +156,9 @@ def crawl(
             .groupBy("source_id", F.col("link.dst").alias("url"))
             .agg(*first_offer)
         )
+        if is_small(rows) and not is_small(visited):
+            # Few offers, long history: read the history without a shuffle.
+            history = history.join(F.broadcast(onward.select("source_id", "url")), ["source_id", "url"], "left_semi")
         found = onward.join(history, ["source_id", "url"], "left_anti").select(
             "source_id", "url", "start_host", "base", "_from.parent", "_from.pos"
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,7 +53,7 @@ def follow(
     requests: DataFrame,
     responses: DataFrame,
     *,
-    payload: Column | None = None,
+    payload: Callable[[DataFrame], DataFrame] | None = None,
     max_redirects: int = MAX_REDIRECTS,
     follow_redirects: bool = True,
     raise_on_http_error: bool = False,
@@ -61,8 +62,8 @@ def follow(
     """Answer each distinct ``url`` of ``requests``, following redirects.
 
     Returns ``(url, final_url, code, message, hops, error_class, error_message[, payload])``. A
-    failed request has ``final_url`` and ``code`` NULL. ``payload`` is an expression over the
-    response columns, evaluated where the chain ends; response bodies are read only for it.
+    failed request has ``final_url`` and ``code`` NULL. ``payload`` adds a column ``payload`` computed
+    from the response columns; it is kept where a chain ends. Bodies are read only for it.
     ``rows`` is a known upper bound on the number of requests.
 
     Each hop is one join of the URLs still moving. The loop ends when none is left, at the
@@ -94,7 +95,7 @@ def follow(
         F.when(F.col("_failed").isNotNull(), failure_message(F.col("at"), F.col("_failed"), known)).alias("error_message"),
         F.when(F.col("_failed").isNull(), F.col("_target")).alias("_next"),
         F.array_append("trail", F.col("at")).alias("trail"),
-        *([] if payload is None else [F.when(answered, payload).alias("payload")]),
+        *([] if payload is None else [F.when(answered, F.col("payload")).alias("payload")]),
     ]
     target = F.when(redirected, http.redirect_target(F.col("at"), F.col("location")))
     onward = [F.col("url"), F.col("_next").alias("at"), (F.col("hops") + 1).alias("hops"), F.col("trail")]
@@ -118,7 +119,7 @@ def follow(
             light=payload is None,
         )
         step, seen = measure(
-            found.withColumn("_outcome", outcome)
+            (found if payload is None else payload(found)).withColumn("_outcome", outcome)
             .withColumn("_target", target)
             .withColumn("_failed", failed)
             .select(*step_columns),

@@ -9,7 +9,11 @@ from ..sources.tables import is_small
 
 # A key is hot when it may hold more than this share of the rows: at most 1/share keys are.
 HOT_SHARE = 0.005
-SALTS = 32
+
+
+def salt_count(df: DataFrame) -> int:
+    """A key holding a third of all rows should fill its share of the shuffle partitions."""
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
 
 
 def lookup(
@@ -27,7 +31,7 @@ def lookup(
 ) -> DataFrame:
     """Join on ``left_key = right_key``, ``left`` or ``inner``; ``right`` holds each key at most once.
 
-    The rows of a hot (or NULL) left key are spread over ``SALTS`` partitions by a hash of the
+    The rows of a hot (or NULL) left key are spread over many partitions by a hash of the
     ``spread`` columns, and the matching right row is repeated for each. Hot keys come from a
     frequent-item sketch, which misses none above its threshold and holds at most
     ``1 / HOT_SHARE`` keys; the join result does not depend on it. The right key column is dropped.
@@ -51,13 +55,14 @@ def lookup(
             right = F.broadcast(right)
         return left.join(right, F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
 
+    salts = salt_count(left)
     hot = left.stat.freqItems([left_key], HOT_SHARE).scalar()
 
     def is_hot(key: Column) -> Column:
         return F.coalesce(F.array_contains(hot, key), F.lit(False))
 
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    copies = F.when(is_hot(F.col("_right_key")), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    copies = F.when(is_hot(F.col("_right_key")), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_left = left.withColumn(
         "_salt", F.when(is_hot(F.col(left_key)) | F.col(left_key).isNull(), salt).otherwise(F.lit(0))
     )

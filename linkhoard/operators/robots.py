@@ -34,14 +34,12 @@ def scan(urls: DataFrame, responses: DataFrame, url: str = "url", *, rows: int |
         .groupBy("host")
         .agg(F.min("_robots_url").alias("url"))
     )
-    text = R.accepted_text(F.col("code"), F.col("message"), F.col("content_type"), F.col("body"))
-    accepted = R.is_accepted(F.col("code"), F.col("message"), F.col("content_type"))
+    parts = [F.col(c) for c in ("code", "message", "content_type")]
+    document = F.struct(
+        R.is_accepted(*parts).alias("accepted"), R.accepted_text(*parts, F.col("body")).alias("text")
+    )
     answers = follow(
-        hosts,
-        responses,
-        payload=F.struct(accepted.alias("accepted"), text.alias("text")),
-        raise_on_http_error=True,
-        rows=rows,
+        hosts, responses, payload=lambda found: found.withColumn("payload", document), raise_on_http_error=True, rows=rows
     )
     return hosts.join(answers, "url", "left").select(
         "host",

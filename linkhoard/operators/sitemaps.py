@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import http
@@ -19,8 +19,8 @@ from .ranking import running_total
 _PATH = "array<bigint>"
 
 
-def _parsed() -> Column:
-    return S.parse(S.text(S.decode_body(F.col("body"))))
+def _parsed(found: DataFrame) -> DataFrame:
+    return S.with_document(found, "payload")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -29,8 +29,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def parse_documents(documents: DataFrame) -> DataFrame:
     """``(doc_url, kind, root_name, page_locs, child_locs)`` from ``(doc_url, body)``."""
-    content = documents.withColumn("_text", S.text(S.decode_body(F.col("body"))))
-    return content.select("doc_url", S.parse(F.col("_text")).alias("_doc")).select("doc_url", "_doc.*")
+    return S.with_document(documents, "_doc").select("doc_url", "_doc.*")
 
 
 def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -45,7 +44,6 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
     later level offers a smaller path, the document's children are offered again.
     """
     seeded = "doc" in roots.columns
-    payload = _parsed()
     step = [
         F.col("root_id"),
         F.col("doc_url"),
@@ -68,7 +66,7 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
             known = _union([d.select(F.col("doc_url").alias("url")) for d in documents])
             wanted = wanted.join(known, "url", "left_anti")
         if not (seeded and len(levels) == 1):
-            answers = follow(wanted, responses, payload=payload, max_redirects=max_redirects, rows=rows)
+            answers = follow(wanted, responses, payload=_parsed, max_redirects=max_redirects, rows=rows)
             documents.append(answers.select(F.col("url").alias("doc_url"), "payload.*"))
         indexes = _union(
             [d.filter(F.col("kind") == S.INDEX).select(F.col("doc_url").alias("_index_url"), "child_locs") for d in documents]
@@ -84,8 +82,9 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
         improved = offered.join(reached, ["root_id", "doc_url"], "left").filter(better).drop("_path")
         frontier, seen = measure(improved, f"sitemap-level-{len(levels)}", rows=rows_written)
     every = _union(levels or [frontier]).groupBy("root_id", "doc_url").agg(shortest)
-    nothing = documents or [responses.select(F.col("url").alias("doc_url"), payload.alias("_d")).select("doc_url", "_d.*").limit(0)]
-    return materialize(every, "sitemap-reached"), _union(nothing)
+    if not documents:
+        documents = [parse_documents(responses.limit(0).withColumnRenamed("url", "doc_url"))]
+    return materialize(every, "sitemap-reached"), _union(documents)
 
 
 def ordered_urls(reached: DataFrame, documents: DataFrame) -> DataFrame:
@@ -134,8 +133,9 @@ def urls_of_bodies(bodies: DataFrame, responses: DataFrame, *, max_redirects: in
     seeds = bodies.select(
         F.struct(F.col("source_id").alias("source_id"), F.lit(0).cast("long").alias("root_pos")).alias("root_id"),
         F.concat(F.lit("body:"), F.col("source_id")).alias("doc_url"),
-        S.text(S.decode_body(F.col("body"))).alias("_text"),
-    ).select("root_id", "doc_url", S.parse(F.col("_text")).alias("doc"))
+        "body",
+    )
+    seeds = S.with_document(seeds, "doc").drop("body")
     return ordered_urls(*expand(seeds, responses, max_redirects=max_redirects))
 
 

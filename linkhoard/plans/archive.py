@@ -74,13 +74,16 @@ def auto_urls(
 def collect(
     sources: DataFrame, responses: DataFrame, options: Options, links: DataFrame | None = None
 ) -> DataFrame:
-    """``(source_id, ord, url)`` for ``(source_id, source)``, before the limit."""
+    """``(source_id, ord, url)`` for ``(source_id, source)``, before the limit.
+
+    The result reads written tables only, so using it twice repeats no work.
+    """
     if options.strategy == "crawl":
         return crawl_urls(sources, responses, options, links)
     if options.strategy == "auto":
         return auto_urls(sources, responses, options, links).drop("via")
     if options.strategy == "sitemap":
-        return S.sitemap_urls(sources, responses, max_redirects=options.max_redirects)
+        return materialize(S.sitemap_urls(sources, responses, max_redirects=options.max_redirects), "listed")
     ord_ = F.col("ord") if "ord" in sources.columns else F.lit(0).cast("long")
     return sources.select("source_id", ord_.alias("ord"), F.col("source").alias("url"))
 
@@ -97,6 +100,6 @@ def archive(
     urls = collect(sources, responses, options, links)
     if options.dedupe:
         urls = urls.groupBy("source_id", "url").agg(F.min("ord").alias("ord")).select("source_id", "ord", "url")
-    urls = materialize(urls, "urls")
+        urls = materialize(urls, "deduplicated")
     chosen = urls if options.limit == NO_LIMIT else limit_per_source(urls, options.limit)
     return Run(urls, submit(chosen, adapter))
