@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from . import urls
 
-# Parts of a page whose text is not markup.
-_NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
-_TAG = r"""(?i)<(?:a|link|i?frame)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# Parts of a page whose text is not markup; an unclosed one reaches to the end of the page.
+_NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+_TAG = r"""(?i)<(?:a|link|i?frame)\b(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
 _ADDRESS = (
     r"""(?is)\A<(?:(?:a|link)\b.*?[\s"']href|i?frame\b.*?[\s"']src)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)"""
 )
