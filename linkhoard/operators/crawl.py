@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import NO_LIMIT, check_limit
 from ..functions import html, http
 from ..functions import urls as U
-from ..sources.tables import is_small, measure, settle
+from ..sources.tables import is_small, materialize, measure, settle
 from . import robots as robots_ops
 from .lookup import lookup
 from .ranking import number_rows
@@ -20,6 +21,8 @@ from .ranking import number_rows
 
 # Pages of one source whose links are ranked together: a bounded piece of a level.
 PARENTS_PER_CHUNK = 1 << 12
+# Links of one page that are stored in one row.
+LINKS_PER_PART = 1 << 10
 
 
 def page_links(pages: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
@@ -27,30 +30,62 @@ def page_links(pages: DataFrame, url: str = "url", body: str = "html") -> DataFr
     return pages.select(F.col(url).alias("src"), F.inline(html.links(F.col(url), F.col(body))))
 
 
-def links_of_responses(responses: DataFrame) -> DataFrame:
-    """``(src, links)`` of every response that arrived; a redirect target counts as first link.
+@dataclass(frozen=True)
+class LinkTable:
+    """Links to crawl along.
 
-    Failed exchanges have no row: their pages are neither visited nor counted.
+    ``pages`` is ``(page, n_links, parts)``: every page that can be visited, with the number of its
+    links (NULL if unknown) and of the pieces they are stored in. ``parts`` is ``(page_part, links)``
+    with an array of links per piece; ``page_part`` is the page and the piece number. A page with
+    very many links has many pieces, so no row grows with the table.
     """
-    target = http.redirect_target(F.col("url"), F.col("location"))
-    redirect = F.when(
-        http.is_redirect(F.col("code")) & target.isNotNull(),
-        F.array(F.struct(F.lit(-1).cast("long").alias("pos"), U.without_fragment(target).alias("dst"))),
-    )
-    in_body = F.transform(
-        html.links(F.col("url"), F.col("body").cast("string")), lambda x: F.struct(x["pos"], x["dst"])
-    )
-    none = F.array().cast("array<struct<pos:bigint,dst:string>>")
-    return responses.filter(F.col("error_class").isNull()).select(
-        F.col("url").alias("src"), F.concat(F.coalesce(redirect, none), F.coalesce(in_body, none)).alias("links")
-    )
 
+    pages: DataFrame
+    parts: DataFrame
 
-def links_by_page(links: DataFrame) -> DataFrame:
-    """``(src, links)`` from a link table ``(src, pos, dst)``; a page's links are one page's size."""
-    return links.groupBy("src").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("pos").cast("long").alias("pos"), "dst"))).alias("links")
-    )
+    @classmethod
+    def of_rows(cls, links: DataFrame) -> LinkTable:
+        """From ``(src, pos, dst)``; every ``src`` is a page."""
+        piece = F.expr(f"pos div {LINKS_PER_PART}")
+        pages = links.groupBy(F.col("src").alias("page")).agg(
+            F.count("*").alias("n_links"), (F.max(piece) + 1).alias("parts")
+        )
+        parts = links.groupBy(_page_part(F.col("src"), piece).alias("page_part")).agg(
+            F.collect_list(F.struct(F.col("pos").cast("long").alias("pos"), "dst")).alias("links")
+        )
+        return cls(materialize(pages, "pages"), materialize(parts, "links"))
+
+    @classmethod
+    def of_responses(cls, responses: DataFrame) -> LinkTable:
+        """From response bodies; a redirect target counts as first link.
+
+        Failed exchanges give no page: they are neither visited nor counted. Bodies are read when a
+        page is visited, not before.
+        """
+        arrived = responses.filter(F.col("error_class").isNull())
+        pages = arrived.select(
+            F.col("url").alias("page"),
+            F.lit(None).cast("long").alias("n_links"),
+            F.lit(1).cast("long").alias("parts"),
+        )
+        target = http.redirect_target(F.col("url"), F.col("location"))
+        redirect = F.when(
+            http.is_redirect(F.col("code")) & target.isNotNull(),
+            F.array(F.struct(F.lit(-1).cast("long").alias("pos"), U.without_fragment(target).alias("dst"))),
+        )
+        in_body = F.transform(
+            html.links(F.col("url"), F.col("body").cast("string")), lambda x: F.struct(x["pos"], x["dst"])
+        )
+        none = F.array().cast("array<struct<pos:bigint,dst:string>>")
+        parts = arrived.select(
+            _page_part(F.col("url"), F.lit(0)).alias("page_part"),
+            F.concat(F.coalesce(redirect, none), F.coalesce(in_body, none)).alias("links"),
+        )
+        return cls(pages, parts)
+
+
+def _page_part(page: Column, piece: Column) -> Column:
+    return F.concat_ws("\n", page, piece.cast("string"))
 
 
 def host_filter(links: DataFrame, hosts: Iterable[str | re.Pattern], url: str = "dst") -> DataFrame:
@@ -60,7 +95,7 @@ def host_filter(links: DataFrame, hosts: Iterable[str | re.Pattern], url: str =
 
 def crawl(
     sources: DataFrame,
-    links: DataFrame,
+    links: LinkTable,
     *,
     hosts: Iterable[str | re.Pattern] = (),
     limit: int | None = NO_LIMIT,
@@ -69,13 +104,12 @@ def crawl(
 ) -> DataFrame:
     """Visit pages level by level from each ``(source_id, source)``: ``(source_id, ord, depth, url)``.
 
-    ``links`` is ``(src, links)`` with one row per page that can be visited. Every source has its own
-    history. A link is followed when its host is the start host or matches ``hosts``; with ``rules``
+    Every source has its own history. A link is followed when its host is the start host or matches ``hosts``; with ``rules``
     (parsed robots.txt per host) also only when allowed. ``limit`` bounds the pages visited per source.
 
     Order is breadth first: by depth, then by the parent's position, then by the place of the link.
-    One level is one join of the level's pages to their links; the loop ends when no source finds a
-    new page. The history is an append-only list of level tables.
+    One level is a join to the pages that can be visited, and one to their links; the loop ends when
+    no source finds a new page. The history is an append-only list of level tables.
     """
     limit = check_limit(limit)
     start = U.with_scheme(F.col("source"))
@@ -92,7 +126,6 @@ def crawl(
         "crawl-start",
         rows=F.count("*"),
     )
-    pages = links.select(F.col("src").alias("_page"), "links")
     # All rows of a source share ``base``, the number of pages visited before their level.
     ord_ = F.col("base") + F.col("rn") - 1
     level_columns = [
@@ -101,7 +134,8 @@ def crawl(
         F.col("start_host"),
         ord_.alias("ord"),
         (F.col("base") + F.col("_level_total")).alias("base"),
-        F.col("links"),
+        F.col("n_links"),
+        F.col("parts"),
     ]
     within_limit = F.lit(True) if limit == NO_LIMIT else F.col("ord") < limit
     goes_on = F.lit(True) if limit == NO_LIMIT else F.col("base") < limit
@@ -112,7 +146,15 @@ def crawl(
         F.max("base").alias("base"),
         F.min(F.struct(F.col("ord").alias("parent"), F.col("link.pos").alias("pos"))).alias("_from"),
     ]
-    offers = F.sum(F.when(goes_on, F.size("links")))
+    sizes = {
+        "rows": F.count("*"),
+        "offers": F.sum(F.when(goes_on, F.coalesce("n_links", F.lit(1)))),
+        "unknown": F.count_if(F.col("n_links").isNull()),
+    }
+    page_part = F.explode(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda piece: _page_part(F.col("url"), piece))
+    )
+    onward_columns = [F.col(c) for c in ("source_id", "start_host", "base", "ord")]
 
     rows = seen["rows"] if limit != 0 else 0
     visited = 0
@@ -123,13 +165,14 @@ def crawl(
             found = settle(found, "crawl-allowed", rows)
         fetched = lookup(
             found,
-            pages,
+            links.pages,
             "url",
-            "_page",
+            "page",
             spread=["source_id", "parent", "pos"],
             how="inner",
             rows=rows,
             narrow_right=True,
+            light=True,
         )
         ranked = number_rows(
             settle(fetched, "crawl-fetched", rows),
@@ -141,21 +184,32 @@ def crawl(
             rows=rows,
         )
         level, seen = measure(
-            ranked.select(*level_columns).filter(within_limit), f"crawl-level-{len(levels)}", rows=F.count("*"), offers=offers
+            ranked.select(*level_columns).filter(within_limit), f"crawl-level-{len(levels)}", **sizes
         )
         levels.append(level)
         visited += seen["rows"]
-        rows = seen["offers"]
-        if not rows:
+        if not seen["offers"]:
             break
-        history = reduce(DataFrame.unionByName, [x.select("source_id", "url") for x in levels])
+        going = level.filter(goes_on).select("url", "parts", *onward_columns)
+        going = going.select(page_part.alias("_from_part"), *onward_columns)
         onward = (
-            level.filter(goes_on)
-            .select("source_id", "start_host", "base", "ord", F.explode("links").alias("link"))
+            lookup(
+                going,
+                links.parts,
+                "_from_part",
+                "page_part",
+                spread=["source_id", "ord"],
+                how="inner",
+                rows=seen["rows"] if is_small(seen["offers"]) else None,
+                narrow_right=True,
+            )
+            .select(*onward_columns, F.explode("links").alias("link"))
             .filter(accepted)
             .groupBy("source_id", F.col("link.dst").alias("url"))
             .agg(*first_offer)
         )
+        rows = None if seen["unknown"] else seen["offers"]
+        history = reduce(DataFrame.unionByName, [x.select("source_id", "url") for x in levels])
         if is_small(rows) and not is_small(visited):
             # Few offers, long history: read the history without a shuffle.
             history = history.join(F.broadcast(onward.select("source_id", "url")), ["source_id", "url"], "left_semi")

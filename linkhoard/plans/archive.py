@@ -39,13 +39,16 @@ class Run:
 def crawl_urls(
     sources: DataFrame, responses: DataFrame, options: Options, links: DataFrame | None = None
 ) -> DataFrame:
-    """``(source_id, ord, url)`` by crawling. ``links`` replaces the links found in response bodies."""
+    """``(source_id, ord, url)`` by crawling.
+
+    ``links`` (``src, pos, dst``) replaces the links found in response bodies.
+    """
     rules = None
     if options.respect_robots_txt:
         rules = materialize(R.parse(_robots_of(sources, responses, options, links)), "robots")
-    pages = C.links_of_responses(responses) if links is None else links
+    table = C.LinkTable.of_responses(responses) if links is None else C.LinkTable.of_rows(links)
     return C.crawl(
-        sources, pages, hosts=options.hosts, limit=options.limit, rules=rules, user_agent=options.user_agent
+        sources, table, hosts=options.hosts, limit=options.limit, rules=rules, user_agent=options.user_agent
     ).select("source_id", "ord", "url")
 
 
@@ -101,5 +104,7 @@ def archive(
     if options.dedupe:
         urls = urls.groupBy("source_id", "url").agg(F.min("ord").alias("ord")).select("source_id", "ord", "url")
         urls = materialize(urls, "deduplicated")
-    chosen = urls if options.limit == NO_LIMIT else limit_per_source(urls, options.limit)
+    chosen = urls
+    if options.limit != NO_LIMIT:
+        chosen = materialize(limit_per_source(urls, options.limit), "chosen")
     return Run(urls, submit(chosen, adapter))

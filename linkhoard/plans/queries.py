@@ -410,8 +410,7 @@ def host_filter(spark, sf_dir):
 def _crawl_tables(spark, sf_dir):
     hosted = T.materialize(D.hosted_pages(spark, sf_dir), "hosted")
     starts = D.sources(hosted).select("source_id", F.col("root_url").alias("source"))
-    links = T.materialize(C.links_by_page(D.links(hosted)), "links")
-    return hosted, starts, links
+    return hosted, starts, C.LinkTable.of_rows(T.materialize(D.links(hosted), "links"))
 
 
 @query
@@ -503,12 +502,10 @@ def auto(spark, sf_dir):
 
 def _site_links(hosted):
     """Links of the pages, plus each home page, which links to what the first page links to."""
-    by_page = C.links_by_page(D.links(hosted))
     homes = D.sources(hosted).select(
-        F.col("source").alias("src"),
-        F.array(F.struct(F.lit(0).cast("long").alias("pos"), F.col("root_url").alias("dst"))).alias("links"),
+        "host", F.col("source").alias("src"), F.lit(0).cast("long").alias("pos"), F.col("root_url").alias("dst")
     )
-    return T.materialize(by_page.unionByName(homes), "links")
+    return T.materialize(D.links(hosted).unionByName(homes), "links")
 
 
 def _run(spark, sf_dir, strategy, limit=RUN_LIMIT):

@@ -259,11 +259,14 @@ def breadth_first(graph, start, accepts, limit):
 @pytest.mark.parametrize("limit", [-1, 7])
 def test_crawl_on_random_graphs(spark, plans, limit, monkeypatch):
     monkeypatch.setattr(C, "PARENTS_PER_CHUNK", 3)
+    monkeypatch.setattr(C, "LINKS_PER_PART", 2)
     rng = random.Random(limit + 2)
     nodes = [f"http://h{i % 3}/{i}" for i in range(60)]
     graph = {n: [rng.choice([*nodes, "http://h0/missing"]) for _ in range(rng.randrange(5))] for n in nodes if rng.random() < 0.9}
-    links = spark.createDataFrame(
-        [(s, [(i, d) for i, d in enumerate(ds)]) for s, ds in graph.items()], "src string, links array<struct<pos:long,dst:string>>"
+    # A page without links still is a page: it links to itself.
+    graph = {s: ds or [s] for s, ds in graph.items()}
+    links = C.LinkTable.of_rows(
+        spark.createDataFrame([(s, i, d) for s, ds in graph.items() for i, d in enumerate(ds)], "src string, pos long, dst string")
     )
     starts = [n for n in nodes[:12]]
     got = defaultdict(list)
@@ -287,7 +290,7 @@ def test_crawl_of_response_bodies(spark):
         {"url": "http://other.org/"},
     )
     sources = spark.createDataFrame([(1, "www.example.com/")], "source_id long, source string")
-    links = C.links_of_responses(table)
+    links = C.LinkTable.of_responses(table)
     assert [r.url for r in C.crawl(sources, links).orderBy("ord").collect()] == [
         f"http://www.example.com/{p}" for p in ("", "found", "moved", "target")
     ]
