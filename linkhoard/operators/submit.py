@@ -72,16 +72,20 @@ class CallableAdapter:
         )
 
 
-def submit(urls: DataFrame, adapter: Callable[[DataFrame], DataFrame]) -> DataFrame:
+Adapter = RecordedAdapter | CallableAdapter | BatchAdapter
+
+
+def submit(urls: DataFrame, adapter: Adapter, concurrency: int = 1) -> DataFrame:
     """One result row per URL, errored ones included.
 
-    Submitting has effects outside Spark, so the results are written before anything reads them:
-    later actions cannot submit again.
+    A plain function is called in ``concurrency`` parallel tasks. Submitting has effects outside
+    Spark, so such results are written before anything reads them: later actions cannot submit again.
     """
-    if not callable(adapter):
-        raise TypeError("adapter must be callable")
-    results = adapter(urls)
-    return results if isinstance(adapter, RecordedAdapter) else materialize(results, "results")
+    if isinstance(adapter, RecordedAdapter):
+        return adapter(urls)
+    if not isinstance(adapter, CallableAdapter):
+        adapter = CallableAdapter(adapter, concurrency)
+    return materialize(adapter(urls), "results")
 
 
 def posted(results: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,7 +13,7 @@ from ..operators import crawl as C
 from ..operators import robots as R
 from ..operators import sitemaps as S
 from ..operators.ranking import limit_per_source
-from ..operators.submit import posted, submit, summarize
+from ..operators.submit import Adapter, posted, submit, summarize
 from ..sources.tables import materialize
 
 
@@ -94,7 +93,7 @@ def collect(
 def archive(
     sources: DataFrame,
     responses: DataFrame,
-    adapter: Callable[[DataFrame], DataFrame],
+    adapter: Adapter,
     options: Options | None = None,
     links: DataFrame | None = None,
 ) -> Run:
@@ -107,4 +106,4 @@ def archive(
     chosen = urls
     if options.limit != NO_LIMIT:
         chosen = materialize(limit_per_source(urls, options.limit), "chosen")
-    return Run(urls, submit(chosen, adapter))
+    return Run(urls, submit(chosen, adapter, options.concurrency))

@@ -66,6 +66,7 @@ def test_callable_adapter_submits_once(spark, tmp_path):
     results = submit(urls, CallableAdapter(answering(str(tmp_path)), concurrency=4))
     assert results.count() == 50 and posted(results).count() == 50
     assert sorted(p.name.split("-")[1] for p in tmp_path.iterdir()) == sorted(map(str, range(50)))
+    assert submit(urls, answering(str(tmp_path)), concurrency=2).count() == 50
 
 
 def test_adapters_are_checked(spark):
@@ -129,12 +130,10 @@ def site(spark):
     ("options", "want"),
     [
         (Options(), {1: ["http://a/1", "http://a/2", "http://a/1"], 2: ["http://b", "http://b/x", "http://b/y"]}),
-        (Options(limit=2), {1: ["http://a/1", "http://a/2"], 2: ["http://b", "http://b/x"]}),
-        (Options(dedupe=True), {1: ["http://a/1", "http://a/2"], 2: ["http://b", "http://b/x", "http://b/y"]}),
+        (Options(limit=2, dedupe=True), {1: ["http://a/1", "http://a/2"], 2: ["http://b", "http://b/x"]}),
         (Options(strategy="crawl", respect_robots_txt=True), {2: ["http://b", "http://b/x", "http://b/y"]}),
         (Options(strategy="url"), {1: ["http://a"], 2: ["b"]}),
         (Options(strategy="sitemap"), {}),
-        (Options(limit=0), {}),
     ],
 )
 def test_strategies(site, options, want):
