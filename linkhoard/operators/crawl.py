@@ -141,10 +141,28 @@ def crawl(
     goes_on = F.lit(True) if limit == NO_LIMIT else F.col("base") < limit
     dst_host = U.host(F.col("link.dst"))
     accepted = (dst_host == F.col("start_host")) | U.host_matches(dst_host, tuple(hosts))
+    # Offers and history meet in one aggregation: a page is new if no row of the history is there.
+    offer_columns = [
+        F.col("source_id"),
+        F.col("link.dst").alias("url"),
+        F.col("start_host"),
+        F.col("base"),
+        F.struct(F.col("ord").alias("parent"), F.col("link.pos").alias("pos")).alias("_from"),
+        F.lit(False).alias("_seen"),
+    ]
+    seen_columns = [
+        F.col("source_id"),
+        F.col("url"),
+        F.lit(None).cast("string").alias("start_host"),
+        F.lit(None).cast("long").alias("base"),
+        F.lit(None).cast("struct<parent:bigint,pos:bigint>").alias("_from"),
+        F.lit(True).alias("_seen"),
+    ]
     first_offer = [
         F.max("start_host").alias("start_host"),
         F.max("base").alias("base"),
-        F.min(F.struct(F.col("ord").alias("parent"), F.col("link.pos").alias("pos"))).alias("_from"),
+        F.min("_from").alias("_from"),
+        F.bool_or("_seen").alias("_seen"),
     ]
     sizes = {
         "rows": F.count("*"),
@@ -205,16 +223,19 @@ def crawl(
             )
             .select(*onward_columns, F.explode("links").alias("link"))
             .filter(accepted)
-            .groupBy("source_id", F.col("link.dst").alias("url"))
-            .agg(*first_offer)
+            .select(*offer_columns)
         )
         rows = None if seen["unknown"] else seen["offers"]
-        history = reduce(DataFrame.unionByName, [x.select("source_id", "url") for x in levels])
+        history = reduce(DataFrame.unionByName, [x.select(*seen_columns) for x in levels])
         if is_small(rows) and not is_small(visited):
             # Few offers, long history: read the history without a shuffle.
             history = history.join(F.broadcast(onward.select("source_id", "url")), ["source_id", "url"], "left_semi")
-        found = onward.join(history, ["source_id", "url"], "left_anti").select(
-            "source_id", "url", "start_host", "base", "_from.parent", "_from.pos"
+        found = (
+            onward.unionByName(history)
+            .groupBy("source_id", "url")
+            .agg(*first_offer)
+            .filter(~F.col("_seen"))
+            .select("source_id", "url", "start_host", "base", "_from.parent", "_from.pos")
         )
         if not is_small(rows):
             found, seen = measure(found, f"crawl-found-{len(levels)}", rows=F.count("*"))

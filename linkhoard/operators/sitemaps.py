@@ -50,7 +50,10 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
         F.concat("path", F.array(F.col("_pos").cast("long"))).alias("path"),
     ]
     shortest = F.min("path").alias("path")
-    better = F.col("_path").isNull() | (F.col("path") < F.col("_path"))
+    # Offers and known paths meet in one aggregation.
+    nowhere = F.lit(None).cast(_PATH)
+    best = [shortest, F.min("_known").alias("_known")]
+    better = F.col("path").isNotNull() & (F.col("_known").isNull() | (F.col("path") < F.col("_known")))
 
     rows_written = F.count("*")
     start = roots.select("root_id", "doc_url", F.array().cast(_PATH).alias("path"))
@@ -63,23 +66,21 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
         levels.append(frontier)
         wanted = frontier.select(F.col("doc_url").alias("url"))
         if documents:
-            known = _union([d.select(F.col("doc_url").alias("url")) for d in documents])
-            wanted = wanted.join(known, "url", "left_anti")
+            fetched = _union([d.select(F.col("doc_url").alias("url")) for d in documents])
+            wanted = wanted.join(fetched, "url", "left_anti")
         if not (seeded and len(levels) == 1):
             answers = follow(wanted, responses, payload=_parsed, max_redirects=max_redirects, rows=rows)
             documents.append(answers.select(F.col("url").alias("doc_url"), "payload.*"))
         indexes = _union(
             [d.filter(F.col("kind") == S.INDEX).select(F.col("doc_url").alias("_index_url"), "child_locs") for d in documents]
         )
-        reached = _union(levels).groupBy("root_id", "doc_url").agg(F.min("path").alias("_path"))
         offered = (
             lookup(frontier, indexes, "doc_url", "_index_url", spread=["root_id"], how="inner", rows=rows)
             .select("root_id", "path", F.posexplode("child_locs").alias("_pos", "doc_url"))
-            .select(*step)
-            .groupBy("root_id", "doc_url")
-            .agg(shortest)
+            .select(*step, nowhere.alias("_known"))
         )
-        improved = offered.join(reached, ["root_id", "doc_url"], "left").filter(better).drop("_path")
+        known = _union([x.select("root_id", "doc_url", nowhere.alias("path"), F.col("path").alias("_known")) for x in levels])
+        improved = offered.unionByName(known).groupBy("root_id", "doc_url").agg(*best).filter(better).drop("_known")
         frontier, seen = measure(improved, f"sitemap-level-{len(levels)}", rows=rows_written)
     every = _union(levels or [frontier]).groupBy("root_id", "doc_url").agg(shortest)
     if not documents:
