@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -105,10 +106,10 @@ def plain_lines(content: Column) -> Column:
     return F.filter(F.transform(F.split(content, "\n", -1), urls.strip), urls.is_http_url)
 
 
-def with_document(df: DataFrame, out: str, body: str = "body") -> DataFrame:
-    """Add ``out``, a ``struct<kind, root_name, page_locs, child_locs>`` read from a body column.
+def document_reader(out: str, body: str = "body") -> Callable[[DataFrame], DataFrame]:
+    """A step that adds ``out``, a ``struct<kind, root_name, page_locs, child_locs>`` read from a body column.
 
-    Text that is not a well-formed XML document is read as one URL per line. The steps are columns
+    Text that is not a well-formed XML document is read as one URL per line. The parts are columns
     of their own so that each document is decoded and parsed once.
     """
     content, xml, root, well_formed = (F.col(c) for c in ("_text", "_xml", "_root", "_well_formed"))
@@ -128,11 +129,22 @@ def with_document(df: DataFrame, out: str, body: str = "body") -> DataFrame:
         F.when(is_index, _locations(xml["sitemap"])).otherwise(none).alias("child_locs"),
     )
     checked = root.isNotNull() & xml["_corrupt"].isNull() & _closes_once(content, root)
-    return (
-        df.withColumn("_text", text(decode_body(F.col(body))))
-        .withColumn("_xml", F.from_xml(content, _XML_SCHEMA, _XML_OPTIONS))
-        .withColumn("_root", root_name(content))
-        .withColumn("_well_formed", F.coalesce(checked, F.lit(False)))
-        .withColumn(out, document)
-        .drop("_text", "_xml", "_root", "_well_formed")
-    )
+    parts = {
+        "_text": text(decode_body(F.col(body))),
+        "_xml": F.from_xml(content, _XML_SCHEMA, _XML_OPTIONS),
+        "_root": root_name(content),
+        "_well_formed": F.coalesce(checked, F.lit(False)),
+        out: document,
+    }
+
+    def read(df: DataFrame) -> DataFrame:
+        for name, part in parts.items():
+            df = df.withColumn(name, part)
+        return df.drop("_text", "_xml", "_root", "_well_formed")
+
+    return read
+
+
+def with_document(df: DataFrame, out: str, body: str = "body") -> DataFrame:
+    """``document_reader`` applied once."""
+    return document_reader(out, body)(df)

@@ -49,22 +49,24 @@ def outcome_of(url: Column, known: Column, **rules: bool) -> Column:
     )
 
 
-def follow(
-    requests: DataFrame,
+def follow(requests: DataFrame, responses: DataFrame, *, rows: int | None = None, **options) -> DataFrame:
+    """Answer each distinct ``url`` of ``requests`` once; see ``follower`` for options and result."""
+    return follower(responses, **options)(requests, rows)
+
+
+def follower(
     responses: DataFrame,
     *,
     payload: Callable[[DataFrame], DataFrame] | None = None,
     max_redirects: int = MAX_REDIRECTS,
     follow_redirects: bool = True,
     raise_on_http_error: bool = False,
-    rows: int | None = None,
-) -> DataFrame:
-    """Answer each distinct ``url`` of ``requests``, following redirects.
+) -> Callable[[DataFrame, int | None], DataFrame]:
+    """A step that answers each distinct ``url`` of a table, following redirects.
 
-    Returns ``(url, final_url, code, message, hops, error_class, error_message[, payload])``. A
+    It takes the requests and, if known, an upper bound on their number, and returns ``(url, final_url, code, message, hops, error_class, error_message[, payload])``. A
     failed request has ``final_url`` and ``code`` NULL. ``payload`` adds a column ``payload`` computed
     from the response columns; it is kept where a chain ends. Bodies are read only for it.
-    ``rows`` is a known upper bound on the number of requests.
 
     Each hop is one join of the URLs still moving. The loop ends when none is left, at the
     latest after ``max_redirects`` hops. A chain that comes back to a URL of its own can only end
@@ -101,33 +103,41 @@ def follow(
     onward = [F.col("url"), F.col("_next").alias("at"), (F.col("hops") + 1).alias("hops"), F.col("trail")]
     moves = F.col("_next").isNotNull()
 
-    moving = requests.select("url").distinct().select(
-        "url", with_scheme(F.col("url")).alias("at"), F.lit(0).cast("long").alias("hops"), F.array().cast("array<string>").alias("trail")
-    )
-    finished = []
-    while True:
-        first = not finished
-        found = lookup(
-            moving,
-            answers,
-            "at",
-            "_answer_url",
-            spread=["url"],
-            rows=rows,
-            unique=first,
-            narrow_right=rows is not None or not first or payload is not None,
-            light=payload is None,
-        )
-        step, seen = measure(
-            (found if payload is None else payload(found)).withColumn("_outcome", outcome)
-            .withColumn("_target", target)
-            .withColumn("_failed", failed)
-            .select(*step_columns),
-            "hop",
-            moving=F.count("_next"),
-        )
-        finished.append(step.filter(~moves).drop("_next", "trail"))
-        rows = seen["moving"]
-        if rows == 0:
-            return reduce(DataFrame.unionByName, finished)
-        moving = step.filter(moves).select(*onward)
+    first_columns = [
+        F.col("url"),
+        with_scheme(F.col("url")).alias("at"),
+        F.lit(0).cast("long").alias("hops"),
+        F.array().cast("array<string>").alias("trail"),
+    ]
+
+    def answer(requests: DataFrame, rows: int | None = None) -> DataFrame:
+        moving = requests.select("url").distinct().select(*first_columns)
+        finished = []
+        while True:
+            first = not finished
+            found = lookup(
+                moving,
+                answers,
+                "at",
+                "_answer_url",
+                spread=["url"],
+                rows=rows,
+                unique=first,
+                narrow_right=rows is not None or not first or payload is not None,
+                light=payload is None,
+            )
+            step, seen = measure(
+                (found if payload is None else payload(found)).withColumn("_outcome", outcome)
+                .withColumn("_target", target)
+                .withColumn("_failed", failed)
+                .select(*step_columns),
+                "hop",
+                moving=F.count("_next"),
+            )
+            finished.append(step.filter(~moves).drop("_next", "trail"))
+            rows = seen["moving"]
+            if rows == 0:
+                return reduce(DataFrame.unionByName, finished)
+            moving = step.filter(moves).select(*onward)
+
+    return answer

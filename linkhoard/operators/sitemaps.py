@@ -12,17 +12,13 @@ from ..functions import sitemap as S
 from ..functions import urls as U
 from ..sources.tables import materialize, measure, settle
 from . import robots
-from .fetch import follow
+from .fetch import follow, follower
 from .lookup import lookup
 from .ranking import running_total
 
 _PATH = "array<bigint>"
 
 
-def _parsed(found: DataFrame) -> DataFrame:
-    return S.with_document(found, "payload")
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -55,6 +51,7 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
     best = [shortest, F.min("_known").alias("_known")]
     better = F.col("path").isNotNull() & (F.col("_known").isNull() | (F.col("path") < F.col("_known")))
 
+    answer = follower(responses, payload=S.document_reader("payload"), max_redirects=max_redirects)
     rows_written = F.count("*")
     start = roots.select("root_id", "doc_url", F.array().cast(_PATH).alias("path"))
     frontier, seen = measure(start, "sitemap-roots", rows=rows_written)
@@ -69,7 +66,7 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
             fetched = _union([d.select(F.col("doc_url").alias("url")) for d in documents])
             wanted = wanted.join(fetched, "url", "left_anti")
         if not (seeded and len(levels) == 1):
-            answers = follow(wanted, responses, payload=_parsed, max_redirects=max_redirects, rows=rows)
+            answers = answer(wanted, rows)
             documents.append(answers.select(F.col("url").alias("doc_url"), "payload.*"))
         indexes = _union(
             [d.filter(F.col("kind") == S.INDEX).select(F.col("doc_url").alias("_index_url"), "child_locs") for d in documents]
