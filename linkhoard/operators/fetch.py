@@ -64,9 +64,10 @@ def follower(
 ) -> Callable[[DataFrame, int | None], DataFrame]:
     """A step that answers each distinct ``url`` of a table, following redirects.
 
-    It takes the requests and, if known, an upper bound on their number, and returns ``(url, final_url, code, message, hops, error_class, error_message[, payload])``. A
-    failed request has ``final_url`` and ``code`` NULL. ``payload`` adds a column ``payload`` computed
-    from the response columns; it is kept where a chain ends. Bodies are read only for it.
+    It takes the requests and, if known, an upper bound on their number, and returns
+    ``(url, final_url, code, message, hops, error_class, error_message[, payload])``. A failed request
+    has ``final_url`` and ``code`` NULL. ``payload`` adds a column ``payload`` computed from the
+    response columns; it is kept where a chain ends. Bodies are read only for it.
 
     Each hop is one join of the URLs still moving. The loop ends when none is left, at the
     latest after ``max_redirects`` hops. A chain that comes back to a URL of its own can only end
