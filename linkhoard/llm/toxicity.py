@@ -14,7 +14,7 @@ nonzero weight gets the same. Without usable labels every score is 0.5 and every
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -37,8 +37,7 @@ class Settings:
     rounds: int = 6
     alpha: float = 2.0
     beta: float = 1.0
-    #: For shards of ``rows_per_shard`` rows; smaller samples get a share of it, 0.5 at least.
-    l1: float = 4.0
+    l1: float = 6.0
     l2: float = 0.1
 
 
@@ -114,7 +113,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
     if not rows:
         return Model(bits=s.bits)
     shards = max(1, rows // s.rows_per_shard)
-    s = replace(s, l1=min(s.l1, max(0.5, s.l1 * rows / s.rows_per_shard)))
 
     def distinct(batches):
         for batch in batches:
