@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash, toxicity
+from . import decontamination, linededup, quality, records, simhash, toxicity, warc
 from .base import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +42,31 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return _scored(quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels"))), 0.3)
+
+
+@query
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return records.digests(records.write(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read(warc.normalise(warc.write(read(spark, sf_dir, "pages"))), with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.line_report(read(spark, sf_dir, "documents"))
+    return found.withColumn("dropped", F.concat_ws(",", F.col("dropped").cast("array<string>")))
