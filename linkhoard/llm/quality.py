@@ -2,10 +2,10 @@
 
 A text is the mean of the vectors of its white-space separated words and of the n-grams of 3 and 4
 characters of each word with its borders, case kept, and of three marks for a word that repeats one of the
-three words before it. Vectors and output layer are learned together by
-stochastic gradient descent in numpy, on a sample of at most about ``max_rows`` labelled rows in a few
-shards; after each round over the shards their parameters are averaged. A model has ``2 ** bits`` vectors
-whatever the corpus.
+three words before it. Vectors and output layer are learned together by stochastic gradient descent in numpy,
+on a sample of at most about ``max_rows`` labelled rows, dealt once to a few shards of about ``rows_per_shard``. The
+shards' vectors are put side by side and their outputs averaged, so a model has ``2 ** bits`` vectors of at most
+``size * max_rows / rows_per_shard`` numbers, whatever the corpus.
 
 Since the mean is linear, a vector counts for a score only by its product with the output layer. Scoring
 therefore looks up one number per n-gram, in one pass over the documents without a shuffle.
@@ -23,7 +23,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize
 from . import base, grams
 
 _SIZES = (3, 4)
@@ -38,7 +37,7 @@ class Settings:
     bits: int = 16
     size: int = 12
     max_rows: int = 12_000
-    rows_per_shard: int = 1_500
+    rows_per_shard: int = 4_000
     rounds: int = 6
     rate: float = 1.0
     seed: int = 11
@@ -46,7 +45,7 @@ class Settings:
 
 @dataclass
 class Model:
-    """``vectors`` of the hashed n-grams, ``output`` (2 x size) and ``bias`` (2) of the softmax."""
+    """``vectors`` of the hashed n-grams, ``output`` (2 rows) and ``bias`` (2) of the softmax."""
 
     bits: int
     vectors: np.ndarray
@@ -89,9 +88,9 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def _pass(rows: pd.DataFrame, vectors: np.ndarray, output: np.ndarray, bias: np.ndarray, rate: float) -> None:
-    for label, index, share in zip(rows["label"], rows["features"], rows["shares"]):
-        index, share = np.frombuffer(index, dtype=np.int32), np.frombuffer(share, dtype=np.float32)
+def _pass(labels: list[int], examples: list[tuple[np.ndarray, np.ndarray]], vectors, output, bias, rate: float) -> None:
+    """One pass over the rows, changing the parameters in place."""
+    for label, (index, share) in zip(labels, examples):
         mine = vectors[index]
         hidden = share @ mine
         error = _softmax(output @ hidden + bias)
@@ -103,57 +102,47 @@ def _pass(rows: pd.DataFrame, vectors: np.ndarray, output: np.ndarray, bias: np.
         vectors[index] = mine - rate * np.sqrt(share)[:, None] * back
 
 
-def _shard(given: tuple[np.ndarray, ...], rate: float):
-    """The pass of one shard from the common parameters, as a function of its rows."""
+def _examples(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The distinct features of each text, and their shares of its mean."""
+    out = []
+    for chunk in base.chunks(texts):
+        owner, feature = features(chunk, bits)
+        keys, counts = np.unique(owner << bits | feature, return_counts=True)
+        bounds = np.searchsorted(keys >> bits, np.arange(len(chunk) + 1))
+        values = (keys & (1 << bits) - 1).astype(np.int32)
+        out += [(values[a:b], (counts[a:b] / max(1, counts[a:b].sum())).astype(np.float32)) for a, b in zip(bounds, bounds[1:])]
+    return out
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        mine = [x.copy() for x in given]
-        _pass(rows.sort_values("pick", kind="stable"), *mine, rate)
-        return pd.DataFrame({name: [x.astype(np.float32).tobytes()] for name, x in zip("vob", mine)})
 
-    return run
+def _start(s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    vectors = np.random.default_rng(s.seed).uniform(-1 / s.size, 1 / s.size, (1 << s.bits, s.size)).astype(np.float32)
+    return vectors, np.zeros((2, s.size), np.float32), np.zeros(2, np.float32)
+
+
+def _fit(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
+    """The parameters of one shard."""
+    rows = rows.sort_values("pick", kind="stable")
+    examples = _examples(rows["text"].tolist(), s.bits)
+    vectors, output, bias = _start(s)
+    for turn in range(s.rounds):
+        _pass(rows["label"].tolist(), examples, vectors, output, bias, s.rate * (1 - turn / s.rounds))
+    return pd.DataFrame({"vectors": [vectors.tobytes()], "output": [output.tobytes()], "bias": [bias.tobytes()]})
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Settings = Settings()) -> Model:
     """Fit on a bounded sample of the labelled rows; see the module docstring."""
     s = settings
-    random = np.random.default_rng(s.seed)
-    vectors = random.uniform(-1 / s.size, 1 / s.size, (1 << s.bits, s.size)).astype(np.float32)
-    output, bias = np.zeros((2, s.size), np.float32), np.zeros(2, np.float32)
     sample, rows = base.labelled_sample(docs, labels, label, s.max_rows)
     if not rows:
-        return Model(s.bits, vectors, output, bias)
-    shards = max(1, rows // s.rows_per_shard)
-
-    def counted(batches):
-        for batch in batches:
-            indices, shares = [], []
-            for chunk in base.chunks(batch["text"]):
-                owner, feature = features(chunk, s.bits)
-                keys, counts = np.unique(owner << s.bits | feature, return_counts=True)
-                bounds = np.searchsorted(keys >> s.bits, np.arange(len(chunk) + 1))
-                values = (keys & (1 << s.bits) - 1).astype(np.int32)
-                for a, b in zip(bounds, bounds[1:]):
-                    indices.append(values[a:b].tobytes())
-                    shares.append((counts[a:b] / max(1, counts[a:b].sum())).astype(np.float32).tobytes())
-            yield pd.DataFrame({"label": batch["label"], "pick": batch["pick"], "features": indices, "shares": shares})
-
-    examples = materialize(
-        sample.mapInPandas(counted, "label int, pick long, features binary, shares binary").withColumn(
-            "shard", (F.xxhash64("pick") % shards)
-        ),
-        "quality-examples",
-    )
-    for turn in range(s.rounds):
-        step = _shard((vectors, output, bias), s.rate * (1 - turn / s.rounds))
-        states = examples.groupBy("shard").applyInPandas(step, "v binary, o binary, b binary").collect()
-        if not states:
-            break
-        vectors, output, bias = (
-            base.mean_arrays([r[k] for r in states], "float32").reshape(x.shape)
-            for k, x in zip("vob", (vectors, output, bias))
-        )
-    return Model(s.bits, vectors, output, bias)
+        return Model(s.bits, *_start(s))
+    shard = F.xxhash64("pick") % max(1, round(rows / s.rows_per_shard))
+    fitted = sample.groupBy(shard).applyInPandas(lambda part: _fit(part, s), "vectors binary, output binary, bias binary").collect()
+    if not fitted:
+        return Model(s.bits, *_start(s))
+    parts = [[np.frombuffer(r[k], dtype=np.float32) for r in fitted] for k in ("vectors", "output", "bias")]
+    vectors = np.hstack([v.reshape(-1, s.size) for v in parts[0]])
+    output = np.hstack([o.reshape(2, s.size) for o in parts[1]]) / len(fitted)
+    return Model(s.bits, vectors, output, np.mean(parts[2], axis=0))
 
 
 def score_texts(texts: list[str], bits: int, effects: np.ndarray, shift: float) -> np.ndarray:

@@ -4,9 +4,9 @@ Features of a text are the distinct hashed word unigrams, bigrams and skip-grams
 of the whole text, lower-cased. FTRL-proximal keeps a learning rate per coordinate and an L1 penalty that
 leaves most weights exactly zero, so that the model sent to the scoring tasks is a short list of weights.
 
-Training runs on a sample of at most about ``max_rows`` labelled rows, dealt to a few shards. In each round
-every shard goes once over its rows from the common state and the states are averaged; a state has
-``2 ** bits`` coordinates whatever the corpus. Scoring is one pass over the documents without a shuffle.
+Training runs on a sample of at most about ``max_rows`` labelled rows, dealt once to a few shards of about
+``rows_per_shard``. Every shard goes several times over its rows in one task and returns its nonzero weights, at most
+``2 ** bits`` whatever the corpus; the model is their mean. Scoring is one pass over the documents without a shuffle.
 
 NULL and empty texts have no features and get the score of the intercept. A text without any feature of
 nonzero weight gets the same. Without usable labels every score is 0.5 and every prediction 1.
@@ -21,7 +21,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize
 from . import base, grams
 
 _WORD = np.zeros(256, dtype=bool)
@@ -79,11 +78,10 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _pass(rows: pd.DataFrame, z: np.ndarray, n: np.ndarray, s: Settings) -> None:
+def _pass(labels: list[int], examples: list[np.ndarray], z: np.ndarray, n: np.ndarray, s: Settings) -> None:
     """One pass over the rows; the last coordinate is the intercept, which is not penalised."""
     top = len(z) - 1
-    for label, packed in zip(rows["label"], rows["features"]):
-        index = np.frombuffer(packed, dtype=np.int32)
+    for label, index in zip(labels, examples):
         zi, ni = z[index], n[index]
         w = _weights(zi, ni, s)
         bias = -z[top] / ((s.beta + np.sqrt(n[top])) / s.alpha)
@@ -95,15 +93,30 @@ def _pass(rows: pd.DataFrame, z: np.ndarray, n: np.ndarray, s: Settings) -> None
         n[top] += g * g
 
 
-def _shard(z: np.ndarray, n: np.ndarray, s: Settings):
-    """The pass of one shard from the common state, as a function of its rows."""
+def _examples(texts: list[str], bits: int) -> list[np.ndarray]:
+    """The distinct features of each text."""
+    out = []
+    for chunk in base.chunks(texts):
+        owner, feature = features(chunk, bits)
+        keys = np.unique(owner << bits | feature)
+        bounds = np.searchsorted(keys >> bits, np.arange(len(chunk) + 1))
+        values = (keys & (1 << bits) - 1).astype(np.int32)
+        out += [values[a:b] for a, b in zip(bounds, bounds[1:])]
+    return out
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        mine = z.astype(np.float64), n.astype(np.float64)
-        _pass(rows.sort_values("pick", kind="stable"), *mine, s)
-        return pd.DataFrame({name: [x.astype(np.float32).tobytes()] for name, x in zip("zn", mine)})
 
-    return run
+def _fit(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
+    """The weights of one shard."""
+    rows = rows.sort_values("pick", kind="stable")
+    examples = _examples(rows["text"].tolist(), s.bits)
+    z = np.zeros((1 << s.bits) + 1)
+    n = np.zeros_like(z)
+    for _ in range(s.rounds):
+        _pass(rows["label"].tolist(), examples, z, n, s)
+    weights = _weights(z[:-1], n[:-1], s).astype(np.float32)
+    kept = np.flatnonzero(weights).astype(np.int32)
+    intercept = -z[-1] / ((s.beta + np.sqrt(n[-1])) / s.alpha)
+    return pd.DataFrame({"indices": [kept.tobytes()], "weights": [weights[kept].tobytes()], "intercept": [intercept]})
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings()) -> Model:
@@ -112,36 +125,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
     sample, rows = base.labelled_sample(docs, labels, label, s.max_rows)
     if not rows:
         return Model(bits=s.bits)
-    shards = max(1, rows // s.rows_per_shard)
-
-    def distinct(batches):
-        for batch in batches:
-            packed = []
-            for chunk in base.chunks(batch["text"]):
-                owner, feature = features(chunk, s.bits)
-                keys = np.unique(owner << s.bits | feature)
-                bounds = np.searchsorted(keys >> s.bits, np.arange(len(chunk) + 1))
-                values = (keys & (1 << s.bits) - 1).astype(np.int32)
-                packed += [values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
-            yield pd.DataFrame({"label": batch["label"], "pick": batch["pick"], "features": packed})
-
-    examples = materialize(
-        sample.mapInPandas(distinct, "label int, pick long, features binary").withColumn(
-            "shard", (F.xxhash64("pick") % shards)
-        ),
-        "toxicity-examples",
-    )
-    z = np.zeros((1 << s.bits) + 1, dtype=np.float32)
-    n = np.zeros_like(z)
-    for _ in range(s.rounds):
-        states = examples.groupBy("shard").applyInPandas(_shard(z, n, s), "z binary, n binary").collect()
-        if not states:  # no labelled id has a document
-            return Model(bits=s.bits)
-        z = base.mean_arrays([r["z"] for r in states], "float32")
-        n = base.mean_arrays([r["n"] for r in states], "float32")
-    weights = _weights(z[:-1], n[:-1], s).astype(np.float32)
-    kept = np.flatnonzero(weights).astype(np.int32)
-    return Model(s.bits, kept, weights[kept], float(-z[-1] / ((s.beta + np.sqrt(n[-1])) / s.alpha)))
+    shard = F.xxhash64("pick") % max(1, round(rows / s.rows_per_shard))
+    fitted = sample.groupBy(shard).applyInPandas(lambda part: _fit(part, s), "indices binary, weights binary, intercept double").collect()
+    if not fitted:  # no labelled id has a document
+        return Model(bits=s.bits)
+    mean = np.zeros(1 << s.bits)
+    for row in fitted:
+        mean[np.frombuffer(row["indices"], dtype=np.int32)] += np.frombuffer(row["weights"], dtype=np.float32) / len(fitted)
+    kept = np.flatnonzero(mean).astype(np.int32)
+    return Model(s.bits, kept, mean[kept].astype(np.float32), float(np.mean([r["intercept"] for r in fitted])))
 
 
 def score_texts(texts: list[str], model: Model, table: np.ndarray) -> np.ndarray:
