@@ -1,15 +1,64 @@
-"""From raw documents to clean, tokenized ones."""
+"""From raw documents to clean, tokenized ones.
+
+Each stage of ``STAGES`` takes ``(spark, docs, sf_dir)`` and returns a table, which ``run`` writes as Parquet in the shared
+folder and reads again as the next stage's ``docs``. All but the last keep the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linkhoard.llm import decontamination, linededup, pieces, quality, simhash
+from linkhoard.llm.base import read, tokenizer_file
+from linkhoard.sources.tables import materialize
+
+QUALITY = 0.3
+SHINGLE_WORDS = 5
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores at least ``QUALITY``."""
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return quality.filter_documents(docs, model, QUALITY)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that occurred before are taken out; documents with nothing else go."""
+    return linededup.deduplicate(docs)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs, SHINGLE_WORDS)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontamination.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, their number, and the text as decoded from them."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    decoded = pieces.decode(pieces.encode(docs, model), model)
+    return decoded.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("line dedup", drop_lines),
+    ("SimHash near-dedup", drop_copies),
+    ("benchmark decontamination", drop_benchmark),
+    ("SentencePiece encoding and decoding", tokenize),
+]
 
-STAGES: list = []
+#: SQL cannot express the trained classifier; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

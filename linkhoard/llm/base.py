@@ -16,6 +16,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer, the same on all machines of a cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the rows whose labels are never learned from: crc32 of the id as text, mod 5, is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))

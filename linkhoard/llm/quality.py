@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -168,9 +169,12 @@ def filter_documents(docs: DataFrame, model: Model, threshold: float) -> DataFra
     """The rows of ``docs`` that score at least ``threshold``, all columns kept."""
     bits, effects, shift = model.bits, model.effects(), float(model.bias[1] - model.bias[0])
 
+    at = docs.columns.index("text")
+
     def kept(batches):
         for batch in batches:
-            values = [score_texts(chunk, bits, effects, shift) for chunk in base.chunks(batch["text"], base.CHUNK_BYTES // 2)]
-            yield batch[np.concatenate(values or [np.zeros(0)]) >= threshold]
+            texts = batch.column(at).to_pylist()
+            values = [score_texts(chunk, bits, effects, shift) for chunk in base.chunks(texts, base.CHUNK_BYTES // 2)]
+            yield batch.filter(pa.array(np.concatenate(values or [np.zeros(0)]) >= threshold))
 
-    return docs.mapInPandas(kept, docs.schema)
+    return docs.mapInArrow(kept, docs.schema)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, linededup, quality, records, simhash, toxicity, warc
-from .base import held_out, read
+from . import decontamination, linededup, pieces, quality, records, simhash, toxicity, warc
+from .base import held_out, read, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,10 +54,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
 
-    return records.digests(records.write(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+@query
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.digests(records.write(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
 
 
 @query

@@ -117,4 +117,4 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     """
     found = near_duplicates(docs, words)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
