@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, linededup, pieces, quality, records, simhash, toxicity, warc
+from . import ann, decontamination, linededup, pieces, quality, records, simhash, sitetree, toxicity, warc
 from .base import held_out, read, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -58,6 +63,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+@query
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.digests(records.write(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
