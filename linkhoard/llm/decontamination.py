@@ -173,6 +173,8 @@ def _postings(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _candidates(keys: np.ndarray, search: _Search) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``(window, place of its rarest word)``, in slices of bounded size."""
+    if not search.terms.size or not len(keys):
+        return
     low = np.searchsorted(keys, search.terms[:, 0] << _SHIFT)
     high = np.searchsorted(keys, search.terms[:, 0] + 1 << _SHIFT)
     ends = np.cumsum(high - low)
