@@ -256,7 +256,8 @@ def _compare(k: int):
 def _distinct(ids: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each id once, where its score is largest."""
     order = np.lexsort((-score, ids))
-    first = np.concatenate(([True], np.diff(ids[order]) != 0))
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = np.diff(ids[order]) != 0
     return ids[order][first], order[first]
 
 

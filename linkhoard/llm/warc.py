@@ -95,12 +95,12 @@ class _Inflated:
     """A whole-file gzip stream, inflated piece by piece; also takes files of several members."""
 
     def __init__(self, stream):
-        self.stream, self.data, self.unpack = stream, bytearray(), zlib.decompressobj(wbits=31)
+        self.stream, self.data, self.unpack = stream, bytearray(), None
         self.rest = b""
 
     def more(self) -> bool:
         packed = self.rest or self.stream.read(_READ)
-        if self.unpack.eof:
+        if self.unpack is None or self.unpack.eof:
             if not packed:
                 return False
             self.unpack = zlib.decompressobj(wbits=31)
