@@ -15,11 +15,12 @@ class Options:
 
     ``hosts`` holds exact names (``str``) and patterns (``re.Pattern``, Java syntax) that a crawl
     may visit besides the start host. ``limit`` bounds the URLs submitted for each source.
+    ``concurrency`` is the number of tasks that call an adapter function, ``None`` that of the session.
     """
 
     strategy: str = "auto"
     hosts: tuple[str | re.Pattern, ...] = ()
-    concurrency: int = 1
+    concurrency: int | None = None
     limit: int = NO_LIMIT
     user_agent: str = "linkhoard/0.1"
     respect_robots_txt: bool = False
@@ -29,7 +30,7 @@ class Options:
     def __post_init__(self) -> None:
         if self.strategy not in STRATEGIES:
             raise ValueError(f"unknown strategy {self.strategy!r}, expected one of {', '.join(STRATEGIES)}")
-        if self.concurrency < 1:
+        if self.concurrency is not None and self.concurrency < 1:
             raise ValueError("concurrency must be at least 1")
         check_limit(self.limit)
         if self.max_redirects < 0:

@@ -95,7 +95,10 @@ def delays(entries_: Column, agents_: Column) -> Column:
     """``array<struct<line_no, agent_pattern, delay_s>>`` of all ``Crawl-delay`` lines."""
 
     def leading_integer(value: Column) -> Column:
-        return F.coalesce(F.regexp_extract(value, r"^[+-]?\d{1,18}", 0).try_cast("long"), F.lit(0).cast("long"))
+        digits = F.regexp_extract(value, r"^[+-]?\d+", 0)
+        largest = F.lit((1 << 63) - 1)
+        too_large = F.when(digits.startswith("-"), -largest).when(digits != "", largest).otherwise(F.lit(0).cast("long"))
+        return F.coalesce(digits.try_cast("long"), too_large)
 
     return F.transform(
         F.filter(entries_, lambda e: e["key"] == DELAY),

@@ -98,7 +98,7 @@ def robots_url(url: Column) -> Column:
 
 def _without_dot_segments(path: Column) -> Column:
     """Fold ``.`` and ``..`` segments of an absolute path (RFC 3986, 5.2.4)."""
-    segments = F.split(F.substring(path, 2, 1 << 30), "/", -1)
+    segments = F.split(F.substring(path, F.lit(2), F.length(path)), "/", -1)
     kept = F.aggregate(
         segments,
         F.array().cast("array<string>"),
@@ -116,10 +116,10 @@ def resolve(base: Column, reference: Column) -> Column:
     root = F.regexp_extract(base, _ROOT, 1)
     scheme = F.regexp_extract(base, rf"^({_SCHEME}:)", 1)
     bare = F.regexp_replace(base, r"[?#].*$", "")
-    base_path = F.substring(bare, F.length(root) + 1, F.lit(1 << 30))
+    base_path = F.substring(bare, F.length(root) + 1, F.length(bare))
     folder = F.regexp_replace(F.when(base_path == "", "/").otherwise(base_path), r"[^/]*$", "")
     ref_path = F.regexp_extract(reference, r"^[^?#]*", 0)
-    ref_tail = F.substring(reference, F.length(ref_path) + 1, F.lit(1 << 30))
+    ref_tail = F.substring(reference, F.length(ref_path) + 1, F.length(reference))
     return (
         F.when(reference.rlike(rf"^{_SCHEME}:"), reference)
         .when(reference.startswith("//"), F.concat(scheme, reference))

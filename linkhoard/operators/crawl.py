@@ -44,30 +44,27 @@ class LinkTable:
     parts: DataFrame
 
     @classmethod
-    def of_rows(cls, links: DataFrame) -> LinkTable:
-        """From ``(src, pos, dst)``; every ``src`` is a page."""
+    def of_rows(cls, links: DataFrame, pages: DataFrame | None = None) -> LinkTable:
+        """From ``(src, pos, dst)``; every ``src`` is a page, and so is every ``url`` of ``pages``, with or without links."""
         piece = F.expr(f"pos div {LINKS_PER_PART}")
-        pages = links.groupBy(F.col("src").alias("page")).agg(
-            F.count("*").alias("n_links"), (F.max(piece) + 1).alias("parts")
-        )
+        counted = links.select(F.col("src").alias("page"), F.lit(1).alias("_link"), (piece + 1).alias("_parts"))
+        if pages is not None:
+            bare = pages.select(F.col("url").alias("page"), F.lit(0).alias("_link"), F.lit(0).cast("long").alias("_parts"))
+            counted = counted.unionByName(bare)
+        found = counted.groupBy("page").agg(F.sum("_link").alias("n_links"), F.max("_parts").alias("parts"))
         parts = links.groupBy(_page_part(F.col("src"), piece).alias("page_part")).agg(
             F.collect_list(F.struct(F.col("pos").cast("long").alias("pos"), "dst")).alias("links")
         )
-        return cls(materialize(pages, "pages"), materialize(parts, "links"))
+        return cls(materialize(found, "pages"), materialize(parts, "links"))
 
     @classmethod
     def of_responses(cls, responses: DataFrame) -> LinkTable:
         """From response bodies; a redirect target counts as first link.
 
-        Failed exchanges give no page: they are neither visited nor counted. Bodies are read when a
-        page is visited, not before.
+        Failed exchanges give no page: they are neither visited nor counted. Links are taken from the
+        bodies once and written in pieces of bounded size, so that levels read links and no bodies.
         """
         arrived = responses.filter(F.col("error_class").isNull())
-        pages = arrived.select(
-            F.col("url").alias("page"),
-            F.lit(None).cast("long").alias("n_links"),
-            F.lit(1).cast("long").alias("parts"),
-        )
         target = http.redirect_target(F.col("url"), F.col("location"))
         redirect = F.when(
             http.is_redirect(F.col("code")) & target.isNotNull(),
@@ -77,10 +74,19 @@ class LinkTable:
             html.links(F.col("url"), F.col("body").cast("string")), lambda x: F.struct(x["pos"], x["dst"])
         )
         none = F.array().cast("array<struct<pos:bigint,dst:string>>")
-        parts = arrived.select(
-            _page_part(F.col("url"), F.lit(0)).alias("page_part"),
-            F.concat(F.coalesce(redirect, none), F.coalesce(in_body, none)).alias("links"),
+        linked = arrived.select(
+            F.col("url").alias("page"), F.concat(F.coalesce(redirect, none), F.coalesce(in_body, none)).alias("links")
+        ).withColumn("n_links", F.size("links").cast("long"))
+        pieces = F.ceil(F.col("n_links") / LINKS_PER_PART)
+        cut = F.transform(
+            F.sequence(F.lit(0), F.greatest(pieces - 1, F.lit(0)).cast("int")),
+            lambda k: F.slice("links", k * LINKS_PER_PART + 1, F.lit(LINKS_PER_PART)),
+        )
+        stored = materialize(
+            linked.select("page", "n_links", pieces.alias("parts"), F.posexplode(cut).alias("piece", "links")), "page-links"
         )
+        pages = stored.filter("piece = 0").select("page", "n_links", "parts")
+        parts = stored.filter("n_links > 0").select(_page_part(F.col("page"), F.col("piece")).alias("page_part"), "links")
         return cls(pages, parts)
 
 

@@ -11,6 +11,13 @@ from ..sources.tables import is_small, settle
 ROWS_PER_CHUNK = 1 << 18
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal keys, NULL being equal to NULL; the keys come from ``left``."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys]
+    return left.join(other, same).drop(*[f"_right_{k}" for k in keys])
+
+
 def number_rows(
     df: DataFrame,
     group: str,
@@ -29,6 +36,8 @@ def number_rows(
     ``chunk`` consecutive ``ord`` values: rows are counted per chunk (map-side first), the small
     chunk table is summed up per group, and rows are ranked inside their chunk only.
 
+    NULL is a group like any other, and NULL ``ord`` values come first in their group, in both plans.
+
     ``limit`` keeps positions up to a limit; chunks behind it are skipped before any ranking.
     ``extra`` adds group facts: ``{"total": column name}``, ``{"first": column name}``.
     ``rows`` is a known upper bound on the rows of ``df``; small tables are ranked directly.
@@ -59,7 +68,7 @@ def number_rows(
         offsets = offsets.filter(F.col("_before") < limit)
     within = Window.partitionBy(group, "_chunk").orderBy(ord, *ties)
     numbered = (
-        cut.join(offsets, [group, "_chunk"])
+        _null_safe_join(cut, offsets, [group, "_chunk"])
         .withColumn("_local", F.row_number().over(within).cast("long"))
         .withColumn(rn, F.col("_before") + F.col("_local"))
         .select(*df.columns, rn, *extra.values())
@@ -99,7 +108,7 @@ def running_total(
     shifts = totals.select(group, "_part", sum_before(Window.partitionBy(group).orderBy("_part"), "_sum").alias("_shift"))
     within = Window.partitionBy(group, "_part").orderBy(*order)
     return (
-        placed.join(shifts, [group, "_part"])
+        _null_safe_join(placed, shifts, [group, "_part"])
         .withColumn(out, F.col("_shift") + sum_before(within, size))
         .select(*df.columns, out)
     )

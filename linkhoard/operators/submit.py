@@ -51,41 +51,59 @@ class RecordedAdapter:
 class CallableAdapter:
     """Calls a function in the tasks: batches of ``(source_id, ord, url)`` in, result rows out.
 
-    ``concurrency`` is the number of parallel tasks. Rows are dealt out by key, not by host, so a
-    large site is spread over all of them.
+    ``concurrency`` is the number of parallel tasks, ``None`` the session's number of shuffle partitions.
+    Rows are dealt out by key, so a large site is spread over all tasks. With ``per_host`` the URLs of
+    a host go to at most so many tasks instead, to be polite to it.
     """
 
     call: BatchAdapter
-    concurrency: int = 1
+    concurrency: int | None = None
+    per_host: int | None = None
 
     def __post_init__(self) -> None:
         if not callable(self.call):
             raise TypeError("adapter must be callable")
-        if self.concurrency < 1:
+        if min(self.concurrency or 1, self.per_host if self.per_host is not None else 1) < 1 or self.concurrency == 0:
             raise ValueError("concurrency must be at least 1")
 
     def __call__(self, urls: DataFrame) -> DataFrame:
-        return (
-            urls.select("source_id", "ord", "url")
-            .repartition(self.concurrency, "source_id", "ord")
-            .mapInPandas(self.call, RESULTS)
-        )
+        session = urls.sparkSession
+        if session.conf.get("spark.speculation", "false").lower() == "true":
+            raise ValueError("an adapter function must not be called twice: switch spark.speculation off")
+        keys: list = ["source_id", "ord"]
+        if self.per_host:
+            keys = [U.host(F.col("url")), F.pmod(F.xxhash64("source_id", "ord"), F.lit(self.per_host))]
+        tasks = self.concurrency or int(session.conf.get("spark.sql.shuffle.partitions"))
+        return urls.select("source_id", "ord", "url").repartition(tasks, *keys).mapInPandas(self.call, RESULTS)
 
 
 Adapter = RecordedAdapter | CallableAdapter | BatchAdapter
 
 
-def submit(urls: DataFrame, adapter: Adapter, concurrency: int = 1) -> DataFrame:
+def as_adapter(adapter: Adapter, concurrency: int | None = None) -> RecordedAdapter | CallableAdapter:
+    """The adapter itself, or a plain function as one."""
+    return adapter if isinstance(adapter, (RecordedAdapter, CallableAdapter)) else CallableAdapter(adapter, concurrency)
+
+
+def submit(
+    urls: DataFrame,
+    adapter: Adapter,
+    concurrency: int | None = None,
+    on_results: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
     """One result row per URL, errored ones included.
 
     A plain function is called in ``concurrency`` parallel tasks. Submitting has effects outside
     Spark, so such results are written before anything reads them: later actions cannot submit again.
+    ``on_results`` sees the results once, errored ones included.
     """
-    if isinstance(adapter, RecordedAdapter):
-        return adapter(urls)
-    if not isinstance(adapter, CallableAdapter):
-        adapter = CallableAdapter(adapter, concurrency)
-    return materialize(adapter(urls), "results")
+    adapter = as_adapter(adapter, concurrency)
+    results = adapter(urls)
+    if isinstance(adapter, CallableAdapter):
+        results = materialize(results, "results")
+    if on_results is not None:
+        on_results(results)
+    return results
 
 
 def posted(results: DataFrame) -> DataFrame:

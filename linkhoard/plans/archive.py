@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,6 +24,7 @@ class Run:
 
     urls: DataFrame
     results: DataFrame
+    sources: DataFrame
 
     @property
     def posted(self) -> DataFrame:
@@ -30,9 +32,10 @@ class Run:
 
     @property
     def summary(self) -> DataFrame:
-        """Counts per source, including URLs found but cut off by the limit."""
+        """Counts per source, including URLs found but cut off by the limit; zeros where nothing was found."""
         found = self.urls.groupBy("source_id").agg(F.count("*").alias("n_found"))
-        return found.join(summarize(self.results), "source_id", "left").na.fill(0)
+        every = self.sources.select("source_id").distinct().join(found, "source_id", "left")
+        return every.join(summarize(self.results), "source_id", "left").na.fill(0)
 
 
 def crawl_urls(
@@ -96,8 +99,9 @@ def archive(
     adapter: Adapter,
     options: Options | None = None,
     links: DataFrame | None = None,
+    on_results: Callable[[DataFrame], None] | None = None,
 ) -> Run:
-    """Archive every source. Limits are applied before the adapter sees a URL."""
+    """Archive every source. Limits are applied before the adapter sees a URL; ``on_results`` sees the results."""
     options = options or Options()
     urls = collect(sources, responses, options, links)
     if options.dedupe:
@@ -106,4 +110,4 @@ def archive(
     chosen = urls
     if options.limit != NO_LIMIT:
         chosen = materialize(limit_per_source(urls, options.limit), "chosen")
-    return Run(urls, submit(chosen, adapter, options.concurrency))
+    return Run(urls, submit(chosen, adapter, options.concurrency, on_results), sources)

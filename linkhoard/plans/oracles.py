@@ -326,6 +326,12 @@ def all_oracles() -> dict[str, str]:
     sql["crawl_urls"] = _sql(
         "SELECT first_id AS source_id, rn - 1 AS ord, CAST(floor(log2(rn)) AS BIGINT) AS depth, url FROM d_pages", "d_pages"
     )
+    sql["crawl_bodies"] = _sql(
+        """SELECT first_id AS source_id, rn - 1 AS ord, CAST(floor(log2(rn)) AS BIGINT) AS depth,
+                  concat(split_part(url, '#', 1), CASE WHEN contains(url, '?') THEN '&' ELSE '?' END, 'id=', page_id) AS url
+           FROM d_pages""",
+        "d_pages",
+    )
     sql["crawl_limit"] = sql["crawl_urls"] + f" WHERE rn <= {CRAWL_LIMIT}"
     sql["crawl_polite"] = _sql(
         """r_visited AS (
@@ -352,14 +358,28 @@ def all_oracles() -> dict[str, str]:
         "d_pages",
         "d_saved",
     )
+    sql["limit_nulls"] = _sql(
+        f"""SELECT source_id, ord, url FROM (
+              SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY ord NULLS FIRST) AS rank FROM (
+                SELECT CASE WHEN first_id % 3 <> 0 THEN first_id END AS source_id,
+                       CASE WHEN first_id % 3 = 0 OR page_id <> first_id THEN page_id END AS ord, url FROM d_pages))
+            WHERE rank <= {RANK_LIMIT}""",
+        "d_pages",
+    )
+    sql["submit_adapter"] = _sql(
+        """SELECT first_id AS source_id, page_id AS ord, url AS uri, CASE WHEN url LIKE 'https:%' THEN '200' ELSE '403' END AS code,
+                  concat('https://web.archive.org/save/', url) AS request_url, CAST(NULL AS VARCHAR) AS error_class FROM d_pages""",
+        "d_pages",
+    )
+    every = "SELECT first_id AS source_id, page_id AS ord, url, page_id FROM d_pages"
     sql["posted"] = _sql(
-        f"""SELECT source_id, ord, r.url AS uri, code, request_url FROM ({ranked}) r JOIN d_saved s USING (page_id)
+        f"""SELECT source_id, ord, r.url AS uri, code, request_url FROM ({every}) r JOIN d_saved s USING (page_id)
             WHERE error_class IS NULL""",
         "d_pages",
         "d_saved",
     )
     sql["run_summary"] = _sql(
-        _summary(f"SELECT source_id, code, error_class FROM ({ranked}) r JOIN d_saved s USING (page_id)"), "d_pages", "d_saved"
+        _summary(f"SELECT source_id, code, error_class FROM ({every}) r JOIN d_saved s USING (page_id)"), "d_pages", "d_saved"
     )
     sql["submit_stream"] = _sql(
         """SELECT page_id AS source_id, CAST(0 AS BIGINT) AS ord, url AS uri, code, request_url, error_class FROM d_saved""",
@@ -368,11 +388,12 @@ def all_oracles() -> dict[str, str]:
 
     sql["auto"] = _sql("SELECT source_id, ord, url, via FROM d_auto", "d_auto")
     limited = f"(SELECT * FROM d_auto WHERE ord < {RUN_LIMIT})"
-    sql["archive_run"] = _sql(_RUN.format(urls=limited), "d_auto", "d_saved")
-    crawled = f"""(SELECT source_id, 0 AS ord, source AS url FROM d_sources UNION ALL
-                   SELECT first_id, rn, url FROM d_pages WHERE rn < {RUN_LIMIT})"""
+    sql["archive_run"] = _sql(_RUN.format(urls="d_auto"), "d_auto", "d_saved")
+    sql["archive_limited"] = _sql(_RUN.format(urls=limited), "d_auto", "d_saved")
+    crawled = """(SELECT source_id, 0 AS ord, source AS url FROM d_sources UNION ALL
+                  SELECT first_id, rn, url FROM d_pages)"""
     sql["archive_crawl"] = _sql(_RUN.format(urls=crawled), "d_sources", "d_saved")
-    listed = f"(SELECT first_id AS source_id, rn - 1 AS ord, url FROM d_pages WHERE rn <= {RUN_LIMIT})"
+    listed = "(SELECT first_id AS source_id, rn - 1 AS ord, url FROM d_pages)"
     sql["archive_sitemap"] = _sql(
         _RUN.format(urls=f"(SELECT l.* FROM {listed} l JOIN d_sources s USING (source_id) WHERE s.k IN (0, 1, 4))"),
         "d_sources",

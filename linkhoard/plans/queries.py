@@ -18,7 +18,7 @@ from ..operators import fetch as FE
 from ..operators import robots as R
 from ..operators import sitemaps as S
 from ..operators.ranking import limit_per_source
-from ..operators.submit import RecordedAdapter, posted, submit, summarize
+from ..operators.submit import CallableAdapter, RecordedAdapter, posted, submit, summarize
 from ..sources import derived as D
 from ..sources import tables as T
 from ..streaming.submit import recorded_results, submit_stream
@@ -419,6 +419,28 @@ def crawl_urls(spark, sf_dir):
     return C.crawl(starts, links)
 
 
+@query
+def crawl_bodies(spark, sf_dir):
+    """A crawl over response bodies. Pages without children link nowhere, and addresses are made free of fragments."""
+    address = F.concat(
+        F.regexp_replace("url", "#.*$", ""), F.when(F.col("url").contains("?"), "&").otherwise("?"), F.lit("id="), F.col("page_id")
+    )
+    hosted = T.materialize(D.hosted_pages(spark, sf_dir).withColumn("url", address), "hosted")
+    anchor = F.concat(F.lit('<p><a class="x" href="'), F.replace(F.col("dst"), F.lit("&"), F.lit("&amp;")), F.lit('">next</a>'))
+    bodies = D.links(hosted).filter("pos < 2").groupBy("src").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", anchor.alias("a")))), lambda x: x["a"]), "\n").alias("links")
+    )
+    answers = hosted.join(bodies.withColumnRenamed("src", "url"), "url", "left").select(
+        "url",
+        F.lit("200").alias("code"),
+        F.lit(None).cast("string").alias("location"),
+        F.lit(None).cast("string").alias("error_class"),
+        F.concat(F.lit("<html><body>"), F.coalesce("links", F.lit("no links"))).cast("binary").alias("body"),
+    )
+    starts = hosted.filter("rn = 1").select(F.col("first_id").alias("source_id"), F.col("url").alias("source"))
+    return C.crawl(starts, C.LinkTable.of_responses(answers))
+
+
 @query
 def crawl_limit(spark, sf_dir):
     _, starts, links = _crawl_tables(spark, sf_dir)
@@ -441,9 +463,40 @@ def limit_per_source_(spark, sf_dir):
 
 
 
-def _results(spark, sf_dir, limit=-1):
-    adapter = RecordedAdapter(D.save_responses(spark, sf_dir))
-    return submit(limit_per_source(_urls(spark, sf_dir), limit), adapter)
+@query
+def limit_nulls(spark, sf_dir):
+    """Limits where source or position is NULL: a third of the hosts share no source, others have a first page without position."""
+    shared = F.col("source_id") % 3 == 0
+    urls = _urls(spark, sf_dir).select(
+        F.when(~shared, F.col("source_id")).alias("source_id"),
+        F.when(shared | (F.col("ord") != F.col("source_id")), F.col("ord")).alias("ord"),
+        "url",
+    )
+    return limit_per_source(urls, RANK_LIMIT)
+
+
+def _results(spark, sf_dir):
+    return submit(_urls(spark, sf_dir), RecordedAdapter(D.save_responses(spark, sf_dir)))
+
+
+def _secure_only(batches):
+    """An adapter: answers 200 for https and 403 for other URLs."""
+    for batch in batches:
+        secure = batch["url"].str.startswith("https:")
+        yield batch[["source_id", "ord"]].assign(
+            uri=batch["url"],
+            code=secure.map({True: "200", False: "403"}),
+            request_url=U.SAVE_ENDPOINT + batch["url"],
+            response_error=None,
+            error_class=None,
+            error_message=None,
+        )
+
+
+@query
+def submit_adapter(spark, sf_dir):
+    results = submit(_urls(spark, sf_dir), CallableAdapter(_secure_only, per_host=2))
+    return results.select("source_id", "ord", "uri", "code", "request_url", "error_class")
 
 
 @query
@@ -467,13 +520,13 @@ def results_all(spark, sf_dir):
 
 @query
 def posted_(spark, sf_dir):
-    return posted(_results(spark, sf_dir, RANK_LIMIT)).select("source_id", "ord", "uri", "code", "request_url")
+    return posted(_results(spark, sf_dir)).select("source_id", "ord", "uri", "code", "request_url")
 
 
 
 @query
 def run_summary(spark, sf_dir):
-    return summarize(_results(spark, sf_dir, RANK_LIMIT))
+    return summarize(_results(spark, sf_dir))
 
 
 @query
@@ -508,7 +561,7 @@ def _site_links(hosted):
     return T.materialize(D.links(hosted).unionByName(homes), "links")
 
 
-def _run(spark, sf_dir, strategy, limit=RUN_LIMIT):
+def _run(spark, sf_dir, strategy, limit=-1):
     hosted, sites, site = _sites(spark, sf_dir)
     adapter = RecordedAdapter(
         D.save_responses(spark, sf_dir).select("url", "code", "error_class", "error_message")
@@ -528,6 +581,11 @@ def archive_run(spark, sf_dir):
     return _run(spark, sf_dir, "auto").results.select(*_RESULT)
 
 
+@query
+def archive_limited(spark, sf_dir):
+    return _run(spark, sf_dir, "auto", RUN_LIMIT).results.select(*_RESULT)
+
+
 @query
 def archive_crawl(spark, sf_dir):
     return _run(spark, sf_dir, "crawl").results.select(*_RESULT)

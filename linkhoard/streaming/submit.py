@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.submit import Adapter, as_adapter
 from ..schemas import RESULTS
 
 
 def submit_stream(
     urls: DataFrame,
-    adapter: Callable[[DataFrame], DataFrame],
+    adapter: Adapter,
     results_path: str,
     checkpoint_path: str,
     *,
@@ -22,19 +23,22 @@ def submit_stream(
 ) -> StreamingQuery:
     """Start a query that submits a stream of ``(source_id, ord, url)``.
 
-    Every micro-batch drops the keys recorded by earlier batches, submits the rest and overwrites
-    its own folder ``batch=<id>``; a batch tried again therefore replaces its rows. ``on_batch``
-    sees the written results of a batch, errored ones included.
+    Every micro-batch drops the keys recorded before, by a try of its own included, submits the rest and
+    appends to its folder ``batch=<id>``; a batch tried again therefore submits only what has no
+    result yet. Keys must not be NULL. ``on_batch`` sees the written results of a batch, errored ones included.
     """
+    send = as_adapter(adapter)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = f"{results_path}/batch={batch_id}"
-        new = batch.dropDuplicates(["source_id", "ord"])
-        if batch_id > 0:
-            recorded = recorded_results(spark, results_path).filter(F.col("batch") != batch_id)
+        missing = F.raise_error(F.lit("source_id and ord of a stream of URLs must not be NULL"))
+        keyed = batch.withColumns({k: F.coalesce(k, missing.cast(batch.schema[k].dataType)) for k in ("source_id", "ord")})
+        new = keyed.dropDuplicates(["source_id", "ord"])
+        if _holds_rows(spark, results_path):
+            recorded = recorded_results(spark, results_path)
             new = new.join(recorded.select("source_id", "ord"), ["source_id", "ord"], "left_anti")
-        adapter(new).write.mode("overwrite").parquet(target)
+        send(new).write.mode("append").parquet(target)
         if on_batch is not None:
             on_batch(spark.read.schema(RESULTS).parquet(target), batch_id)
 
@@ -46,6 +50,12 @@ def submit_stream(
     )
 
 
+def _holds_rows(spark: SparkSession, path: str) -> bool:
+    """True if the folder of results exists, in whatever file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def recorded_results(spark: SparkSession, results_path: str) -> DataFrame:
     """All result rows so far, with the ``batch`` that wrote them."""
     return spark.read.schema(f"{RESULTS}, batch long").option("basePath", results_path).parquet(results_path)

@@ -326,4 +326,3 @@ def test_work_folder_follows_the_session(spark):
 
 def test_small_tables_only_when_bounded():
     assert tables.is_small(10) and not tables.is_small(None) and not tables.is_small(10**9)
-    assert F is not None
