@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ MASK_DELTA = 0xA282EAD8
 
 INDEX = "part int, record long, file string, offset long, length long, doc_id long, n_tokens long"
 _NULL_ID = -(1 << 63)
-_CACHED = 300_000
+_CACHED = 1_400_000
 
 
 # Checksums: CRCs are linear, so those of many records are folded together pairwise, level by level.
@@ -117,23 +118,33 @@ class Encoder:
         return np.array(ids, dtype=f"<u{self.width}").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        units = [self._units(text) for text in texts]
-        missing = set().union(*units) - self.known.keys()
-        if len(self.known) + len(missing) > _CACHED:
-            self.known.clear()
-            missing = set().union(*units)
-        missing = list(missing)
-        for at in range(0, len(missing), 1024):
-            part = missing[at : at + 1024]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update((unit, self._pack(e.ids)) for unit, e in zip(part, found))
+        words = [self._words(text) for text in texts]
+        found = [list(map(self.known.get, w)) for w in words]
+        gaps = [(ws, fs, [k for k, f in enumerate(fs) if f is None]) for ws, fs in zip(words, found) if None in fs]
+        missing = {ws[k] for ws, _, places in gaps for k in places}
+        if missing:
+            if len(self.known) + len(missing) > _CACHED:  # what this batch needs stays: the frequent words are among it
+                self.known = {w: f for ws, fs in zip(words, found) for w, f in zip(ws, fs) if f is not None}
+            # Punctuation after a letter or digit is split off by the tokenizer too, so a word is encoded once with any ending.
+            parts = {w: (w[: len(core)], "\0" + w[len(core) :]) for w in missing if (core := w.rstrip(string.punctuation)) != w and core[-1:].isalnum()}
+            fresh = list(({w for w in missing if w not in parts} | {p for pair in parts.values() for p in pair}) - self.known.keys())
+            for at in range(0, len(fresh), 1024):
+                part = fresh[at : at + 1024]
+                plain = [w[1:] if w.startswith("\0") else " " + w for w in part]
+                encoded = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
+                self.known.update((w, self._pack(e.ids)) for w, e in zip(part, encoded))
+            self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
+            for ws, fs, places in gaps:
+                for k in places:
+                    fs[k] = self.known[ws[k]]
         end = self._pack([0])
-        return [b"".join(map(self.known.__getitem__, u)) + end for u in units]
+        return [b"".join(f) + end for f in found]
 
-    def _units(self, text: str) -> list[str]:
-        if self._DOUBLE.search(text):
-            return self._SPLIT.split(text)
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") if "\0" not in text else self._SPLIT.split(text)
+    def _words(self, text: str) -> list[str]:
+        """Words in a row, each with the space before it left out, or with a zero in front if there is none."""
+        if "\0" in text or self._DOUBLE.search(text):
+            return ["\0" + part for part in self._SPLIT.split(text)]
+        return ("\0" + text.replace("\n", " \0\n \0")).split(" ")
 
 
 @functools.lru_cache(maxsize=2)
