@@ -40,9 +40,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, their number, and the text as decoded from them."""
-    model = tokenizer_file("piece_bpe_32k.model")
-    decoded = pieces.decode(pieces.encode(docs, model), model)
-    return decoded.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
+    encoded = pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), decoded=True)
+    return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [

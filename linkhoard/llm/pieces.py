@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 from . import base
 
 MARK = "▁"
-_CACHED = 300_000
+_CACHED = 500_000
+_CACHED_PAIRS = 500_000
 # Fixed values of the model format: kinds of pieces and of models.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
@@ -79,8 +80,13 @@ class Model:
         self.unknown_score = min(self.score.values(), default=0.0) - 10
         self.letters = {c for p in self.ids for c in p}
         self.known: dict[str, bytes] = {}
-        self._follows: dict[tuple[str, str], bool] = {}
+        self._follows: dict[int, bool] = {}
         self._spines: dict[str, tuple[list, list]] = {}
+        self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.endings: dict[str, tuple[int, ...]] = {}
+        for p in self.ids:
+            if len(p) >= 3:
+                self.endings[p[-3:]] = tuple(sorted({len(p), *self.endings.get(p[-3:], ())}, reverse=True))
         # Characters outside all pieces stand by themselves, so texts may be cut at line breaks too.
         cuts = "" if "\n" in self.letters else "\n"
         self._split = re.compile(f"{MARK}*[^{MARK}{cuts}]+|{MARK}+" + ("|\n" if cuts else "")).findall
@@ -144,25 +150,32 @@ class Model:
 
     def follows(self, first: str, second: str) -> bool:
         """True if merging ``first + second`` yields just these two pieces: no merge across the border ever comes first."""
-        found = self._follows.get((first, second))
+        left, right = self._spine(first)[1], self._spine(second)[0]
+        i = j = 0
+        while left and right:
+            next_left = left[i + 1][1] if i + 1 < len(left) else float("inf")
+            next_right = right[j + 1][1] if j + 1 < len(right) else float("inf")
+            across = self.score.get(left[i][0] + right[j][0])
+            if across is not None and -across < next_left and -across <= next_right:
+                return False
+            if next_left == next_right == float("inf"):
+                return True
+            if next_left <= next_right:
+                i += 1
+            else:
+                j += 1
+        return False
+
+    def _follows_known(self, first: str, second: str, number: int) -> bool:
+        """``follows``, looked up for pairs of pieces met before; ``number`` is the id of the second."""
+        pair = self.ids.get(first, -1) << 32 | number
+        if pair < 0:  # after a character without a piece anything goes that comes about at all
+            return bool(self._spine(second)[0])
+        found = self._follows.get(pair)
         if found is None:
-            left, right = self._spine(first)[1], self._spine(second)[0]
-            found, i, j = bool(left and right), 0, 0
-            while found:
-                next_left = left[i + 1][1] if i + 1 < len(left) else float("inf")
-                next_right = right[j + 1][1] if j + 1 < len(right) else float("inf")
-                across = self.score.get(left[i][0] + right[j][0])
-                if across is not None and -across < next_left and -across <= next_right:
-                    found = False
-                elif next_left == next_right == float("inf"):
-                    break
-                elif next_left <= next_right:
-                    i += 1
-                else:
-                    j += 1
-            if len(self._follows) > 2_000_000:
+            if len(self._follows) >= _CACHED_PAIRS:
                 self._follows.clear()
-            self._follows[first, second] = found
+            found = self._follows[pair] = self.follows(first, second)
         return found
 
     # Forward passes over the trie
@@ -170,10 +183,13 @@ class Model:
     def _step(self, word: str, end: int, states: list) -> tuple[float, str]:
         """The state after ``word[:end]``: a score (unigram only) and the piece that ends there."""
         if self.kind == _BPE:
-            for size in range(min(self.longest, end), 0, -1):
-                piece = word[end - size : end]
-                if piece in self.ids and (self._spine(piece)[0] if end == size else self.follows(states[end - size][1], piece)):
-                    return 0.0, piece
+            # Only the lengths that pieces with this ending have.
+            for size in (*self.endings.get(word[end - 3 : end], ()), 2, 1) if end > 2 else range(end, 0, -1):
+                if size <= end:
+                    piece = word[end - size : end]
+                    number = self.ids.get(piece)
+                    if number is not None and (self._spine(piece)[0] if end == size else self._follows_known(states[end - size][1], piece, number)):
+                        return 0.0, piece
             return 0.0, word[end - 1]
         best = (states[end - 1][0] + self.unknown_score, word[end - 1])
         for size in range(1, min(self.longest, end) + 1):
@@ -210,19 +226,34 @@ class Model:
             return [found]
         return [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
 
+    def _cut(self, word: str) -> list[str]:
+        """Parts of a word between characters that stand side by side in no piece: nothing is ever merged across."""
+        at = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.joined]
+        return [word[a:b] for a, b in zip([0, *at], [*at, len(word)])]
+
     def encode(self, normal: list[str]) -> list[bytes]:
         """Ids of normalised texts, packed as 4-byte numbers."""
         words = [self._split(text) for text in normal]
-        missing = set().union(*words) - self.known.keys()
-        if len(self.known) + len(missing) > _CACHED:
-            self.known.clear()
-            missing = set().union(*words)
-        for word, pieces in self.segment(missing):
-            ids = [i for p in pieces for i in self._ids_of(p)]
-            if not self.bytes:  # neighbouring unknown characters are one unknown
-                ids = [i for k, i in enumerate(ids) if i != self.unknown or not k or ids[k - 1] != i]
-            self.known[word] = np.array(ids, dtype="<i4").tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        found = [list(map(self.known.get, w)) for w in words]
+        gaps = [(ws, fs, [k for k, f in enumerate(fs) if f is None]) for ws, fs in zip(words, found) if None in fs]
+        cut = {w: self._cut(w) for w in {ws[k] for ws, _, places in gaps for k in places}}
+        parts = {p for ps in cut.values() for p in ps}
+        if len(self.known) + len(cut) + len(parts) > _CACHED:  # what this batch needs stays: the frequent words are among it
+            self.known = {w: f for ws, fs in zip(words, found) for w, f in zip(ws, fs) if f is not None}
+        for part, pieces in self.segment(parts - self.known.keys()):
+            self.known[part] = np.array([i for p in pieces for i in self._ids_of(p)], dtype="<i4").tobytes()
+        self.known.update((w, b"".join(map(self.known.__getitem__, ps))) for w, ps in cut.items() if len(ps) > 1)
+        for ws, fs, places in gaps:
+            for k in places:
+                fs[k] = self.known[ws[k]]
+        packed = [b"".join(f) for f in found]
+        return packed if self.bytes else list(map(self._merge_unknown, packed))
+
+    def _merge_unknown(self, packed: bytes) -> bytes:
+        """Neighbouring unknown characters are one unknown."""
+        ids = np.frombuffer(packed, dtype="<i4")
+        same = np.concatenate(([False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)))[: len(ids)]
+        return ids[~same].tobytes()
 
     @functools.cached_property
     def _spelled(self) -> list[bytes]:
@@ -234,6 +265,9 @@ class Model:
         return text[1:] if text.startswith(" ") else text
 
 
+_NO_IDS = pa.array([], pa.int32())
+
+
 @functools.lru_cache(maxsize=2)
 def _loaded(path: str):
     import sentencepiece
@@ -248,8 +282,11 @@ def _encoded(path: str, texts: list[str | None]) -> Iterator[list[bytes]]:
         yield model.encode([normalise(text) if text else "" for text in chunk])
 
 
-def encode(docs: DataFrame, model: str, column: str = "ids") -> DataFrame:
-    """``docs`` with the ids of ``text``; ``model`` is the path of the model file. A column of that name is replaced."""
+def encode(docs: DataFrame, model: str, column: str = "ids", decoded: bool = False) -> DataFrame:
+    """``docs`` with the ids of ``text``; ``model`` is the path of the model file. A column of that name is replaced.
+
+    With ``decoded``, ``text`` is spelled from the ids in the same pass, which spares a second set of Python workers.
+    """
     kept = docs.drop(column)
     schema = T.StructType([*kept.schema.fields, T.StructField(column, T.ArrayType(T.IntegerType(), False))])
     at = kept.columns.index("text")
@@ -260,7 +297,11 @@ def encode(docs: DataFrame, model: str, column: str = "ids") -> DataFrame:
             for packed in _encoded(model, batch.column(at).to_pylist()):
                 ids = pa.array([np.frombuffer(p, dtype="<i4") for p in packed], pa.list_(pa.int32()))
                 part = batch.slice(start, len(packed))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, column])
+                columns = part.columns
+                if decoded:
+                    spell = _loaded(model)[0].decode
+                    columns[at] = pa.array([spell(np.frombuffer(p, dtype="<i4").tolist()) for p in packed], pa.string())
+                yield pa.RecordBatch.from_arrays([*columns, ids], names=[*part.schema.names, column])
                 start += len(packed)
 
     return kept.mapInArrow(run, schema)
@@ -276,7 +317,9 @@ def decode(encoded: DataFrame, model: str, column: str = "ids", text: str = "tex
         spell = _loaded(model)[0].decode
         for batch in batches:
             columns = dict(zip(batch.schema.names, batch.columns))
-            columns[text] = pa.array([spell(ids) if ids else "" for ids in batch.column(at).to_pylist()], pa.string())
+            lists = batch.column(at)
+            # Row by row: as Python numbers, the ids of a whole batch would be many times its size.
+            columns[text] = pa.array((spell((lists[k].values or _NO_IDS).to_pylist()) for k in range(len(lists))), pa.string())
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
     return encoded.mapInArrow(run, T.StructType([fields[n] for n in names]))

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from . import base, grams
 
+#: An n-gram takes some dozens of bytes while it is hashed, so less text is worked on at once than elsewhere.
+_CHUNK = base.CHUNK_BYTES // 4
 _SIZES = (3, 4)
 #: A word that repeats the word so many places before is also an n-gram of its own, whatever the word.
 _GAPS = (1, 2, 3)
@@ -60,7 +62,7 @@ class Model:
 
 def features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """``(text number, feature)`` of every word and character n-gram, repeats included."""
-    pieces = [(k, piece) for k, text in enumerate(texts) for piece in base.cut(text, 1 << 20)]
+    pieces = [(k, piece) for k, text in enumerate(texts) for piece in base.cut(text, _CHUNK)]
     owner = np.array([k for k, _ in pieces], dtype=np.int64)
     symbols = np.frombuffer((" " + " ".join(piece for _, piece in pieces) + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     ends = np.cumsum([len(piece) + 1 for _, piece in pieces])
@@ -106,7 +108,7 @@ def _pass(labels: list[int], examples: list[tuple[np.ndarray, np.ndarray]], vect
 def _examples(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """The distinct features of each text, and their shares of its mean."""
     out = []
-    for chunk in base.chunks(texts):
+    for chunk in base.chunks(texts, _CHUNK):
         owner, feature = features(chunk, bits)
         keys, counts = np.unique(owner << bits | feature, return_counts=True)
         bounds = np.searchsorted(keys >> bits, np.arange(len(chunk) + 1))
@@ -159,7 +161,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def scored(batches):
         for batch in batches:
-            values = [score_texts(chunk, bits, effects, shift) for chunk in base.chunks(batch["text"], base.CHUNK_BYTES // 2)]
+            values = [score_texts(chunk, bits, effects, shift) for chunk in base.chunks(batch["text"], _CHUNK)]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": np.concatenate(values or [np.zeros(0)])})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(scored, "doc_id long, score double")
@@ -174,7 +176,7 @@ def filter_documents(docs: DataFrame, model: Model, threshold: float) -> DataFra
     def kept(batches):
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            values = [score_texts(chunk, bits, effects, shift) for chunk in base.chunks(texts, base.CHUNK_BYTES // 2)]
+            values = [score_texts(chunk, bits, effects, shift) for chunk in base.chunks(texts, _CHUNK)]
             yield batch.filter(pa.array(np.concatenate(values or [np.zeros(0)]) >= threshold))
 
     return docs.mapInArrow(kept, docs.schema)

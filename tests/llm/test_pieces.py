@@ -64,6 +64,8 @@ def test_tables_round_trip(spark, library):
     for i, text in texts.items():
         assert rows[i]["ids"] == library.encode(text or "")
         assert rows[i]["decoded"] == library.decode(rows[i]["ids"])
+    together = {r["doc_id"]: (r["ids"], r["text"]) for r in pieces.encode(docs, PATH, decoded=True).collect()}
+    assert together == {i: (r["ids"], r["decoded"]) for i, r in rows.items()}
     report = {r["doc_id"]: r for r in pieces.round_trip(docs, PATH).collect()}
     assert all(report[i]["n_tokens"] == len(rows[i]["ids"]) and report[i]["same"] == (rows[i]["decoded"] == (t or "")) for i, t in texts.items())
     assert report[100]["n_tokens"] == 0 and report[101]["same"]
