@@ -1,7 +1,7 @@
 """From raw documents to clean, tokenized ones.
 
 Each stage of ``STAGES`` takes ``(spark, docs, sf_dir)`` and returns a table, which ``run`` writes as Parquet in the shared
-folder and reads again as the next stage's ``docs``. All but the last keep the columns of ``documents``.
+folder and reads again as the next stage's ``docs``. The stages before the encoding keep the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkhoard.llm import decontamination, linededup, pieces, quality, simhash
+from linkhoard.llm import decontamination, linededup, pieces, quality, shingles, simhash
 from linkhoard.llm.base import read, tokenizer_file
 from linkhoard.sources.tables import materialize
 
@@ -44,12 +44,18 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 0.8 or more of its shingles, whatever the fingerprints say."""
+    return shingles.drop_near_copies(docs, SHINGLE_WORDS)
+
+
 STAGES = [
     ("quality classifier", keep_quality),
     ("line dedup", drop_lines),
     ("SimHash near-dedup", drop_copies),
     ("benchmark decontamination", drop_benchmark),
     ("SentencePiece encoding and decoding", tokenize),
+    ("shingle near-dedup", drop_similar),
 ]
 
 #: SQL cannot express the trained classifier; the stages are tested against brute force.
