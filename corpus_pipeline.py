@@ -24,7 +24,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that occurred before are taken out; documents with nothing else go."""
+    """Lines that occurred before are taken out; documents without any other line go."""
     return linededup.deduplicate(docs)
 
 

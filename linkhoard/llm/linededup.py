@@ -117,9 +117,9 @@ def _one_edit(a: Column, b: Column) -> Column:
     return (F.abs(na - nb) <= 1) & (agree(a, b) + agree(F.reverse(a), F.reverse(b)) >= F.greatest(na, nb) - 1)
 
 
-def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``(doc_id, row, line_no)`` of the lines to drop."""
-    lines = hashed_lines(docs).filter(F.col("n") >= min_words)
+def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, broadcast_rows: int = BROADCAST_ROWS, lines: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, row, line_no)`` of the lines to drop; ``lines`` are the ``hashed_lines`` of ``docs``, if they are at hand."""
+    lines = (hashed_lines(docs) if lines is None else lines).filter(F.col("n") >= min_words)
     first = F.min(F.struct("doc_id", "line_no", "row")).alias("first")
     distinct = materialize(
         lines.groupBy("h1", "h2").agg(first, F.first("halves").alias("halves"), F.count("*").alias("lines")), "distinct-lines"
@@ -151,11 +151,15 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``.
 
-    A document that lost lines and has no line of at least ``min_words`` words left is dropped as a whole. The other
-    columns stay as they are; ``n_chars``, if there is one, is counted anew where lines were taken out.
+    A document that lost lines is dropped as a whole if no line of its own is left: only blank lines, and shorter lines
+    that occur earlier, word for word. The other columns stay as they are; ``n_chars``, if there is one, is counted
+    anew where lines were taken out.
     """
-    found = dropped_lines(docs, min_words).distinct()
-    per_doc = found.groupBy("doc_id", "row").agg(F.collect_list("line_no").alias("_dropped"))
+    hashed = hashed_lines(docs)
+    found = dropped_lines(docs, min_words, lines=hashed).distinct()
+    short = hashed.filter((F.col("n") > 0) & (F.col("n") < min_words))
+    owners = short.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct().withColumn("_own", F.lit(True))
+    per_doc = found.groupBy("doc_id", "row").agg(F.collect_list("line_no").alias("_dropped")).join(owners, "doc_id", "left")
     lines = F.split("text", "\n")
     keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_row": F.xxhash64("text")})
     joined = keyed.join(per_doc.withColumnsRenamed({"doc_id": "_id", "row": "_row"}), ["_id", "_row"], "left")
@@ -165,7 +169,7 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ends = F.concat(places, F.array(F.size(lines)))
     kept = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 1, b - a)))
     with_kept = joined.withColumn("_kept", F.when(F.col("_dropped").isNotNull(), kept))
-    worth = F.exists("_kept", lambda line: F.size(_words(line)) >= min_words)
+    worth = F.coalesce("_own", F.lit(False)) | F.exists("_kept", lambda line: F.size(_words(line)) >= min_words)
     changed = F.col("_dropped").isNotNull()
     out = with_kept.filter(~changed | worth)
     columns = []

@@ -75,3 +75,10 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert report == [(0, 1, 0), (1, 1, 0), (1, 1, 0), (2, 1, 1)]
     assert linededup.line_report(documents(spark, {})).count() == 0
     assert linededup.deduplicate(documents(spark, {})).count() == 0
+
+
+def test_documents_with_short_lines_of_their_own_stay(spark):
+    line = "one two three four five"
+    texts = {1: f"{line}\nRefrain", 2: f"{line}\na poem in\nshort lines", 3: f"short lines\n{line}\n\nrefrain", 4: f"{line}\n我们不用空格", 5: line, 6: f"{line}\n \n"}
+    got = {r["doc_id"]: r["text"] for r in linededup.deduplicate(documents(spark, texts, extra=True)).collect()}
+    assert got == {1: texts[1], 2: "a poem in\nshort lines", 4: "我们不用空格"}
