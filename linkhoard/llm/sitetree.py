@@ -13,14 +13,16 @@ inline elements are part of their block. For each style node the whole site give
 
 Branches of low importance are removed from each page: those without presentation importance, and those with content
 importance below ``content`` (below ``landmark`` inside article or main) on sites of at least ``min_pages`` pages with the node, which
-are the texts that a site repeats from page to page. If a landmark is left, the text is what it holds; else all that is left.
+are the texts that a site repeats from page to page. Of the latter only those blocks go whose own importance, 1 minus their own entropy,
+is below the same bound: what is on one page only, or on few, stays. If a landmark is left, the text is what it holds; else all that is left.
 
-Sites may be of any size: statistics are counts per (host, node, text hash), combined before they are shuffled, and no task
+Pages of a host with the same blocks (apart from noise, and from links outside landmarks) are copies and count as one page, so that
+copies of a page are not taken for what the site repeats. Sites may be of any size: statistics are counts per (host, node, text hash), combined before they are shuffled, and no task
 gathers the pages of a host. The list of low nodes of each host is joined to its pages.
 
 White space within a block (elements and line breaks end a block) becomes one space and blocks are joined by one. NULL, empty and
 cut-off html are read as far as they go. Rows without a url, or whose url has no host, belong to no site and are judged by presentation
-alone; repeated rows count as pages of their own.
+alone; repeated rows are copies.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import measure
+from ..sources.tables import materialize, measure
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -197,33 +199,52 @@ def _host() -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-def node_statistics(pages: DataFrame) -> DataFrame:
-    """``(host, node, pages, entropy, linked)`` of every style node: pages with it, mean entropy and link share of the blocks at and below it."""
+def _content(path: str, text: str) -> int:
+    """Hash of a block's text at its style node."""
+    return int.from_bytes(hashlib.blake2b(f"{path}\n{text}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def block_statistics(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``(host, node, content, n, size, linked, pages)`` of every text at a style node, stored as a table; copies of a page count once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for host, page in zip(batch["host"], batch["html"]):
                 seen: dict[tuple[str, int], list[int]] = {}
+                own: list[int] = []
                 for block in blocks(page):
                     if block.noise or not (text := block.text):
                         continue
-                    content = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+                    content = _content(block.path, text)
                     counts = seen.setdefault((block.path, content), [0, 0])
                     counts[0] += len(text)
                     counts[1] += min(block.linked, len(text))
+                    if block.landmark or block.linked <= settings.links * len(text):
+                        own.append(content)
+                if not seen:
+                    continue
+                copy = _content("", repr(own or [content for _, content in seen]))
                 # One page in `pages` for each node on it: on its first block there.
                 met: set[str] = set()
-                for (path, content), (size, linked) in seen.items():
-                    rows.append((host, path, content, size, linked, path not in met))
-                    met.add(path)
-            yield pd.DataFrame(rows, columns=["host", "node", "content", "size", "linked", "first"])
+                first = [not (path in met or met.add(path)) for path, _ in seen]
+                sizes, linked = zip(*seen.values())
+                rows.append((host, copy, [path for path, _ in seen], [content for _, content in seen], sizes, linked, first))
+            yield pd.DataFrame(rows, columns=["host", "copy", "node", "content", "size", "linked", "first"])
 
-    schema = "host string, node string, content long, size long, linked long, first boolean"
+    schema = "host string, copy long, node array<string>, content array<long>, size array<long>, linked array<long>, first array<boolean>"
     found = pages.select(_host().alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).filter("host <> ''").mapInPandas(run, schema)
-    contents = found.groupBy("host", "node", "content").agg(
+    columns = ["node", "content", "size", "linked", "first"]
+    distinct = found.groupBy("host", "copy").agg(F.min(F.struct(*columns)).alias("page"))
+    spread = distinct.select("host", F.explode(F.arrays_zip(*[F.col(f"page.{c}").alias(c) for c in columns])).alias("b")).select("host", "b.*")
+    contents = spread.groupBy("host", "node", "content").agg(
         F.count("*").alias("n"), F.sum("size").alias("size"), F.sum("linked").alias("linked"), F.sum(F.col("first").cast("long")).alias("pages")
     )
+    return materialize(contents, "block-contents")
+
+
+def node_statistics(contents: DataFrame) -> DataFrame:
+    """``(host, node, pages, entropy, linked)`` of every style node: pages with it, mean entropy and link share of the blocks at and below it."""
     leaves = contents.groupBy("host", "node").agg(
         F.sum("n").alias("blocks"), F.sum(F.col("n") * F.log("n")).alias("logs"), F.sum("size").alias("size"), F.sum("linked").alias("linked"), F.sum("pages").alias("pages")
     )
@@ -238,32 +259,47 @@ def node_statistics(pages: DataFrame) -> DataFrame:
 
 
 def low_nodes(pages: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, int]:
-    """``(host, node, deep)`` of the style nodes to remove, and their number; ``deep`` ones also inside landmarks."""
+    """``(host, node, content, links, repeated, deep)`` of what to remove, and the number of rows.
+
+    Rows with a ``node`` are style nodes whose text is nearly all links, or repeated; those without a ``node``, which have a
+    ``content``, are the blocks that are repeated themselves. ``deep`` ones are repeated enough to go inside landmarks too.
+    """
     s = settings
-    nodes = node_statistics(pages).filter(F.col("pages") >= s.min_pages)
-    repeated = 1 - F.col("entropy") < s.content
-    deep = 1 - F.col("entropy") < s.landmark
-    low = nodes.filter(repeated | (F.col("linked") > s.links)).select("host", "node", deep.alias("deep"))
-    table, seen = measure(low, "low-nodes", rows=F.count("*"))
+    contents = block_statistics(pages, s)
+
+    def marked(entropy: Column) -> list[Column]:
+        return [(1 - entropy < s.content).alias("repeated"), (1 - entropy < s.landmark).alias("deep")]
+
+    links = (F.col("linked") > s.links).alias("links")
+    nodes = node_statistics(contents).filter(F.col("pages") >= s.min_pages).select("host", "node", F.lit(0).cast("long").alias("content"), links, *marked(F.col("entropy")))
+    leaves = contents.groupBy("host", "node").agg(F.sum("pages").alias("of")).filter(F.col("of") >= s.min_pages)
+    repeats = contents.filter("n > 1").select("host", "node", "content", "n").join(leaves, ["host", "node"])
+    texts = repeats.select("host", F.lit(None).cast("string").alias("node"), "content", F.lit(False).alias("links"), *marked(F.log("n") / F.log("of")))
+    table, seen = measure(nodes.unionByName(texts).filter("links or repeated or deep"), "low-nodes", rows=F.count("*"))
     return table, seen["rows"]
 
 
-def _removed(path: str, low: dict[str, bool], landmark: bool) -> bool:
-    """True if the node or one above it is to be removed."""
+Low = dict[str | int, tuple[bool, bool, bool]]
+
+
+def _removed(block: Block, low: Low) -> bool:
+    """True if the node or one above it is to be removed: for its links, or as repeated if the block is repeated as well."""
     if not low:
         return False
+    _, repeated, deep = low.get(_content(block.path, block.text), (False, False, False))
+    path = block.path
     at = len(path)
     while at > 0:
-        deep = low.get(path[:at])
-        if deep is not None and (deep or not landmark):
+        node_links, node_repeated, node_deep = low.get(path[:at], (False, False, False))
+        if deep and node_deep or not block.landmark and (node_links or repeated and node_repeated):
             return True
         at = path.rfind("/", 0, at)
     return False
 
 
-def main_text(page: str, low: dict[str, bool]) -> str:
-    """Text of the blocks that stay; ``low`` names the nodes to remove, with True for those inside landmarks too."""
-    left = [b for b in blocks(page) if not b.noise and not _removed(b.path, low, b.landmark)]
+def main_text(page: str, low: Low) -> str:
+    """Text of the blocks that stay; ``low`` has links, repeated and deep of the nodes and blocks that ``low_nodes`` names."""
+    left = [b for b in blocks(page) if not b.noise and not _removed(b, low)]
     if any(b.landmark for b in left):
         left = [b for b in left if b.landmark]
     return " ".join(filter(None, (b.text for b in left)))
@@ -272,15 +308,18 @@ def main_text(page: str, low: dict[str, bool]) -> str:
 def extract(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``(page_id, url, text)`` of every row of ``pages``."""
     low, rows = low_nodes(pages, settings)
-    per_host = low.groupBy("host").agg(F.collect_list(F.struct("node", "deep")).alias("low"))
+    per_host = low.groupBy("host").agg(F.collect_list(F.struct("node", "content", "links", "repeated", "deep")).alias("low"))
     if rows <= settings.broadcast_rows:
         per_host = F.broadcast(per_host)
     given = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), _host().alias("host"))
-    joined = given.join(per_host, "host", "left").select("page_id", "url", "html", F.col("low.node").alias("nodes"), F.col("low.deep").alias("deep"))
+    joined = given.join(per_host, "host", "left").select("page_id", "url", "html", *[F.col(f"low.{c}").alias(c) for c in ("node", "content", "links", "repeated", "deep")])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [main_text(page, dict(zip(nodes, deep)) if nodes is not None else {}) for page, nodes, deep in zip(batch["html"], batch["nodes"], batch["deep"])]
+            texts = []
+            for page, nodes, contents, *marks in zip(*(batch[c] for c in ("html", "node", "content", "links", "repeated", "deep"))):
+                names = [] if nodes is None else [int(c) if n is None else n for n, c in zip(nodes, contents)]
+                texts.append(main_text(page, dict(zip(names, zip(*marks))) if names else {}))
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
     out = joined.mapInPandas(run, "page_id string, url string, text string")

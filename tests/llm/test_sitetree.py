@@ -50,3 +50,25 @@ def test_nulls_empty_cut_and_deep_pages(spark):
     rows = [(1, "http://a/", None), (2, "http://a/", ""), (3, "http://a/", "plain & text &am"), (4, "http://a/", "<article><p>cut <b"), (5, "nonsense", "<p>a</p><script>never closed"), (6, "http://a/", deep), (None, None, "<p>n")]
     assert extracted(spark, rows) == sorted([(1, ""), (2, ""), (3, "plain & text &am"), (4, "cut"), (5, "a"), (6, "x"), (None, "n")], key=str)
     assert extracted(spark, []) == []
+
+
+def test_equal_pages_are_no_boilerplate(spark):
+    page = "<body><nav>Menu {0}</nav><div class='more'><a href=x>Link {0}</a></div><{1}><p>The same long text.</p></{1}></body>"
+    for tag in ("article", "div"):
+        rows = [(i, f"http://e.example/{i % 3}", page.format(i, tag)) for i in range(6)]
+        got = extracted(spark, rows)
+        assert [i for i, _ in got] == list(range(6)) and all("The same long text." in text for _, text in got)
+
+
+def test_copies_of_one_page_do_not_remove_the_others(spark):
+    for tag in ("article", "div"):
+        texts = ["The same long text." if i % 20 else f"Own text {i}." for i in range(200)]
+        rows = [(i, f"http://n.example/{i}", f"<body><div class='top'>Welcome</div><{tag} class='x'><p>{t}</p></{tag}></body>") for i, t in enumerate(texts)]
+        assert extracted(spark, rows) == sorted(enumerate(texts), key=str)
+
+
+def test_blocks_of_one_page_stay_in_repeated_nodes(spark):
+    # The pages differ, so the notice that most of them hold is repeated; texts beside it are not.
+    texts = ["Under construction." if i % 20 else f"Own text {i}." for i in range(200)]
+    rows = [(i, f"http://u.example/{i}", f"<body><main><h1>Page {i}</h1><p>{t}</p></main></body>") for i, t in enumerate(texts)]
+    assert extracted(spark, rows) == sorted(((i, f"Page {i}" if i % 20 else f"Page {i} {t}") for i, t in enumerate(texts)), key=str)
