@@ -1,6 +1,6 @@
 """DuckDB SQL for the rows of the registered queries of the subpackage.
 
-Stated for line dedup, decontamination and WARC. The other queries use hashes, tokenizers, trained models or parsers that SQL
+Stated for line dedup, decontamination, WARC and collocations. The other queries use hashes, tokenizers, trained models or parsers that SQL
 has not, and are tested against brute force.
 """
 
@@ -58,6 +58,24 @@ ORACLES["op10_line_dedup"] = """
     SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, coalesce(dropped, '') AS dropped
     FROM split LEFT JOIN per_doc USING (doc_id)"""
 
+ORACLES["op11_collocations"] = f"""
+    WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+    split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+    sizes AS (SELECT unnest(range(1, 6)) AS k),
+    spots AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, sizes),
+    counts AS (SELECT lang, w[i : i + k - 1] AS p, count(*) AS f FROM spots GROUP BY ALL),
+    candidates AS (SELECT lang, p, f FROM counts WHERE len(p) > 1 AND f >= 100),
+    cut AS (SELECT lang, p, f, unnest(range(1, len(p))) AS k FROM candidates),
+    scored AS (SELECT cut.lang, cut.p, cut.f AS a, k, x.f AS l, y.f AS r, n, 1000 * CAST(cut.f AS HUGEINT) * n // (CAST(x.f AS HUGEINT) * y.f) AS score
+               FROM cut JOIN counts x ON x.lang = cut.lang AND x.p = cut.p[1 : k] JOIN counts y ON y.lang = cut.lang AND y.p = cut.p[k + 1 :] JOIN totals ON totals.lang = cut.lang),
+    weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+    inner_spots AS (SELECT lang, p, f, k, unnest(range(1, len(p) - k + 2)) AS i FROM candidates, (SELECT unnest(range(2, 5)) AS k) WHERE k < len(p)),
+    inside AS (SELECT lang, p[i : i + k - 1] AS p, max(f) AS longer FROM inner_spots GROUP BY ALL),
+    kept AS (SELECT weakest.*, array_to_string(p, ' ') AS phrase FROM weakest LEFT JOIN inside USING (lang, p) WHERE longer IS NULL OR 100 * longer < 100 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+    FROM kept QUALIFY rank <= 2000"""
+
 
 def all_oracles() -> dict[str, str]:
     return dict(ORACLES)

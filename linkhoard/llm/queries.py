@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontamination, linededup, pieces, quality, records, simhash, sitetree, toxicity, warc
+from . import ann, collocations, conversations, decontamination, linededup, mixing, pieces, quality, records, simhash, sitetree, toxicity, warc
 from .base import held_out, read, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,19 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.line_report(read(spark, sf_dir, "documents"))
     return found.withColumn("dropped", F.concat_ws(",", F.col("dropped").cast("array<string>")))
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(read(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

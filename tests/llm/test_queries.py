@@ -30,7 +30,7 @@ def test_query_matches_its_sql(spark, key):
 def test_all_are_registered():
     names = set(entry.queries())
     assert names >= {*queries.all_queries(), "pipeline"}
-    assert {int(n[2:].split("_")[0]) for n in queries.all_queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.all_queries()} == set(range(1, 14))
 
 
 def test_simhash_query(spark):
