@@ -18,7 +18,7 @@ empty texts have no words; repeated rows count as often as they stand there.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,9 +31,9 @@ from ..sources.tables import materialize
 from . import base, grams
 
 #: Suffixes of a group; each takes up to 48 bytes while the group is sorted.
-BUDGET = 1 << 19
+BUDGET = 1 << 20
 #: Suffixes of a task that are brought together before they are sent.
-_GATHERED = 1 << 18
+_GATHERED = 1 << 19
 #: Known words of a task, and words it counts at once.
 _KNOWN = 200_000
 #: Bits of the bitmap of frequent words for each of them, and at most.
@@ -75,36 +75,48 @@ def _rows(docs: DataFrame) -> DataFrame:
 # Words
 
 
-def count_words(docs: DataFrame, seed: int) -> DataFrame:
-    """``(sym, lang, word, n)`` of all words, stored as a table; ``sym`` is the word's name."""
-
-    def rows(counts: dict[str, dict[bytes, int]]) -> pa.RecordBatch:
-        flat = [(lang, w, n) for lang, found in counts.items() for w, n in found.items()]
-        names = np.array([name(lang, w, seed) for lang, w, _ in flat], dtype=np.uint64).view(np.int64)
-        columns = [pa.array(names), pa.array([x[0] for x in flat], pa.string()), pa.array([x[1] for x in flat], pa.binary()).cast(pa.string()), pa.array([x[2] for x in flat], pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["sym", "lang", "word", "n"])
+def count_words(docs: DataFrame) -> DataFrame:
+    """``(key, n)`` of all words, stored as a table; a key is the word behind its language and a tab, which no word has."""
 
     def run(batches):
-        from collections import Counter
-
         counts: dict[str, Counter] = defaultdict(Counter)
         for lang, data in _texts(batches):
             counts[lang].update(words(data))
             del counts[lang][_BREAK]
-            if sum(map(len, counts.values())) > _KNOWN:
-                yield rows(counts)
+            if sum(map(len, counts.values())) > 2 * _KNOWN:
+                yield from rows(counts)
                 counts.clear()
-        if counts:
-            yield rows(counts)
+        yield from rows(counts)
+
+    def rows(counts):
+        for lang, found in counts.items():
+            front = lang.encode() + b"\t"
+            keys = pa.array([front + w for w in found], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(found.values(), pa.int64())], names=["key", "n"])
+
+    counted = _rows(docs).mapInArrow(run, "key string, n long")
+    # Tasks have added up their own words already.
+    return materialize(counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
 
-    counted = _rows(docs).mapInArrow(run, "sym long, lang string, word string, n long")
-    return materialize(counted.repartition("sym").groupBy("sym", "lang", "word").agg(F.sum("n").alias("n")), "words")
+
+def _with_names(counted: DataFrame, seed: int) -> DataFrame:
+    """``(sym, lang, word, n)``, stored as a table; ``sym`` is the word's name."""
+
+    def run(batches):
+        for batch in batches:
+            parts = [k.rpartition("\t") for k in batch.column(0).to_pylist()]
+            names = np.array([name(lang, w.encode(), seed) for lang, _, w in parts], dtype=np.uint64)
+            columns = [_signed(names), pa.array([p[0] for p in parts], pa.string()), pa.array([p[2] for p in parts], pa.string()), batch.column(1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["sym", "lang", "word", "n"])
+
+    return materialize(counted.mapInArrow(run, "sym long, lang string, word string, n long"), "words")
 
 
 def _named_words(docs: DataFrame) -> tuple[DataFrame, int]:
     """The counted words under a seed that gives each a name of its own, and the seed."""
+    counts = count_words(docs)
     for seed in range(100):
-        counted = count_words(docs, seed)
+        counted = _with_names(counts, seed)
         if counted.groupBy("sym").agg(F.count("*").alias("k")).filter("k > 1").isEmpty():
             return counted, seed
     raise ValueError("no seed names the words apart")
@@ -161,28 +173,29 @@ def _symbols(batches: Iterator[pa.RecordBatch], frequent: Bitmap, seed: int, gat
         yield np.concatenate(held)
 
 
-def _suffixes(symbols: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct suffixes of two words and more, cut off at ``longest`` and filled up with 0, sorted, and how often each occurs."""
+def _suffixes(symbols: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(names, rows, counts)``: distinct suffixes of two words and more, cut off at ``longest``, in order, and how often each occurs.
+
+    Rows have places in the sorted ``names``; where a suffix is shorter they have place 0, whose name is 0.
+    """
     places = np.flatnonzero((symbols[:-1] != 0) & (symbols[1:] != 0))
-    if not len(places):
-        return np.zeros((0, longest), dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    names, ids = np.unique(symbols, return_inverse=True)
-    if names[0] != 0:
-        names, ids = np.concatenate(([np.uint64(0)], names)), ids + 1
-    ids = np.concatenate((ids.astype(np.int64), np.zeros(longest, dtype=np.int64)))
-    columns = [ids[places]]
-    for k in range(1, longest):
-        columns.append(np.where(columns[-1] > 0, ids[places + k], 0))
-    rows, counts = _distinct(np.stack(columns, axis=1), np.ones(len(places), dtype=np.int64))
-    return names[rows], counts
+    names, ids = np.unique(np.append(symbols, np.uint64(0)), return_inverse=True)
+    ids = np.concatenate((ids.astype(np.int32), np.zeros(longest, dtype=np.int32)))
+    rows = np.empty((longest, len(places)), dtype=np.int32)
+    for k in range(longest):
+        rows[k] = ids[places + k]
+        if k:
+            rows[k] *= rows[k - 1] > 0
+    return names, *_distinct(rows.T, np.ones(len(places), dtype=np.int64))
 
 
 def _distinct(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows in order, and the sums of their counts."""
     order = np.lexsort(rows.T[::-1])
     rows, counts = rows[order], counts[order]
-    new = np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))
-    return rows[new], np.add.reduceat(counts, np.flatnonzero(new))
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    return rows[new], np.add.reduceat(counts, np.flatnonzero(new)) if len(rows) else counts
 
 
 # Vertical partitioning
@@ -192,9 +205,9 @@ def _extended(key: np.ndarray, sym: np.ndarray) -> np.ndarray:
     return grams.mix(key * np.uint64(grams.MULTIPLIER) + sym)
 
 
-def _prefix_keys(rows: np.ndarray, split: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _prefix_keys(names: np.ndarray, rows: np.ndarray, split: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Key and length of each suffix's prefix: the shortest one that isn't split. Length 0: the suffix is a split prefix itself, or as long as one can be."""
-    key, length = rows[:, 0].copy(), np.ones(len(rows), dtype=np.int64)
+    key, length = names[rows[:, 0]], np.ones(len(rows), dtype=np.int64)
     active = _within(key, split)
     for k in range(1, rows.shape[1]):
         if not active.any():
@@ -202,7 +215,7 @@ def _prefix_keys(rows: np.ndarray, split: np.ndarray) -> tuple[np.ndarray, np.nd
         ends = active & (rows[:, k] == 0)
         length[ends] = 0
         active &= ~ends
-        key[active] = _extended(key[active], rows[active, k])
+        key[active] = _extended(key[active], names[rows[active, k]])
         length[active] += 1
         active[active] = _within(key[active], split)
     length[active] = 0
@@ -232,11 +245,11 @@ def _count_prefixes(docs: DataFrame, frequent: Bitmap, seed: int, split: np.ndar
 
     def run(batches):
         for symbols in _symbols(batches, frequent, seed, _GATHERED):
-            rows, counts = _suffixes(symbols, size)
-            key, length = _prefix_keys(rows, split)  # no prefix of this size is split yet
+            names, rows, counts = _suffixes(symbols, size)
+            key, length = _prefix_keys(names, rows, split)  # no prefix of this size is split yet
             whole = length == size
             if whole.any():
-                yield pa.RecordBatch.from_arrays([_signed(key[whole]), _lists(rows[whole]), pa.array(counts[whole])], names=["key", "phrase", "n"])
+                yield pa.RecordBatch.from_arrays([_signed(key[whole]), _lists(names[rows[whole]]), pa.array(counts[whole])], names=["key", "phrase", "n"])
 
     counted = _rows(docs).mapInArrow(run, _PREFIXES)
     return materialize(counted.groupBy("key", "phrase").agg(F.sum("n").alias("n")), "prefixes")
@@ -267,27 +280,45 @@ def _bounds(leaves: DataFrame, budget: int) -> np.ndarray:
 # Suffixes to groups, and counts from their leaves
 
 
-def _packed(rows: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> bytes:
-    names, ids = np.unique(rows, return_inverse=True)
-    wide = "<u2" if len(names) < 1 << 16 else "<u4"
-    parts = [np.array([len(names), *rows.shape], dtype="<i8"), names.astype("<u8"), ids.reshape(rows.shape).T.astype(wide), counts.astype("<i8"), lengths.astype("u1")]
+def _packed(names: np.ndarray, rows: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> bytes:
+    """Rows with their own names, by column and byte, frequent names having small numbers, so that they compress well."""
+    used, ids, often = np.unique(rows, return_inverse=True, return_counts=True)
+    order = np.argsort(-often, kind="stable")
+    place = np.empty(len(order), dtype="<u4")
+    place[order] = np.arange(len(order))
+    wide = 2 if len(used) <= 1 << 16 else 4
+    planes = place[ids.reshape(rows.shape)].T.astype(f"<u{wide}")[..., None].view("u1")
+    head = np.array([len(used), *rows.shape], dtype="<i8")
+    parts = [head, names[used[order]].astype("<u8"), np.moveaxis(planes, 2, 0), counts.astype("<i8")[:, None].view("u1").T, lengths.astype("u1")]
     data = b"".join(p.tobytes() for p in parts)
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(names, rows, counts, lengths)``."""
     data = pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
-    count, height, width = np.frombuffer(data, dtype="<i8", count=3)
-    wide, at = np.dtype("<u2" if count < 1 << 16 else "<u4"), 24
-    names = np.frombuffer(data, dtype="<u8", count=count, offset=at)
-    at += 8 * count
-    ids = np.frombuffer(data, dtype=wide, count=height * width, offset=at).reshape(width, height)
-    at += ids.nbytes
-    counts = np.frombuffer(data, dtype="<i8", count=height, offset=at)
-    return names[ids.T], counts, np.frombuffer(data, dtype="u1", count=height, offset=at + 8 * height)
+    count, height, width = np.frombuffer(data, dtype="<i8", count=3).tolist()
+    wide, at = 2 if count <= 1 << 16 else 4, 24 + 8 * count
+
+    def planes(size: int, *shape: int) -> np.ndarray:
+        nonlocal at
+        found = np.frombuffer(data, dtype="u1", count=size * int(np.prod(shape)), offset=at).reshape(size, *shape)
+        at += found.nbytes
+        return np.ascontiguousarray(np.moveaxis(found, 0, -1))
+
+    rows = planes(wide, width, height).view(f"<u{wide}")[..., 0].T
+    counts = planes(8, height).view("<i8")[:, 0]
+    return np.frombuffer(data, dtype="<u8", count=count, offset=24), rows, counts, planes(1, height)[:, 0]
+
+
+def _gathered(blobs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """The rows of several blobs under common names, which are sorted; name 0 comes first."""
+    names = np.unique(np.concatenate([np.zeros(1, np.uint64), *(b[0] for b in blobs)]))
+    rows = np.concatenate([np.searchsorted(names, b[0]).astype(np.int32)[b[1]] for b in blobs])
+    return names, rows, np.concatenate([b[2] for b in blobs]), np.concatenate([b[3] for b in blobs])
 
 
-def _subtree(rows: np.ndarray, counts: np.ndarray, lengths: np.ndarray, least: int) -> tuple[list[list[int]], list[int]]:
+def _subtree(names: np.ndarray, rows: np.ndarray, counts: np.ndarray, lengths: np.ndarray, least: int) -> tuple[list[list[int]], list[int]]:
     """Phrases of at least two words and of the length of their prefix that occur ``least`` times or more, with their counts."""
     order = np.lexsort(rows.T[::-1])
     rows, counts, lengths = rows[order], counts[order], lengths[order]
@@ -300,7 +331,7 @@ def _subtree(rows: np.ndarray, counts: np.ndarray, lengths: np.ndarray, least: i
         total = np.add.reduceat(counts, starts)
         keep = (total >= least) & (rows[starts, k] != 0) & (lengths[starts] <= k + 1)
         if k and keep.any():
-            phrases += rows[starts[keep], : k + 1].view(np.int64).tolist()
+            phrases += names[rows[starts[keep], : k + 1]].view(np.int64).tolist()
             totals += total[keep].tolist()
     return phrases, totals
 
@@ -332,18 +363,17 @@ def count_phrases(docs: DataFrame, longest: int = 5, least: int = 100, budget: i
 
     def spread(batches):
         for symbols in _symbols(batches, frequent, seed, _GATHERED):
-            rows, counts = _suffixes(symbols, longest)
-            key, length = _prefix_keys(rows, keys)
+            names, rows, counts = _suffixes(symbols, longest)
+            key, length = _prefix_keys(names, rows, keys)
             group = np.where(length > 0, np.searchsorted(bounds, key, side="right"), 0)
             order = np.argsort(group, kind="stable")
             edges = np.flatnonzero(np.diff(group[order], prepend=0, append=len(bounds) + 2))
             slots = [(int(group[order[a]]), order[a:b]) for a, b in zip(edges, edges[1:])]
-            blobs = [_packed(rows[at], counts[at], length[at]) for _, at in slots]
+            blobs = [_packed(names, rows[at], counts[at], length[at]) for _, at in slots]
             yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in slots], pa.int64()), pa.array(blobs, pa.binary())], names=["group", "blob"])
 
     def grow(table: pa.Table) -> pa.Table:
-        parts = [_unpacked(b.as_py()) for b in table.column("blob")]
-        phrases, totals = _subtree(*(np.concatenate(x) for x in zip(*parts)), least)
+        phrases, totals = _subtree(*_gathered([_unpacked(b.as_py()) for b in table.column("blob")]), least)
         return pa.table({"phrase": pa.array(phrases, pa.list_(pa.int64())), "n": pa.array(totals, pa.int64())})
 
     found = _rows(docs).mapInArrow(spread, "group long, blob binary").groupBy("group").applyInArrow(grow, "phrase array<long>, n long")

@@ -74,8 +74,10 @@ def test_groups_stay_within_the_budget(spark):
     assert held.max() <= 100 and held.sum() == 30_000
 
 
-def test_packed_suffixes_come_back():
+@pytest.mark.parametrize("distinct", [40, 70_000])
+def test_packed_suffixes_come_back(distinct):
     rng = np.random.default_rng(1)
-    rows, counts, lengths = rng.integers(0, 1 << 63, (50, 5)).astype(np.uint64), rng.integers(1, 9, 50), rng.integers(1, 5, 50)
-    back = collocations._unpacked(collocations._packed(rows, counts, lengths))
-    assert all((a == b).all() for a, b in zip(back, (rows, counts, lengths)))
+    names = np.sort(np.append(rng.integers(1, 1 << 63, distinct).astype(np.uint64), np.uint64(0)))
+    rows, counts, lengths = rng.integers(0, len(names), (distinct // 4, 5)), rng.integers(1, 1 << 40, distinct // 4), rng.integers(1, 5, distinct // 4)
+    back = collocations._gathered([collocations._unpacked(collocations._packed(names, rows[at], counts[at], lengths[at])) for at in (slice(0, 7), slice(7, None))])
+    assert (back[0][back[1]] == names[rows]).all() and (back[2] == counts).all() and (back[3] == lengths).all()
