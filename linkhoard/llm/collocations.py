@@ -5,13 +5,14 @@ language and exact. They come from suffix trees over words, cut off at ``longest
 
 1. Words are counted. A word that is rarer than the least count ends every suffix, since no candidate holds it. Which words are frequent travels
    as a bitmap over word hashes of bounded size; a rare word that shares a bit only makes suffixes longer than needed.
-2. Vertical partitioning: a prefix (at first a word) with more occurrences than the budget is replaced by its extensions by one
-   word, whose occurrences are counted over the corpus, until every prefix is within the budget or has full length. Prefixes are laid out by
-   hash and dealt to groups, each within the budget or a single prefix. Counts of the replaced prefixes are known from these passes.
-3. One pass sends every suffix, cut off, to the group of its prefix; equal suffixes of a task are sent once, with their number.
+2. Vertical partitioning: a prefix (at first a word) with more occurrences than the budget is split, that is replaced by its extensions by
+   one word, until every prefix is within the budget or has full length. For this, tasks report the extensions that make up a share of their suffixes so
+   large that what goes unreported is at most half a budget in all. Prefixes are laid out by hash and dealt to groups within the budget.
+3. One pass sends every suffix, cut off, to the group of its prefix; equal suffixes of a task are sent once, with their number. Of suffixes below split
+   prefixes the split part is sent too, to groups of its own.
 4. A group sorts its suffixes: the distinct ones are the leaves of its subtrees, and a phrase's count is the total of the leaves below it.
 
-No group holds more than the budget, whatever the language or phrase. Words are named by 64 bits of hash; two words with one name among the words of the
+No prefix outgrows the budget, whatever the language or phrase; extensions that go unreported are spread over the groups by their hash. Words are named by 64 bits of hash; two words with one name among the words of the
 corpus are noticed, and the next seed is taken. Candidates are scored with exact integers and joined to their parts by name. NULL languages are ``und``; NULL and
 empty texts have no words; repeated rows count as often as they stand there.
 """
@@ -38,6 +39,8 @@ _GATHERED = 1 << 19
 _KNOWN = 200_000
 #: Bits of the bitmap of frequent words for each of them, and at most.
 _BITS_A_WORD, _MOST_BITS = 16, 28
+#: So many of the most frequent words are sent as numbers of two bytes.
+_COMMON = 60_000
 _BREAK = b"A"  # no word has an upper-case letter
 _TABLE = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -228,46 +231,54 @@ def _within(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] == keys
 
 
-_PREFIXES = "key long, phrase array<long>, n long"
+def _signed(names: np.ndarray) -> pa.Array:
+    return pa.array(names.view(np.int64))
 
 
-def _signed(rows: np.ndarray) -> pa.Array:
-    return pa.array(rows.view(np.int64))
-
-
-def _lists(rows: np.ndarray) -> pa.Array:
-    """Rows of names as lists."""
-    return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], _signed(np.ascontiguousarray(rows).reshape(-1)))
-
-
-def _count_prefixes(docs: DataFrame, frequent: Bitmap, seed: int, split: np.ndarray, size: int) -> DataFrame:
-    """``(key, phrase, n)`` of the prefixes of ``size`` words whose first ``size - 1`` are split, stored as a table."""
+def _reported(docs: DataFrame, frequent: Bitmap, seed: int, split: np.ndarray, size: int, share: float) -> DataFrame:
+    """``(key, n)`` of prefixes of ``size`` words whose first ``size - 1`` are split, as far as they are a ``share`` of the suffixes at hand; stored as a table."""
 
     def run(batches):
         for symbols in _symbols(batches, frequent, seed, _GATHERED):
             names, rows, counts = _suffixes(symbols, size)
             key, length = _prefix_keys(names, rows, split)  # no prefix of this size is split yet
-            whole = length == size
-            if whole.any():
-                yield pa.RecordBatch.from_arrays([_signed(key[whole]), _lists(names[rows[whole]]), pa.array(counts[whole])], names=["key", "phrase", "n"])
-
-    counted = _rows(docs).mapInArrow(run, _PREFIXES)
-    return materialize(counted.groupBy("key", "phrase").agg(F.sum("n").alias("n")), "prefixes")
-
-
-def _split_keys(prefixes: DataFrame, budget: int) -> list[int]:
-    """Keys with more occurrences than the budget: at most all occurrences divided by it."""
-    return [r["key"] for r in prefixes.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > budget).select("key").collect()]
+            many = (length == size) & (counts >= share * counts.sum())
+            yield pa.RecordBatch.from_arrays([_signed(key[many]), pa.array(counts[many])], names=["key", "n"])
+
+    counted = _rows(docs).mapInArrow(run, "key long, n long")
+    return materialize(counted.groupBy("key").agg(F.sum("n").alias("n")), "prefixes")
+
+
+def _split(docs: DataFrame, often: DataFrame, frequent: Bitmap, seed: int, longest: int, budget: int) -> tuple[np.ndarray, DataFrame, int]:
+    """Sorted keys of the split prefixes, ``(key, n)`` of the others as far as known, and the occurrences of the rest."""
+    spark, total = docs.sparkSession, often.agg(F.sum("n").alias("n")).first()["n"] or 0
+    leaves, keys, rest, limit = often.select(F.col("sym").alias("key"), "n"), np.zeros(0, dtype=np.uint64), 0, budget // 2
+    for size in range(2, longest + 2):
+        # What no task reports of a prefix is less than half a budget, so one that isn't split has at most a whole one. Of each
+        # length at most twice all occurrences divided by the budget are split.
+        found = leaves.filter(F.col("n") > limit).select("key", "n").collect()
+        if not found:
+            break
+        fresh = np.array([r["key"] for r in found], dtype=np.int64).view(np.uint64)
+        keys = np.union1d(keys, fresh)
+        rest += sum(r["n"] for r in found)
+        leaves = leaves.join(spark.createDataFrame([(r["key"],) for r in found], "key long"), "key", "left_anti")
+        if size > longest:
+            break
+        reported = _reported(docs, frequent, seed, keys, size, limit / total)
+        rest = max(0, rest - (reported.agg(F.sum("n").alias("n")).first()["n"] or 0))
+        leaves = leaves.unionByName(reported)
+    return keys, leaves, rest
 
 
-def _bounds(leaves: DataFrame, budget: int) -> np.ndarray:
-    """Where groups begin, as places in the order of keys: their number is about twice all occurrences divided by the budget."""
-    total = leaves.agg(F.sum("n").alias("n")).first()["n"] or 0
+def _bounds(leaves: DataFrame, rest: int, budget: int) -> np.ndarray:
+    """Where groups begin in the order of keys; ``rest`` occurrences are spread evenly. About twice all occurrences divided by the budget."""
+    total = (leaves.agg(F.sum("n").alias("n")).first()["n"] or 0) + rest
     bits = min(20, max(6, (64 * total // budget).bit_length()))
     place = F.shiftrightunsigned("key", 64 - bits)
-    weights = np.zeros(1 << bits, dtype=np.int64)
+    weights = np.full(1 << bits, -(-rest >> bits), dtype=np.int64)
     for at, n in leaves.groupBy(place.alias("at")).agg(F.sum("n").alias("n")).collect():  # at most 2 ** 20 rows
-        weights[at] = n
+        weights[at] += n
     starts, held = [0], 0
     for at in np.flatnonzero(weights).tolist():
         if held and held + weights[at] > budget:
@@ -280,25 +291,34 @@ def _bounds(leaves: DataFrame, budget: int) -> np.ndarray:
 # Suffixes to groups, and counts from their leaves
 
 
-def _packed(names: np.ndarray, rows: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> bytes:
-    """Rows with their own names, by column and byte, frequent names having small numbers, so that they compress well."""
-    used, ids, often = np.unique(rows, return_inverse=True, return_counts=True)
-    order = np.argsort(-often, kind="stable")
-    place = np.empty(len(order), dtype="<u4")
-    place[order] = np.arange(len(order))
-    wide = 2 if len(used) <= 1 << 16 else 4
-    planes = place[ids.reshape(rows.shape)].T.astype(f"<u{wide}")[..., None].view("u1")
+def _numbered(names: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Numbers of the names: 0 for 0, the place in ``common`` from 1, or -1."""
+    order = np.argsort(common)
+    place = np.minimum(np.searchsorted(common[order], names), max(0, len(common) - 1))
+    found = order[place] + 1 if len(common) else np.zeros(len(names), dtype=np.int64)
+    same = common[found - 1] == names if len(common) else np.zeros(len(names), dtype=bool)
+    return np.where(names == 0, 0, np.where(same, found, -1))
+
+
+def _packed(names: np.ndarray, numbers: np.ndarray, common: int, rows: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> bytes:
+    """Rows as numbers, by column and byte, frequent words having small ones, so that they compress well. Names without a number get those above ``common``."""
+    ids = numbers[rows]
+    own = ids < 0
+    used, local = np.unique(rows[own], return_inverse=True)
+    ids[own] = local + common + 1
+    wide = 2 if len(used) + common < 1 << 16 else 4
+    planes = np.ascontiguousarray(ids.T).astype(f"<u{wide}")[..., None].view("u1")
     head = np.array([len(used), *rows.shape], dtype="<i8")
-    parts = [head, names[used[order]].astype("<u8"), np.moveaxis(planes, 2, 0), counts.astype("<i8")[:, None].view("u1").T, lengths.astype("u1")]
+    parts = [head, names[used].astype("<u8"), np.moveaxis(planes, 2, 0), counts.astype("<i8")[:, None].view("u1").T, lengths.astype("u1")]
     data = b"".join(p.tobytes() for p in parts)
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(names, rows, counts, lengths)``."""
+def _unpacked(blob: bytes, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(own names, rows of numbers, counts, lengths)``."""
     data = pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
     count, height, width = np.frombuffer(data, dtype="<i8", count=3).tolist()
-    wide, at = 2 if count <= 1 << 16 else 4, 24 + 8 * count
+    wide, at = 2 if count + len(common) < 1 << 16 else 4, 24 + 8 * count
 
     def planes(size: int, *shape: int) -> np.ndarray:
         nonlocal at
@@ -311,11 +331,16 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return np.frombuffer(data, dtype="<u8", count=count, offset=24), rows, counts, planes(1, height)[:, 0]
 
 
-def _gathered(blobs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """The rows of several blobs under common names, which are sorted; name 0 comes first."""
-    names = np.unique(np.concatenate([np.zeros(1, np.uint64), *(b[0] for b in blobs)]))
-    rows = np.concatenate([np.searchsorted(names, b[0]).astype(np.int32)[b[1]] for b in blobs])
-    return names, rows, np.concatenate([b[2] for b in blobs]), np.concatenate([b[3] for b in blobs])
+def _gathered(blobs: list[bytes], common: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(names, rows, counts, lengths)`` of several blobs together; name 0 is 0."""
+    parts = [_unpacked(blob, common) for blob in blobs]
+    own = np.unique(np.concatenate([p[0] for p in parts]))
+    first = len(common) + 1
+    rows = []
+    for names, numbers, _, _ in parts:
+        number = np.concatenate((np.arange(first), first + np.searchsorted(own, names))).astype(np.int32)
+        rows.append(number[numbers])
+    return np.concatenate((np.zeros(1, np.uint64), common, own)), np.concatenate(rows), *(np.concatenate([p[k] for p in parts]) for k in (2, 3))
 
 
 def _subtree(names: np.ndarray, rows: np.ndarray, counts: np.ndarray, lengths: np.ndarray, least: int) -> tuple[list[list[int]], list[int]]:
@@ -336,53 +361,51 @@ def _subtree(names: np.ndarray, rows: np.ndarray, counts: np.ndarray, lengths: n
     return phrases, totals
 
 
+def _above(names: np.ndarray, rows: np.ndarray, counts: np.ndarray, length: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The split part of suffixes with two split words or more, in distinct rows, and their counts."""
+    deep = np.where(length > 0, length - 1, longest)
+    some = deep >= 2
+    cut = np.where(np.arange(rows.shape[1]) < deep[some, None], rows[some], 0)
+    return _distinct(cut, counts[some])
+
+
 def count_phrases(docs: DataFrame, longest: int = 5, least: int = 100, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """``(phrase, n)`` of all phrases of 2 to ``longest`` words that occur ``least`` times in a language, words being named by numbers, and
     ``(sym, lang, word, n)`` of all words. Both are stored as tables."""
     counted, seed = _named_words(docs)
     often = counted.filter(F.col("n") >= least)
     frequent = Bitmap.of(often, often.count())
-    leaves = often.select(F.col("sym").alias("key"), "n")
-    split: list[int] = []
-    known: list[DataFrame] = []
-    for size in range(2, longest + 1):
-        found = _split_keys(leaves, budget)
-        fresh = [k for k in found if k not in set(split)]
-        if not fresh:
-            break
-        split += fresh
-        keys = np.sort(np.array(split, dtype=np.int64).view(np.uint64))
-        prefixes = _count_prefixes(docs, frequent, seed, keys, size)
-        known.append(prefixes.filter(F.col("n") >= least).select("phrase", "n"))
-        replaced = docs.sparkSession.createDataFrame([(k,) for k in fresh], "key long")
-        leaves = leaves.join(replaced, "key", "left_anti").unionByName(prefixes.select("key", "n"))
-    else:
-        split += [k for k in _split_keys(leaves, budget) if k not in set(split)]
-    keys = np.sort(np.array(split, dtype=np.int64).view(np.uint64))
-    bounds = _bounds(leaves, budget)
+    top = often.orderBy(F.desc("n"), "sym").limit(_COMMON).select("sym").collect()
+    common = np.array([r["sym"] for r in top], dtype=np.int64).view(np.uint64)
+    split, leaves, rest = _split(docs, often, frequent, seed, longest, budget)
+    bounds = _bounds(leaves, rest, budget)
 
     def spread(batches):
         for symbols in _symbols(batches, frequent, seed, _GATHERED):
             names, rows, counts = _suffixes(symbols, longest)
-            key, length = _prefix_keys(names, rows, keys)
+            numbers = _numbered(names, common)
+            key, length = _prefix_keys(names, rows, split)
             group = np.where(length > 0, np.searchsorted(bounds, key, side="right"), 0)
-            order = np.argsort(group, kind="stable")
-            edges = np.flatnonzero(np.diff(group[order], prepend=0, append=len(bounds) + 2))
-            slots = [(int(group[order[a]]), order[a:b]) for a, b in zip(edges, edges[1:])]
-            blobs = [_packed(names, rows[at], counts[at], length[at]) for _, at in slots]
-            yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in slots], pa.int64()), pa.array(blobs, pa.binary())], names=["group", "blob"])
+            parts = [(rows, counts, length, group)]
+            if len(split):
+                cut, sums = _above(names, rows, counts, length, longest)
+                pair = _extended(names[cut[:, 0]], names[cut[:, 1]]) % np.uint64(len(bounds))
+                parts.append((cut, sums, np.ones(len(cut), dtype=np.int64), -1 - pair.astype(np.int64)))
+            groups, blobs = [], []
+            for rows, counts, length, group in parts:
+                order = np.argsort(group, kind="stable")
+                edges = np.flatnonzero(np.diff(group[order], prepend=0, append=len(bounds) + 2))
+                for at in (order[a:b] for a, b in zip(edges, edges[1:])):
+                    groups.append(int(group[at[0]]))
+                    blobs.append(_packed(names, numbers, len(common), rows[at], counts[at], length[at]))
+            yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(blobs, pa.binary())], names=["group", "blob"])
 
     def grow(table: pa.Table) -> pa.Table:
-        phrases, totals = _subtree(*_gathered([_unpacked(b.as_py()) for b in table.column("blob")]), least)
+        phrases, totals = _subtree(*_gathered([b.as_py() for b in table.column("blob")], common), least)
         return pa.table({"phrase": pa.array(phrases, pa.list_(pa.int64())), "n": pa.array(totals, pa.int64())})
 
     found = _rows(docs).mapInArrow(spread, "group long, blob binary").groupBy("group").applyInArrow(grow, "phrase array<long>, n long")
-    # Prefixes that were counted on the way and stayed whole are also found in their groups, with the same count.
-    phrases = materialize(found, "phrases")
-    for table in known:
-        over = table.join(phrases, "phrase", "left_anti")
-        phrases = phrases.unionByName(over)
-    return (materialize(phrases, "phrases") if known else phrases), counted
+    return materialize(found, "phrases"), counted
 
 
 def score(phrases: DataFrame, counted: DataFrame, factor: int = 1000) -> DataFrame:

@@ -68,16 +68,19 @@ def test_scores_are_exact_beyond_64_bits(spark):
 def test_groups_stay_within_the_budget(spark):
     """Prefixes above the budget are replaced, so that no group holds more suffixes, whatever is frequent."""
     leaves = spark.createDataFrame([(k * 7919 * (1 << 40), 30) for k in range(1000)], "key long, n long")
-    bounds = collocations._bounds(leaves, 100)
+    bounds = collocations._bounds(leaves, 0, 100)
     keys = np.array([k * 7919 * (1 << 40) for k in range(1000)], dtype=np.uint64)
     held = np.bincount(np.searchsorted(bounds, keys, side="right")) * 30
     assert held.max() <= 100 and held.sum() == 30_000
 
 
-@pytest.mark.parametrize("distinct", [40, 70_000])
-def test_packed_suffixes_come_back(distinct):
+@pytest.mark.parametrize("distinct, common", [(40, 10), (40, 0), (70_000, 20), (300, 60_000)])
+def test_packed_suffixes_come_back(distinct, common):
     rng = np.random.default_rng(1)
     names = np.sort(np.append(rng.integers(1, 1 << 63, distinct).astype(np.uint64), np.uint64(0)))
+    often = np.concatenate((rng.permutation(names[1:])[: common // 2], rng.integers(1, 1 << 63, common - common // 2).astype(np.uint64)))
     rows, counts, lengths = rng.integers(0, len(names), (distinct // 4, 5)), rng.integers(1, 1 << 40, distinct // 4), rng.integers(1, 5, distinct // 4)
-    back = collocations._gathered([collocations._unpacked(collocations._packed(names, rows[at], counts[at], lengths[at])) for at in (slice(0, 7), slice(7, None))])
+    numbers = collocations._numbered(names, often)
+    blobs = [collocations._packed(names, numbers, len(often), rows[at], counts[at], lengths[at]) for at in (slice(0, 7), slice(7, None))]
+    back = collocations._gathered(blobs, often)
     assert (back[0][back[1]] == names[rows]).all() and (back[2] == counts).all() and (back[3] == lengths).all()
