@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "label", "pick"), min(total, max_rows)
 
 
+class Known:
+    """What is known of words, in two generations: words met again move to the recent one, the others are forgotten.
+
+    It holds twice ``limit`` words at most, besides those of the texts at hand.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.recent, self.older = limit, {}, {}
+
+    def learn(self, words: set[str], find: Callable[[set[str]], Iterable[tuple[str, bytes]]]) -> None:
+        """Bring all ``words`` into the recent generation; ``find`` works out those met for the first time."""
+        missing = words - self.recent.keys()
+        again = missing & self.older.keys()
+        self.recent.update(zip(again, map(self.older.__getitem__, again)))
+        self.recent.update(find(missing - again))
+
+    def age(self) -> None:
+        if len(self.recent) > self.limit:
+            self.recent, self.older = {}, self.recent
+
+
 def chunks(texts: Iterable[str | None], limit: int = CHUNK_BYTES) -> Iterator[list[str]]:
     """Consecutive texts of at most ``limit`` characters together (or one longer text); NULL is empty."""
     chunk, size = [], 0
@@ -63,20 +85,24 @@ def chunks(texts: Iterable[str | None], limit: int = CHUNK_BYTES) -> Iterator[li
         yield chunk
 
 
+_GAP = re.compile(r"[\t-\r ]")
+
+
 def cut(text: str, limit: int, overlap: int = 0) -> list[str]:
-    """Pieces of a long text, cut at spaces; each begins with the last ``overlap`` words of the one before."""
+    """Pieces of a long text of about ``limit`` characters, cut at ASCII white space only, so that no word is divided; each begins
+    with the last ``overlap`` words of the one before. A longer run without white space stays whole."""
     if len(text) <= limit:
         return [text]
     pieces, at = [], 0
     while at < len(text):
-        end = min(len(text), at + limit)
-        if end < len(text):
-            space = text.rfind(" ", at, end)
-            end = space if space > at else end
+        gap = _GAP.search(text, at + limit)
+        end = gap.start() if gap else len(text)
         begin = at
-        for _ in range(overlap):
-            space = text.rfind(" ", max(0, begin - 1000), max(0, begin - 1))
-            begin = space if space >= 0 else begin
+        for _ in range(overlap if at else 0):
+            while begin > 0 and _GAP.match(text[begin - 1]):
+                begin -= 1
+            while begin > 0 and not _GAP.match(text[begin - 1]):
+                begin -= 1
         pieces.append(text[begin:end])
         at = end
     return pieces

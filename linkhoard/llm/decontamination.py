@@ -339,4 +339,6 @@ def _near(block: Block, search: _Search, slop: int):
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs. Rows without a doc_id are kept."""
     hits = exact_matches(docs, benchmark, size).filter((F.size("items") > 0) & F.col("doc_id").isNotNull())
-    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    gone = hits.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_row")).distinct()
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_row": F.xxhash64("text")})
+    return keyed.join(gone, ["_id", "_row"], "left_anti").select(docs.columns)

@@ -1,9 +1,9 @@
 """Line deduplication over a whole corpus by a deletion-neighbourhood join. DataFrame operations only.
 
 Lines are what line feeds separate. A line is its sequence of words: split at ASCII white space, lower-cased. Two lines
-match if at most one word is inserted, deleted or replaced (edit distance over words of at most 1). A line of at least
-``min_words`` words is dropped if an equal line, or another line that matches it, occurs earlier, by doc_id and line
-number; lines dropped themselves count as earlier ones. Shorter lines are never dropped.
+match if at most one word is inserted, deleted or replaced (edit distance over words of at most 1). A line with words is dropped if an
+equal line occurs earlier, by doc_id and line number, or, where both have at least ``min_words`` words, another line that matches it; lines
+dropped themselves count as earlier ones. Of shorter lines one word is too much to be the same line, so only equal ones count. Blank lines are never dropped.
 
 1. Equal lines are gathered by 128 bits of hash, with a map-side combine; each distinct line is its first occurrence.
 2. A line one edit away from another shares its first or its last half with it. Lines without such a partner have
@@ -119,12 +119,12 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, broadcast_rows: int = BROADCAST_ROWS, lines: DataFrame | None = None) -> DataFrame:
     """``(doc_id, row, line_no)`` of the lines to drop; ``lines`` are the ``hashed_lines`` of ``docs``, if they are at hand."""
-    lines = (hashed_lines(docs) if lines is None else lines).filter(F.col("n") >= min_words)
+    lines = (hashed_lines(docs) if lines is None else lines).filter("n > 0")
     first = F.min(F.struct("doc_id", "line_no", "row")).alias("first")
     distinct = materialize(
-        lines.groupBy("h1", "h2").agg(first, F.first("halves").alias("halves"), F.count("*").alias("lines")), "distinct-lines"
+        lines.groupBy("h1", "h2").agg(first, F.first("n").alias("n"), F.first("halves").alias("halves"), F.count("*").alias("lines")), "distinct-lines"
     )
-    partnered, seen = measure(_with_partner(distinct), "partnered-lines", rows=F.count("*"))
+    partnered, seen = measure(_with_partner(distinct.filter(F.col("n") >= min_words)), "partnered-lines", rows=F.count("*"))
     if seen["rows"] <= broadcast_rows:
         partnered = F.broadcast(partnered)
     # Firsts are unique, so this join meets no key twice, however often a line is repeated.
@@ -151,15 +151,12 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``.
 
-    A document that lost lines is dropped as a whole if no line of its own is left: only blank lines, and shorter lines
-    that occur earlier, word for word. The other columns stay as they are; ``n_chars``, if there is one, is counted
+    A document that lost lines is dropped as a whole if only blank lines are left. The other columns stay as they are; ``n_chars``, if there is one, is counted
     anew where lines were taken out.
     """
     hashed = hashed_lines(docs)
     found = dropped_lines(docs, min_words, lines=hashed).distinct()
-    short = hashed.filter((F.col("n") > 0) & (F.col("n") < min_words))
-    owners = short.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct().withColumn("_own", F.lit(True))
-    per_doc = found.groupBy("doc_id", "row").agg(F.collect_list("line_no").alias("_dropped")).join(owners, "doc_id", "left")
+    per_doc = found.groupBy("doc_id", "row").agg(F.collect_list("line_no").alias("_dropped"))
     lines = F.split("text", "\n")
     keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_row": F.xxhash64("text")})
     joined = keyed.join(per_doc.withColumnsRenamed({"doc_id": "_id", "row": "_row"}), ["_id", "_row"], "left")
@@ -169,7 +166,7 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ends = F.concat(places, F.array(F.size(lines)))
     kept = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 1, b - a)))
     with_kept = joined.withColumn("_kept", F.when(F.col("_dropped").isNotNull(), kept))
-    worth = F.coalesce("_own", F.lit(False)) | F.exists("_kept", lambda line: F.size(_words(line)) >= min_words)
+    worth = F.exists("_kept", lambda line: F.size(_words(line)) > 0)
     changed = F.col("_dropped").isNotNull()
     out = with_kept.filter(~changed | worth)
     columns = []

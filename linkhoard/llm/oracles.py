@@ -46,13 +46,13 @@ ORACLES["op10_line_dedup"] = """
     numbered AS (SELECT doc_id, lines, unnest(range(0, len(lines))) AS line_no FROM split),
     lines AS (SELECT doc_id, line_no, list_filter(string_split(translate(lower(lines[line_no + 1]), chr(9) || chr(13) || chr(11) || chr(12), '    '), ' '),
                                                   lambda x: x <> '') AS w FROM numbered),
-    firsts AS (SELECT w, len(w) AS n, array_to_string(w, ' ') AS whole, min({'d': doc_id, 'l': line_no}) AS first FROM lines WHERE len(w) >= 5 GROUP BY w),
-    spots AS (SELECT *, unnest(range(1, n + 1)) AS i FROM firsts),
+    firsts AS (SELECT w, len(w) AS n, array_to_string(w, ' ') AS whole, min({'d': doc_id, 'l': line_no}) AS first FROM lines WHERE len(w) > 0 GROUP BY w),
+    spots AS (SELECT *, unnest(range(1, n + 1)) AS i FROM firsts WHERE n >= 5),
     forms AS (SELECT whole, n, first, i, array_to_string(w[1 : i - 1] || w[i + 1 : n], ' ') AS form FROM spots),
     replaced AS (SELECT whole, first, min(first) OVER (PARTITION BY n, i, form) AS least FROM forms),
-    removed AS (SELECT a.whole AS a, b.whole AS b, a.first > b.first AS later FROM forms a JOIN firsts b ON a.form = b.whole AND b.n = a.n - 1),
+    removed AS (SELECT a.whole AS a, b.whole AS b, a.first > b.first AS later FROM forms a JOIN firsts b ON a.form = b.whole AND b.n = a.n - 1 AND b.n >= 5),
     near AS (SELECT whole FROM replaced WHERE least < first UNION SELECT CASE WHEN later THEN a ELSE b END FROM removed),
-    gone AS (SELECT doc_id, line_no FROM (SELECT *, array_to_string(w, ' ') AS whole FROM lines WHERE len(w) >= 5) JOIN firsts USING (whole)
+    gone AS (SELECT doc_id, line_no FROM (SELECT *, array_to_string(w, ' ') AS whole FROM lines WHERE len(w) > 0) JOIN firsts USING (whole)
              WHERE first <> {'d': doc_id, 'l': line_no} OR whole IN (SELECT whole FROM near)),
     per_doc AS (SELECT doc_id, count(*) AS n_dropped, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS dropped FROM gone GROUP BY doc_id)
     SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, coalesce(dropped, '') AS dropped

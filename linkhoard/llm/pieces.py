@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
+import operator
 import re
 import struct
 import zlib
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 from . import base
 
 MARK = "▁"
-_CACHED = 500_000
+_CACHED = 150_000
 _CACHED_PAIRS = 500_000
 # Fixed values of the model format: kinds of pieces and of models.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -79,14 +81,15 @@ class Model:
         self.unknown = next((i for i, (_, _, t) in enumerate(pieces) if t == _UNKNOWN), 0)
         self.unknown_score = min(self.score.values(), default=0.0) - 10
         self.letters = {c for p in self.ids for c in p}
-        self.known: dict[str, bytes] = {}
+        self.known = base.Known(_CACHED)
         self._follows: dict[int, bool] = {}
         self._spines: dict[str, tuple[list, list]] = {}
+        self._formed: dict[int, bool] = {}
         self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.endings: dict[str, tuple[int, ...]] = {}
         for p in self.ids:
             if len(p) >= 3:
-                self.endings[p[-3:]] = tuple(sorted({len(p), *self.endings.get(p[-3:], ())}, reverse=True))
+                self.endings[p[-3:]] = tuple(sorted({1, 2, len(p), *self.endings.get(p[-3:], ())}, reverse=True))
         # Characters outside all pieces stand by themselves, so texts may be cut at line breaks too.
         cuts = "" if "\n" in self.letters else "\n"
         self._split = re.compile(f"{MARK}*[^{MARK}{cuts}]+|{MARK}+" + ("|\n" if cuts else "")).findall
@@ -166,59 +169,97 @@ class Model:
                 j += 1
         return False
 
-    def _follows_known(self, first: str, second: str, number: int) -> bool:
-        """``follows``, looked up for pairs of pieces met before; ``number`` is the id of the second."""
-        pair = self.ids.get(first, -1) << 32 | number
-        if pair < 0:  # after a character without a piece anything goes that comes about at all
-            return bool(self._spine(second)[0])
-        found = self._follows.get(pair)
-        if found is None:
-            if len(self._follows) >= _CACHED_PAIRS:
-                self._follows.clear()
-            found = self._follows[pair] = self.follows(first, second)
-        return found
+    def _may_follow(self, first: int, number: int) -> bool:
+        """``follows`` for ids, remembered. After the start of a word, or a character without a piece (-1), any piece goes that comes about at all."""
+        known = self._formed if first < 0 else self._follows
+        if len(known) >= _CACHED_PAIRS:
+            known.clear()
+        if first < 0:
+            known[number] = bool(self._spine(self.pieces[number][0])[0])
+            return known[number]
+        pair = first << 32 | number
+        known[pair] = self.follows(self.pieces[first][0], self.pieces[number][0])
+        return known[pair]
 
     # Forward passes over the trie
 
-    def _step(self, word: str, end: int, states: list) -> tuple[float, str]:
-        """The state after ``word[:end]``: a score (unigram only) and the piece that ends there."""
-        if self.kind == _BPE:
-            # Only the lengths that pieces with this ending have.
-            for size in (*self.endings.get(word[end - 3 : end], ()), 2, 1) if end > 2 else range(end, 0, -1):
-                if size <= end:
-                    piece = word[end - size : end]
-                    number = self.ids.get(piece)
-                    if number is not None and (self._spine(piece)[0] if end == size else self._follows_known(states[end - size][1], piece, number)):
-                        return 0.0, piece
-            return 0.0, word[end - 1]
-        best = (states[end - 1][0] + self.unknown_score, word[end - 1])
+    def _step(self, word: str, end: int, states: list) -> tuple[float, int, int]:
+        """The state after ``word[:end]`` of a unigram model: a score, the piece that ends there (-1: a character without one), and its length."""
+        best = (states[end - 1][0] + self.unknown_score, -1, 1)
         for size in range(1, min(self.longest, end) + 1):
-            score = self.score.get(word[end - size : end])
+            piece = word[end - size : end]
+            score = self.score.get(piece)
             if score is not None and states[end - size][0] + score > best[0]:
-                best = (states[end - size][0] + score, word[end - size : end])
+                best = (states[end - size][0] + score, self.ids[piece], size)
         return best
 
+    def _extend(self, word: str, shared: int, last: list[int], sizes: list[int]) -> None:
+        """Continue the states of a byte-pair model, the last piece (-1: a character without one) and its length, behind ``word[:shared]``."""
+        ids, endings, follows, formed = self.ids, self.endings, self._follows, self._formed
+        for end in range(shared + 1, len(word) + 1):
+            # Only the lengths that pieces with this ending have.
+            for size in endings.get(word[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
+                begin = end - size
+                if begin < 0:
+                    continue
+                number = ids.get(word[begin:end])
+                if number is None:
+                    continue
+                first = last[begin]
+                fits = formed.get(number) if first < 0 else follows.get(first << 32 | number)
+                if fits is None:
+                    fits = self._may_follow(first, number)
+                if fits:
+                    last.append(number)
+                    sizes.append(size)
+                    break
+            else:
+                last.append(-1)
+                sizes.append(1)
+
     def segment(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """Each distinct word with its pieces, in sorted order."""
-        states: list[tuple[float, str]] = [(0.0, "")]
-        previous = ""
+        for word, _, lengths in self._paths(words):
+            ends = list(itertools.accumulate(lengths))
+            yield word, [word[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _paths(self, words: Iterable[str]) -> Iterator[tuple[str, list[int], list[int]]]:
+        """Each distinct word, in sorted order, with the ids (-1: a character without a piece) and lengths of its pieces."""
+        scores: list[tuple[float, int, int]] = [(0.0, -1, 0)]
+        last, sizes, previous = [-1], [0], ""
         for word in sorted(set(words)):
             if self.kind == _BPE and MARK * 2 in word:  # runs of marks have pieces of equal score, where the order of merges counts
-                yield word, [p for p, _ in self.merge(word)]
+                merged = [p for p, _ in self.merge(word)]
+                yield word, [self.ids.get(p, -1) for p in merged], list(map(len, merged))
                 continue
             shared = 0
             for a, b in zip(previous, word):
                 if a != b:
                     break
                 shared += 1
-            del states[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                states.append(self._step(word, end, states))
-            previous, out, at = word, [], len(word)
+            previous = word
+            if self.kind == _BPE:
+                del last[shared + 1 :], sizes[shared + 1 :]
+                self._extend(word, shared, last, sizes)
+            else:
+                del scores[shared + 1 :]
+                for end in range(shared + 1, len(word) + 1):
+                    scores.append(self._step(word, end, scores))
+                last, sizes = [x[1] for x in scores], [x[2] for x in scores]
+            numbers, lengths, at = [], [], len(word)
             while at:
-                out.append(states[at][1])
-                at -= len(out[-1])
-            yield word, out[::-1]
+                numbers.append(last[at])
+                lengths.append(sizes[at])
+                at -= sizes[at]
+            numbers.reverse()
+            lengths.reverse()
+            yield word, numbers, lengths
+
+    def _spelled_ids(self, word: str, numbers: list[int], lengths: list[int]) -> list[int]:
+        if -1 not in numbers:
+            return numbers
+        ends = itertools.accumulate(lengths)
+        return [i for n, end in zip(numbers, ends) for i in ([n] if n >= 0 else self._ids_of(word[end - 1]))]
 
     def _ids_of(self, piece: str) -> list[int]:
         found = self.ids.get(piece)
@@ -228,27 +269,27 @@ class Model:
 
     def _cut(self, word: str) -> list[str]:
         """Parts of a word between characters that stand side by side in no piece: nothing is ever merged across."""
-        at = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.joined]
+        whole = list(map(self.joined.__contains__, map(operator.add, word, word[1:])))
+        if False not in whole:
+            return [word]
+        at = [k for k, joined in enumerate(whole, 1) if not joined]
         return [word[a:b] for a, b in zip([0, *at], [*at, len(word)])]
 
     def encode(self, normal: list[str]) -> list[bytes]:
         """Ids of normalised texts, packed as 4-byte numbers."""
         words = [self._split(text) for text in normal]
-        found = [list(map(self.known.get, w)) for w in words]
-        gaps = [(ws, fs, [k for k, f in enumerate(fs) if f is None]) for ws, fs in zip(words, found) if None in fs]
-        cut = {w: self._cut(w) for w in {ws[k] for ws, _, places in gaps for k in places}}
-        parts = {p for ps in cut.values() for p in ps}
-        if len(self.known) + len(cut) + len(parts) > _CACHED:  # what this batch needs stays: the frequent words are among it
-            self.known = {w: f for ws, fs in zip(words, found) for w, f in zip(ws, fs) if f is not None}
-        for part, pieces in self.segment(parts - self.known.keys()):
-            self.known[part] = np.array([i for p in pieces for i in self._ids_of(p)], dtype="<i4").tobytes()
-        self.known.update((w, b"".join(map(self.known.__getitem__, ps))) for w, ps in cut.items() if len(ps) > 1)
-        for ws, fs, places in gaps:
-            for k in places:
-                fs[k] = self.known[ws[k]]
-        packed = [b"".join(f) for f in found]
+        self.known.learn({w for ws in words for w in ws}, self._spell_all)
+        packed = [b"".join(map(self.known.recent.__getitem__, ws)) for ws in words]
+        self.known.age()
         return packed if self.bytes else list(map(self._merge_unknown, packed))
 
+    def _spell_all(self, words: set[str]) -> Iterator[tuple[str, bytes]]:
+        cut = {w: self._cut(w) for w in words}
+        paths = self._paths(p for ps in cut.values() for p in ps)
+        parts = {path[0]: _packed(len(ids))(*ids) for path in paths if (ids := self._spelled_ids(*path))}
+        for w, ps in cut.items():
+            yield w, parts[w] if len(ps) == 1 else b"".join(map(parts.__getitem__, ps))
+
     def _merge_unknown(self, packed: bytes) -> bytes:
         """Neighbouring unknown characters are one unknown."""
         ids = np.frombuffer(packed, dtype="<i4")
@@ -265,6 +306,11 @@ class Model:
         return text[1:] if text.startswith(" ") else text
 
 
+@functools.cache
+def _packed(count: int):
+    return struct.Struct(f"<{count}i").pack
+
+
 _NO_IDS = pa.array([], pa.int32())
 
 

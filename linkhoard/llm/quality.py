@@ -72,8 +72,9 @@ def features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     starts, stops = grams.word_edges(~space)
     found, places = [grams.buckets(grams.spans(sums, starts, stops), bits, 1)], [starts]
     words = grams.spans(sums, starts, stops)
+    texts_of = owner[np.searchsorted(ends, starts - 1, side="right")]
     for gap in _GAPS:
-        again = np.flatnonzero(words[gap:] == words[:-gap]) + gap
+        again = np.flatnonzero((words[gap:] == words[:-gap]) & (texts_of[gap:] == texts_of[:-gap])) + gap
         found.append(np.full(len(again), gap))
         places.append(starts[again])
     inner = np.concatenate(([0], np.cumsum(space)))

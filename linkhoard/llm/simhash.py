@@ -45,15 +45,16 @@ def fingerprint(text: bytes, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every row, ``fp`` as a signed 64-bit number."""
+    """``(doc_id, row, fp)`` of every row, ``fp`` as a signed 64-bit number; ``row`` is a hash of the text, which tells rows of one doc_id apart."""
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
             values = np.array([fingerprint(t or b"", words) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values)], names=["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -97,7 +98,7 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``(doc_id, fp, component_id)``: component_id is the smallest doc_id reachable over links of at most 2 bits.
+    """``(doc_id, row, fp, component_id)``: component_id is the smallest doc_id reachable over links of at most 2 bits.
 
     Repeated rows stay; rows with a NULL doc_id take part but never name a component.
     """
@@ -107,14 +108,17 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     rooted = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = materialize(rooted.join(named, "root").select("fp", "component_id"), "components")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "row", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component; rows with the same doc_id stay together.
+    """The rows of ``docs`` whose doc_id is the smallest of its component.
+
+    Rows of one doc_id with other texts are decided by their own texts.
 
     Rows without a doc_id can't be told apart and are kept.
     """
     found = near_duplicates(docs, words)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_row": F.xxhash64("text")})
+    return keyed.join(gone, ["_id", "_row"], "left_anti").select(docs.columns)

@@ -6,7 +6,7 @@ own, and returns a table with a row per record: ``file``, ``offset``, ``length``
 then be read by themselves, in any order; ``read`` does so and checks each payload against its digest.
 
 Payloads are compared by SHA-1. Of equal payloads of at least ``min_bytes`` bytes the page with the smallest
-page_id is a response (all rows of that page_id, if repeated) and the others are revisits, records without a block that
+page_id is a response (all rows of that page_id with that payload, if repeated) and the others are revisits, records without a block that
 name it; their payload length is kept in the field WARC-Payload-Length. A NULL html is an empty payload; rows without
 page_id are written as responses and take no part in the comparison. Urls are percent-encoded where a header needs it.
 """
@@ -44,10 +44,12 @@ def with_types(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     Only ids and digests are grouped; the html moves once, to meet the decision of its page.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    hashed = rows.filter(F.col("page_id").isNotNull() & (F.octet_length("html") >= min_bytes)).select("page_id", F.sha1(F.col("html").cast("binary")).alias("sha1"))
+    sha1 = F.sha1(F.col("html").cast("binary"))
+    hashed = rows.filter(F.col("page_id").isNotNull() & (F.octet_length("html") >= min_bytes)).select("page_id", sha1.alias("sha1"))
     first = hashed.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    revisits = hashed.join(first, "sha1").filter("page_id <> first").groupBy("page_id").agg(F.min("first").alias("refers_to"))
-    return rows.join(revisits, "page_id", "left")
+    # Rows of one page_id may differ in their payloads: each is decided by its own.
+    revisits = hashed.join(first, "sha1").filter("page_id <> first").groupBy("page_id", "sha1").agg(F.min("first").alias("refers_to"))
+    return rows.withColumn("sha1", sha1).join(revisits, ["page_id", "sha1"], "left").select(*rows.columns, "refers_to")
 
 
 def _record(page_id, url, payload: bytes, refers_to) -> bytes:

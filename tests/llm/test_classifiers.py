@@ -77,7 +77,7 @@ def test_pieces_of_a_long_text_have_the_features_of_the_whole():
 
 
 def test_quality_features_do_not_depend_on_the_batch():
-    texts = ["", "One two two", " x", "日本 ab!!", "\n"]
+    texts = ["", "One two two", "two one", "One", "One two", " x", "x", "日本 ab!!", "\n", "ab!! 日本 x"]
     owner, feature = quality.features(texts, 16)
     for k, text in enumerate(texts):
         assert sorted(feature[owner == k]) == sorted(quality.features([text], 16)[1])

@@ -67,3 +67,9 @@ def test_empty_tables_and_filter(spark):
     kept = D.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 2, 3]
+
+
+def test_rows_of_one_id_with_other_texts_are_decided_by_their_own(spark):
+    bench = spark.createDataFrame([("q", "a b c d")], "item_id string, text string")
+    kept = D.drop_contaminated(documents(spark, [(1, "a b c d"), (1, "its own text")], extra=True), bench)
+    assert [(r["doc_id"], r["text"]) for r in kept.collect()] == [(1, "its own text")]

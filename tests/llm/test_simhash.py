@@ -90,3 +90,8 @@ def test_components_of_a_long_chain_and_a_star(spark):
     roots = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
     assert roots == {k: 0 for k in range(1, 61)} | {1001 + k: 1000 for k in range(50)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_of_one_id_with_other_texts_are_decided_by_their_own(spark):
+    kept = simhash.drop_near_duplicates(documents(spark, [(1, "a b c d"), (2, "a b c d"), (2, "its own text")], extra=True))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, "a b c d"), (2, "its own text")]

@@ -75,3 +75,11 @@ def test_streams_of_any_cut_and_damaged_ones():
 
 def test_empty_table(spark):
     assert warc.read(warc.normalise(warc.write(spark.createDataFrame([], SCHEMA)))).count() == 0
+
+
+def test_rows_of_one_page_with_other_payloads_keep_them(spark):
+    pages = [(1, None, "same"), (2, None, "same"), (2, None, "other"), (3, None, "other")]
+    rows = warc.read(warc.normalise(warc.write(spark.createDataFrame(pages, SCHEMA)))).collect()
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"], bytes(r["payload"] or b"")) for r in rows) == [
+        (1, "response", None, b"same"), (2, "response", None, b"other"), (2, "revisit", 1, b""), (3, "revisit", 2, b""),
+    ]
