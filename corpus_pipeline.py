@@ -29,8 +29,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs, SHINGLE_WORDS)
+    """One document of each group of near-duplicates, the one with the smallest doc_id.
+
+    Fingerprints unite texts that are all but equal; of what they leave, documents that share 0.8 or more of their shingles count as copies, whatever
+    the fingerprints say.
+    """
+    kept = materialize(simhash.drop_near_duplicates(docs, SHINGLE_WORDS), "unlike-fingerprints")
+    return shingles.drop_near_copies(kept, SHINGLE_WORDS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,18 +49,12 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 or more of its shingles, whatever the fingerprints say."""
-    return shingles.drop_near_copies(docs, SHINGLE_WORDS)
-
-
 STAGES = [
     ("quality classifier", keep_quality),
     ("line dedup", drop_lines),
     ("SimHash near-dedup", drop_copies),
     ("benchmark decontamination", drop_benchmark),
     ("SentencePiece encoding and decoding", tokenize),
-    ("shingle near-dedup", drop_similar),
 ]
 
 #: SQL cannot express the trained classifier; the stages are tested against brute force.
