@@ -77,6 +77,17 @@ def request_path(url: Column) -> Column:
     return F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
 
 
+def request_key(url: Column) -> Column:
+    """What a request for an absolute http(s) URL asks for; URLs with one key get one answer.
+
+    Scheme and host in lower case, no user info, no default port, then path and query as sent. Any other text is its own key.
+    """
+    scheme = F.lower(F.regexp_extract(url, r"^((?i)https?)://", 1))
+    place = F.lower(F.regexp_extract(url, rf"^{_SCHEME}://(?:[^/?#@]*@)?([^/?#]*)", 1))
+    bare = F.when(scheme == "http", F.regexp_replace(place, r":(?:80)?$", "")).otherwise(F.regexp_replace(place, r":(?:443)?$", ""))
+    return F.when(scheme == "", url).otherwise(F.concat(scheme, F.lit("://"), bare, request_path(url)))
+
+
 def without_fragment(url: Column) -> Column:
     return F.substring_index(url, "#", 1)
 

@@ -15,6 +15,7 @@ from ..functions import html, http
 from ..functions import urls as U
 from ..sources.tables import is_small, materialize, measure, settle
 from . import robots as robots_ops
+from .captures import Captures
 from .lookup import lookup
 from .ranking import number_rows
 
@@ -58,13 +59,13 @@ class LinkTable:
         return cls(materialize(found, "pages"), materialize(parts, "links"))
 
     @classmethod
-    def of_responses(cls, responses: DataFrame) -> LinkTable:
-        """From response bodies; a redirect target counts as first link.
+    def of_responses(cls, responses: DataFrame | Captures) -> LinkTable:
+        """From response bodies, one capture per page; a redirect target counts as first link.
 
         Failed exchanges give no page: they are neither visited nor counted. Links are taken from the
         bodies once and written in pieces of bounded size, so that levels read links and no bodies.
         """
-        arrived = responses.filter(F.col("error_class").isNull())
+        arrived = Captures.of(responses).single().filter(F.col("error_class").isNull())
         target = http.redirect_target(F.col("url"), F.col("location"))
         redirect = F.when(
             http.is_redirect(F.col("code")) & target.isNotNull(),

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import http
-from ..functions.urls import is_http_url, with_scheme
+from ..functions.urls import is_http_url, request_key, with_scheme
 from ..sources.tables import measure
+from .captures import Captures
 from .lookup import lookup
 
 MAX_REDIRECTS = 10
@@ -18,11 +19,15 @@ _HEADERS = ("code", "message", "location", "error_class", "error_message")
 
 
 def fetch(
-    requests: DataFrame, responses: DataFrame, url: str = "url", *, spread: list[str], rows: int | None = None
+    requests: DataFrame, responses: DataFrame | Captures, url: str = "url", *, spread: list[str], rows: int | None = None
 ) -> DataFrame:
-    """Left join of requests to recorded responses on the URL; one exchange, no redirects followed."""
-    answers = responses.withColumnRenamed("url", "_answer_url")
-    return lookup(requests, answers, url, "_answer_url", spread=spread, rows=rows)
+    """Left join of requests to the captures that count, on the request key; one exchange, no redirects followed.
+
+    All columns of the responses but ``url`` and ``body`` are added.
+    """
+    answers = Captures.of(responses).chosen.drop("_capture").withColumnRenamed("_key", "_answer_key")
+    keyed = requests.withColumn("_key", request_key(F.col(url)))
+    return lookup(keyed, answers, "_key", "_answer_key", spread=spread, rows=rows).drop("_key")
 
 
 def failure_message(url: Column, error: Column, known: Column) -> Column:
@@ -49,13 +54,13 @@ def outcome_of(url: Column, known: Column, **rules: bool) -> Column:
     )
 
 
-def follow(requests: DataFrame, responses: DataFrame, *, rows: int | None = None, **options) -> DataFrame:
+def follow(requests: DataFrame, responses: DataFrame | Captures, *, rows: int | None = None, **options) -> DataFrame:
     """Answer each distinct ``url`` of ``requests`` once; see ``follower`` for options and result."""
     return follower(responses, **options)(requests, rows)
 
 
 def follower(
-    responses: DataFrame,
+    responses: DataFrame | Captures,
     *,
     payload: Callable[[DataFrame], DataFrame] | None = None,
     max_redirects: int = MAX_REDIRECTS,
@@ -67,14 +72,18 @@ def follower(
     It takes the requests and, if known, an upper bound on their number, and returns
     ``(url, final_url, code, message, hops, error_class, error_message[, payload])``. A failed request
     has ``final_url`` and ``code`` NULL. ``payload`` adds a column ``payload`` computed from the
-    response columns; it is kept where a chain ends. Bodies are read only for it.
+    response columns, where a chain ends. Bodies are read only for it, after the last hop and where they lie.
 
-    Each hop is one join of the URLs still moving. The loop ends when none is left, at the
-    latest after ``max_redirects`` hops. A chain that comes back to a URL of its own can only end
+    Each hop is one join of the URLs still moving to the captures that count, without bodies. The loop ends when none is left, at the
+    latest after ``max_redirects`` hops. A chain that comes back to a request of its own can only end
     as ``MaxRedirectError`` and does so at once.
     """
-    wide = [] if payload is None else [c for c in responses.columns if c not in ("url", *_HEADERS)]
-    answers = responses.select(F.col("url").alias("_answer_url"), *_HEADERS, *wide, F.lit(True).alias("_recorded"))
+    captures = Captures.of(responses)
+    read = None if payload is None else captures.reader(payload)
+    missing = [F.lit(None).cast("string").alias(c) for c in _HEADERS if c not in captures.chosen.columns]
+    answers = captures.chosen.select("*", *missing).select(
+        F.col("_key").alias("_answer_key"), "_capture", *_HEADERS, F.lit(True).alias("_recorded")
+    )
 
     known = F.coalesce(F.col("_recorded"), F.lit(False))
     outcome = outcome_of(
@@ -82,7 +91,7 @@ def follower(
     )
     redirected = F.col("_outcome") == http.FOLLOW
     answered = F.col("_outcome") == http.RESPONSE
-    endless = F.array_contains(F.array_append("trail", F.col("at")), F.col("_target"))
+    endless = F.array_contains(F.array_append("trail", F.col("_key")), request_key(F.col("_target")))
     failed = F.coalesce(
         F.when(redirected, http.redirect_error(F.col("location"))),
         F.when(redirected & ((F.col("hops") >= max_redirects) | endless), "MaxRedirectError"),
@@ -97,8 +106,8 @@ def follower(
         F.col("_failed").alias("error_class"),
         F.when(F.col("_failed").isNotNull(), failure_message(F.col("at"), F.col("_failed"), known)).alias("error_message"),
         F.when(F.col("_failed").isNull(), F.col("_target")).alias("_next"),
-        F.array_append("trail", F.col("at")).alias("trail"),
-        *([] if payload is None else [F.when(answered, F.col("payload")).alias("payload")]),
+        F.array_append("trail", F.col("_key")).alias("trail"),
+        F.when(answered, F.col("_capture")).alias("_capture"),
     ]
     target = F.when(redirected, http.redirect_target(F.col("at"), F.col("location")))
     onward = [F.col("url"), F.col("_next").alias("at"), (F.col("hops") + 1).alias("hops"), F.col("trail")]
@@ -112,33 +121,39 @@ def follower(
     ]
 
     def answer(requests: DataFrame, rows: int | None = None) -> DataFrame:
+        asked = rows
         moving = requests.select("url").distinct().select(*first_columns)
         finished = []
         while True:
-            first = not finished
             found = lookup(
-                moving,
+                moving.withColumn("_key", request_key(F.col("at"))),
                 answers,
-                "at",
-                "_answer_url",
+                "_key",
+                "_answer_key",
                 spread=["url"],
                 rows=rows,
-                unique=first,
-                narrow_right=rows is not None or not first or payload is not None,
-                light=payload is None,
+                narrow_right=rows is not None,
+                light=True,
             )
             step, seen = measure(
-                (found if payload is None else payload(found)).withColumn("_outcome", outcome)
+                found.withColumn("_outcome", outcome)
                 .withColumn("_target", target)
                 .withColumn("_failed", failed)
                 .select(*step_columns),
                 "hop",
+                rows=F.count("*"),
                 moving=F.count("_next"),
             )
+            asked = seen["rows"] if asked is None else asked
             finished.append(step.filter(~moves).drop("_next", "trail"))
             rows = seen["moving"]
             if rows == 0:
-                return reduce(DataFrame.unionByName, finished)
+                break
             moving = step.filter(moves).select(*onward)
+        done = reduce(DataFrame.unionByName, finished)
+        if read is None:
+            return done.drop("_capture")
+        payloads = read(done.select("_capture").filter(F.col("_capture").isNotNull()), asked)
+        return lookup(done, payloads.withColumnRenamed("_capture", "_read"), "_capture", "_read", spread=["url"], rows=asked).drop("_capture")
 
     return answer

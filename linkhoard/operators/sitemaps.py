@@ -12,6 +12,7 @@ from ..functions import sitemap as S
 from ..functions import urls as U
 from ..sources.tables import materialize, measure, settle
 from . import robots
+from .captures import Captures
 from .fetch import follow, follower
 from .lookup import lookup
 from .ranking import running_total
@@ -81,7 +82,7 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
         frontier, seen = measure(improved, f"sitemap-level-{len(levels)}", rows=rows_written)
     every = _union(levels or [frontier]).groupBy("root_id", "doc_url").agg(shortest)
     if not documents:
-        documents = [parse_documents(responses.limit(0).withColumnRenamed("url", "doc_url"))]
+        documents = [parse_documents(Captures.of(responses).responses.limit(0).withColumnRenamed("url", "doc_url"))]
     return materialize(every, "sitemap-reached"), _union(documents)
 
 
@@ -188,6 +189,7 @@ def discover(
     ``robots``, ``candidate``, ``self``, ``error``. The answer of robots.txt is final even when its
     sitemaps list nothing.
     """
+    responses = Captures.of(responses)
     normalized, seen = measure(
         sources.select("source_id", U.with_scheme(F.col("source")).alias("source")), "sources", rows=F.count("*")
     )

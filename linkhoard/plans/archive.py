@@ -13,6 +13,7 @@ from ..functions import urls as U
 from ..operators import crawl as C
 from ..operators import robots as R
 from ..operators import sitemaps as S
+from ..operators.captures import Captures
 from ..operators.ranking import limit_per_source
 from ..operators.submit import Adapter, posted, submit, summarize
 from ..sources.tables import materialize
@@ -60,7 +61,7 @@ def _robots_of(
     """robots.txt of every host a crawl may visit: the start hosts and the hosts accepted by the options."""
     starts = sources.select(U.with_scheme(F.col("source")).alias("url"))
     if options.hosts:
-        pages = responses.select("url") if links is None else links.select(F.col("src").alias("url"))
+        pages = Captures.of(responses).responses.select("url") if links is None else links.select(F.col("src").alias("url"))
         starts = starts.unionByName(pages.filter(U.host_matches(U.host(F.col("url")), options.hosts)))
     return R.scan(starts, responses)
 
@@ -69,6 +70,7 @@ def auto_urls(
     sources: DataFrame, responses: DataFrame, options: Options, links: DataFrame | None = None
 ) -> DataFrame:
     """``(source_id, ord, url, via)``: sitemap URLs of a source where there are any, else a crawl."""
+    responses = Captures.of(responses)
     listed, _ = S.discover(sources, responses, max_redirects=options.max_redirects)
     listed = materialize(listed, "discovered")
     rest = sources.join(listed.select("source_id").distinct(), "source_id", "left_anti")
@@ -103,6 +105,8 @@ def archive(
 ) -> Run:
     """Archive every source. Limits are applied before the adapter sees a URL; ``on_results`` sees the results."""
     options = options or Options()
+    if options.strategy in ("auto", "crawl", "sitemap"):
+        responses = Captures.of(responses)
     urls = collect(sources, responses, options, links)
     if options.dedupe:
         urls = urls.groupBy("source_id", "url").agg(F.min("ord").alias("ord")).select("source_id", "ord", "url")

@@ -1,14 +1,17 @@
 """Ranking, lookups, redirects, sitemaps and crawls against brute force."""
 
 import random
+import re
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from linkhoard.functions import urls as U
 from linkhoard.operators import crawl as C
 from linkhoard.operators import sitemaps as S
-from linkhoard.operators.fetch import follow
+from linkhoard.operators.captures import Captures
+from linkhoard.operators.fetch import fetch, follow
 from linkhoard.operators.lookup import lookup
 from linkhoard.operators.ranking import limit_per_source, number_rows, running_total
 from linkhoard.operators.robots import parse
@@ -326,3 +329,76 @@ def test_work_folder_follows_the_session(spark):
 
 def test_small_tables_only_when_bounded():
     assert tables.is_small(10) and not tables.is_small(None) and not tables.is_small(10**9)
+
+
+def _capture_table(spark, rows):
+    schema = "url string, code string, message string, content_type string, location string, body binary, error_class string, error_message string, captured_at int"
+    return spark.createDataFrame([(u, c, None, None, loc, b, e, None, at) for u, c, loc, b, e, at in rows], schema)
+
+
+def test_request_keys(spark):
+    same = {
+        "http://a.example": "http://a.example/",
+        "http://A.Example/": "http://a.example/",
+        "http://user:pw@a.example:80/#top": "http://a.example/",
+        "http://a.example:/": "http://a.example/",
+        "https://a.example:443?q=1#x": "https://a.example/?q=1",
+        "https://a.example:80/B/": "https://a.example:80/B/",
+        "http://a.example/x#y": "http://a.example/x",
+        "HTTPS://a.example/x": "https://a.example/x",
+        "http://[::1]:80/p": "http://[::1]/p",
+        "mailto:a@b": "mailto:a@b",
+        "": "",
+    }
+    df = spark.createDataFrame(list(same.items()), "url string, want string")
+    assert [r for r in df.withColumn("got", U.request_key(F.col("url"))).collect() if r["got"] != r["want"]] == []
+    assert spark.createDataFrame([(None,)], "url string").select(U.request_key(F.col("url"))).first()[0] is None
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_captures_answer_once(spark, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr(tables, "SMALL_ROWS", -1)
+    old, new = b"old", b"new"
+    table = _capture_table(spark, [
+        ("http://a.example", "404", None, old, None, 1), ("http://a.example/#top", "200", None, new, None, 2), ("http://A.example/", "503", None, old, None, None),
+        ("http://b.example/", None, None, None, "SocketError", 5), ("http://b.example", "200", None, new, None, 5),
+        ("http://c.example/x", "301", "/y#part", None, None, 1), ("http://c.example/y", "200", None, new, None, 1), ("http://c.example/y", "200", None, new, None, 1),
+        ("http://d.example/", "302", "#again", None, None, 1), ("http://e.example/", "301", "http://a.example#low", None, None, None),
+    ])
+    asked = ["a.example", "http://a.example/", "http://a.example/#f", "http://b.example", "http://c.example/x#z", "http://d.example", "http://e.example", "http://none.example"]
+    requests = spark.createDataFrame([(u,) for u in asked], "url string")
+    read = follow(requests, table, payload=lambda found: found.withColumn("payload", F.col("body").cast("string")))
+    got = {r.url: (r.code, r.final_url, r.error_class, r.payload) for r in read.collect()}
+    assert len(got) == len(asked) == read.count()
+    assert got["a.example"] == ("200", "http://a.example", None, "new") and got["http://a.example/#f"][3] == "new"
+    assert got["http://b.example"] == ("200", "http://b.example", None, "new")
+    assert got["http://c.example/x#z"] == ("200", "http://c.example/y#part", None, "new")
+    assert got["http://d.example"][2] == "MaxRedirectError" and got["http://none.example"][2] == "ClientError"
+    assert got["http://e.example"] == ("200", "http://a.example#low", None, "new")
+    one = fetch(spark.createDataFrame([("http://A.example#q", 1)], "url string, n int"), table, spread=["n"]).collect()
+    assert [(r.url, r.code) for r in one] == [("http://A.example#q", "200")]
+    assert sorted(r.url for r in Captures.of(table).single().collect()) == ["http://a.example/#top", "http://b.example", "http://c.example/x", "http://c.example/y", "http://d.example/", "http://e.example/"]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_no_plan_shuffles_bodies(spark, tmp_path, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr(tables, "SMALL_ROWS", -1)
+    path = str(tmp_path / "responses")
+    _capture_table(spark, [(f"http://h{k}.example/", "200", None, b"x" * k, None, 1) for k in range(50)]).write.parquet(path)
+    plans = []
+    kept = tables.materialize
+    monkeypatch.setattr(tables, "materialize", lambda df, label: (plans.append(df._jdf.queryExecution().executedPlan().toString()), kept(df, label))[1])
+    monkeypatch.setattr("linkhoard.operators.captures.materialize", tables.materialize)
+    table = spark.read.parquet(path)
+    out = follow(table.select("url"), table, payload=lambda found: found.withColumn("payload", F.length("body")), rows=50)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert out.filter("payload is not null").count() == 50
+    lines = [line for plan in plans for line in plan.splitlines()]
+    assert any("body#" in line for line in lines)
+    # What stands below an exchange in its own stage reads bodies only to take something from them: no projection that feeds one keeps the column.
+    for k, line in enumerate(lines):
+        if "Exchange " in line and "Broadcast" not in line:
+            below = next((x for x in lines[k + 1 :] if "Project [" in x or "Aggregate" in x or "Scan" in x), "")
+            assert not re.search(r"\bbody#\d+(?=[,\]])", below.split("Scan")[0]), line + below
