@@ -13,6 +13,8 @@ Shingles are those of ``simhash``, as XXH64 hashes; similarity is exact on these
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -93,20 +95,26 @@ def _sizes_fit(n: Column, m: Column) -> Column:
     return F.least(n, m) * 5 >= F.greatest(n, m) * 4
 
 
-def similar_links(rows: DataFrame) -> DataFrame:
+def _prefix() -> Column:
+    """The shingles of which similar sets share at least one."""
+    return F.slice("shingles", 1, F.col("n") - F.floor((F.col("n") * 4 + 4) / 5).cast("int") + 1)
+
+
+def similar_links(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Links ``(a, b)`` that connect all nodes of similarity 0.8 or more, and only those.
 
-    ``rows`` are ``(node, n, shingles)``, all shingles in one order; nodes may be repeated. Not every pair is a row.
+    ``rows`` are ``(node, n, shingles)``, all shingles in one order; nodes may be repeated. Not every pair is a row. With ``sets_of``,
+    rows have their ``prefix`` only, and the sets ``(node, n, shingles)`` of the nodes it is given are worked out when they are wanted.
     """
-    prefix = F.slice("shingles", 1, F.col("n") - F.floor((F.col("n") * 4 + 4) / 5).cast("int") + 1)
-    spread = rows.select("node", "n", F.explode(prefix).alias("shingle"))
+    spread = rows.select("node", "n", F.explode("prefix" if sets_of else _prefix()).alias("shingle"))
     least = F.min(F.struct("node", "n")).alias("least")
     shared = spread.groupBy("shingle").agg(least, F.max("node").alias("most")).filter("most > least.node").select("shingle", "least")
     members = materialize(spread.join(shared, "shingle").distinct(), "shared-shingles")
     involved, seen = measure(members.select("node").distinct(), "shingle-nodes", rows=F.count("*"))
     if is_small(seen["rows"]):
         involved = F.broadcast(involved)
-    sets = materialize(rows.select("node", "n", "shingles").join(involved, "node", "left_semi").dropDuplicates(["node"]), "involved-sets")
+    given = sets_of(involved) if sets_of else rows.select("node", "n", "shingles").join(involved, "node", "left_semi")
+    sets = materialize(given.dropDuplicates(["node"]), "involved-sets")
     stars = members.filter((F.col("node") > F.col("least.node")) & _sizes_fit(F.col("n"), F.col("least.n")))
     near = materialize(_similar(stars.select(F.col("node").alias("a"), F.col("least.node").alias("b")).distinct(), sets), "similar-stars")
     roots = components(near)
@@ -129,8 +137,17 @@ def near_copies(docs: DataFrame, words: int = 5) -> DataFrame:
     ``row`` is a hash of the text, which tells texts of one doc_id apart. Rows with a NULL doc_id take part but never
     name a component. Texts without words have no shingles and are left out.
     """
-    rows = materialize(_sets(docs, words, *_common(docs, words)), "shingle-sets")
-    roots = components(similar_links(rows))
+    common = _common(docs, words)
+    rows = materialize(_sets(docs, words, *common).select("doc_id", "row", "node", "n", _prefix().alias("prefix")), "shingle-prefixes")
+
+    def sets_of(involved: DataFrame) -> DataFrame:
+        """The whole sets of few texts: one text for each node."""
+        texts, seen = measure(rows.join(involved, "node", "left_semi").groupBy("node").agg(F.min("row").alias("_row")).select("_row"), "involved-texts", rows=F.count("*"))
+        texts = F.broadcast(texts) if is_small(seen["rows"]) else texts
+        chosen = docs.withColumn("_row", F.xxhash64("text")).join(texts, "_row", "left_semi").select("doc_id", "text")
+        return _sets(chosen, words, *common).select("node", "n", "shingles")
+
+    roots = components(similar_links(rows, sets_of))
     firsts = rows.groupBy("node").agg(F.min("doc_id").alias("first"))
     rooted = materialize(firsts.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "shingle-set-roots")
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
