@@ -34,8 +34,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Fingerprints unite texts that are all but equal; of what they leave, documents that share 0.8 or more of their shingles count as copies, whatever
     the fingerprints say.
     """
-    kept = materialize(simhash.drop_near_duplicates(docs, SHINGLE_WORDS), "unlike-fingerprints")
-    return shingles.drop_near_copies(kept, SHINGLE_WORDS)
+    return shingles.drop_near_copies(simhash.drop_near_duplicates(docs, SHINGLE_WORDS), SHINGLE_WORDS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
