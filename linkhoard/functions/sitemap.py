@@ -101,13 +101,28 @@ def _locations(nodes: Column) -> Column:
     return F.coalesce(F.filter(F.transform(locs, urls.strip), lambda u: u != ""), none)
 
 
+def _dropped_locations(nodes: Column) -> Column:
+    """How many nodes and ``loc`` texts give no location: nodes without a ``loc``, and blank ones."""
+    return F.coalesce(
+        F.aggregate(
+            nodes,
+            F.lit(0).cast("long"),
+            lambda n, node: n
+            + F.when(F.coalesce(F.size(node["loc"]), F.lit(0)) <= 0, 1).otherwise(F.size(F.filter(node["loc"], lambda u: urls.is_blank(u)))),
+        ),
+        F.lit(0).cast("long"),
+    )
+
+
 def plain_lines(content: Column) -> Column:
     """Stripped lines that are http(s) URLs."""
     return F.filter(F.transform(F.split(content, "\n", -1), urls.strip), urls.is_http_url)
 
 
 def document_reader(out: str, body: str = "body") -> Callable[[DataFrame], DataFrame]:
-    """A step that adds ``out``, a ``struct<kind, root_name, page_locs, child_locs>`` read from a body column.
+    """A step that adds ``out``, a ``struct<kind, root_name, page_locs, child_locs, dropped>`` read from a body column.
+
+    ``dropped`` counts the entries of an XML document without a location, and the lines of a text that are neither blank nor URLs.
 
     Text that is not a well-formed XML document is read as one URL per line. The parts are columns
     of their own so that each document is decoded and parsed once.
@@ -127,6 +142,10 @@ def document_reader(out: str, body: str = "body") -> Callable[[DataFrame], DataF
         .otherwise(plain_lines(content))
         .alias("page_locs"),
         F.when(is_index, _locations(xml["sitemap"])).otherwise(none).alias("child_locs"),
+        F.when(is_index, _dropped_locations(xml["sitemap"]))
+        .when(well_formed, _dropped_locations(xml["url"]))
+        .otherwise(F.size(F.filter(F.split(content, "\n", -1), lambda line: ~urls.is_blank(line) & ~urls.is_http_url(urls.strip(line)))).cast("long"))
+        .alias("dropped"),
     )
     checked = root.isNotNull() & xml["_corrupt"].isNull() & _closes_once(content, root)
     parts = {

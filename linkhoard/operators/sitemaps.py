@@ -25,7 +25,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def parse_documents(documents: DataFrame) -> DataFrame:
-    """``(doc_url, kind, root_name, page_locs, child_locs)`` from ``(doc_url, body)``."""
+    """``(doc_url, kind, root_name, page_locs, child_locs, dropped)`` from ``(doc_url, body)``."""
     return S.with_document(documents, "_doc").select("doc_url", "_doc.*")
 
 
@@ -34,7 +34,7 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
 
     ``roots`` is ``(root_id, doc_url)``, with ``root_id`` a ``struct<source_id, root_pos>``, and
     optionally ``doc`` (a parsed document struct) where the body is already at hand. Returns two tables: ``reached(root_id, doc_url, path)`` with every
-    document once per root, and ``documents(doc_url, kind, page_locs, child_locs)``.
+    document once per root, and ``documents(doc_url, kind, page_locs, child_locs, dropped)``.
 
     ``path`` lists the positions of the links from the root. A document that several links lead
     to keeps its smallest path, which is the moment a depth-first walk meets it first: whenever a
@@ -86,6 +86,15 @@ def expand(roots: DataFrame, responses: DataFrame, *, max_redirects: int = 10) -
     return materialize(every, "sitemap-reached"), _union(documents)
 
 
+def dropped_locations(reached: DataFrame, documents: DataFrame) -> DataFrame:
+    """``(source_id, n_documents, n_dropped)``: documents reached, and their entries that gave no location."""
+    counted = documents.select(F.col("doc_url").alias("_read_url"), F.col("dropped"))
+    found = lookup(reached, counted, "doc_url", "_read_url", spread=["root_id"], how="left")
+    return found.groupBy("root_id.source_id").agg(
+        F.count("*").alias("n_documents"), F.coalesce(F.sum("dropped"), F.lit(0)).cast("long").alias("n_dropped")
+    )
+
+
 def ordered_urls(reached: DataFrame, documents: DataFrame) -> DataFrame:
     """``(source_id, ord, url)`` in depth-first document order, ``ord`` dense from 0 per source.
 

@@ -220,6 +220,34 @@ def all_oracles() -> dict[str, str]:
         for i, v in enumerate(values)
     )
     sql["redirect_target"] = _sql(rows, "d_responses")
+    host, rest = "regexp_extract(url, '^https?://([^/?#]+)', 1)", "regexp_extract(split_part(url, '#', 1), '^https?://[^/?#]+(.*)$', 1)"
+    path = f"CASE WHEN {rest} LIKE '/%' THEN {rest} ELSE concat('/', {rest}) END"
+    keys = (
+        f"concat(split_part(url, ':', 1), '://', {host}, {path})",
+        f"concat(split_part(url, ':', 1), '://', {host}, {path})",
+        f"concat('http://', {host}, {path})",
+        f"concat('https://', {host}, {path})",
+        f"concat('https://', {host}, ':80', {path})",
+        f"concat('http://', {host}, '/')",
+        f"concat('http://', {host}, '/?q=1')",
+    )
+    sql["request_key"] = " UNION ALL ".join(f"SELECT page_id, CAST({i} AS BIGINT) AS form, {key} AS key FROM pages" for i, key in enumerate(keys))
+    sql["fetch_captures"] = "SELECT page_id, '200' AS code, CAST(2 AS BIGINT) AS captured_at FROM pages"
+    # The root is one redirect, and n_host mod 12 follow; ten are followed at most.
+    sql["redirect_keys"] = _sql(
+        """SELECT host AS url, CASE WHEN n_host % 12 < 10 THEN concat('http://', host, '/hop0#top') END AS final_url,
+                  CASE WHEN n_host % 12 < 10 THEN '200' END AS code, CAST(least(n_host % 12 + 1, 10) AS BIGINT) AS hops,
+                  CASE WHEN n_host % 12 >= 10 THEN 'MaxRedirectError' END AS error_class
+           FROM d_sources""",
+        "d_sources",
+    )
+    sql["robots_agents"] = """
+        SELECT concat('h', page_id) AS host, kind, replace(agent, '{n}', CAST(page_id AS VARCHAR)) AS agent_pattern, replace(value, '{n}', CAST(page_id AS VARCHAR)) AS value
+        FROM pages, (VALUES ('Disallow', '.*', '^/early'), ('Disallow', '^bot\\-{n}', '^/x{n}'), ('Allow', '^bot\\-{n}', '(?!)'), ('Disallow', '^.*', '^/z'),
+                            ('Crawl-delay', '^bot\\-{n}', '9'), ('Sitemap 0', NULL, 'http://h{n}/1.xml'), ('Sitemap 1', NULL, 'http://h{n}/2.xml')) r(kind, agent, value)"""
+    sql["sitemap_dropped"] = """
+        SELECT page_id AS source_id, CAST(1 AS BIGINT) AS n_documents, CAST(page_id % 4 + 1 AS BIGINT) AS n_dropped, CAST(1 AS BIGINT) AS n_urls FROM pages"""
+    sql["sitemap_bodies"] = "SELECT page_id AS source_id, CAST(0 AS BIGINT) AS ord, url FROM pages"
     sql["redirect_chain"] = _sql(
         """SELECT r.url,
            CASE r.page_id % 20 WHEN 2 THEN n.next_url WHEN 3 THEN r.next_url WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 7 THEN NULL

@@ -230,6 +230,41 @@ def redirect_chain(spark, sf_dir):
     return chains.select("url", "final_url", "code", "hops", "error_class")
 
 
+@query
+def request_key(spark, sf_dir):
+    url = F.col("url")
+    rest = F.regexp_extract(url, r"^https?://[^/?#]+(.*)$", 1)
+    host = U.host(url)
+    forms = _forms(
+        url,
+        F.concat(url, F.lit("#later")),
+        F.concat(F.lit("http://me:secret@"), F.upper(host), F.lit(":80"), rest),
+        F.concat(F.lit("https://"), host, F.lit(":443"), rest),
+        F.concat(F.lit("https://"), host, F.lit(":80"), rest),
+        F.concat(F.lit("http://"), host),
+        F.concat(F.lit("http://"), host, F.lit("?q=1")),
+    )
+    return D.pages(spark, sf_dir).select("page_id", "url").select("page_id", forms).select(
+        "page_id", _form(), U.request_key(F.col("value")).alias("key")
+    )
+
+
+@query
+def fetch_captures(spark, sf_dir):
+    asked = D.pages(spark, sf_dir).select(
+        "page_id", F.concat(F.lit("http://"), U.host(F.col("url")), F.lit("/p"), "page_id", F.lit("#asked")).alias("asked")
+    )
+    answers = FE.fetch(asked, D.twice_recorded(spark, sf_dir), "asked", spread=["page_id"])
+    return answers.select("page_id", "code", F.col("captured_at").cast("long").alias("captured_at"))
+
+
+@query
+def redirect_keys(spark, sf_dir):
+    hosted = D.hosted_pages(spark, sf_dir)
+    chains = FE.follow(hosted.filter("rn = 1").select(F.col("host").alias("url")), T.materialize(D.bare_host_redirects(hosted), "redirects"))
+    return chains.select("url", "final_url", "code", "hops", "error_class")
+
+
 # robots.txt
 
 
@@ -285,6 +320,17 @@ def robots_sitemaps(spark, sf_dir):
     return R.sitemaps(_robots(spark, sf_dir))
 
 
+@query
+def robots_agents(spark, sf_dir):
+    """Rules, the delay that counts, and sitemaps of documents with several agents."""
+    parsed = R.parse(D.agent_documents(spark, sf_dir))
+    none = F.lit(None).cast("string")
+    rules = R.rules(parsed).select("host", F.col("directive").alias("kind"), "agent_pattern", F.col("path_pattern").alias("value"))
+    delays = R.delays(parsed).select("host", F.lit("Crawl-delay").alias("kind"), "agent_pattern", F.col("delay_s").cast("string").alias("value"))
+    listed = R.sitemaps(parsed).select("host", F.concat(F.lit("Sitemap "), "root_pos").alias("kind"), none.alias("agent_pattern"), F.col("sitemap_url").alias("value"))
+    return rules.unionByName(delays).unionByName(listed)
+
+
 @query
 def robots_allowed(spark, sf_dir):
     pages = D.pages(spark, sf_dir).select("page_id", "url")
@@ -599,3 +645,20 @@ def archive_sitemap(spark, sf_dir):
 @query
 def archive_urls(spark, sf_dir):
     return _run(spark, sf_dir, "urls").summary
+
+
+@query
+def sitemap_dropped(spark, sf_dir):
+    """Locations of each source, and the entries of its documents that gave none."""
+    served = D.gapped_sitemaps(spark, sf_dir)
+    empty = [F.lit(None).cast("string").alias(c) for c in ("content_type", "location", "error_class", "error_message")]
+    responses = served.select(F.col("doc_url").alias("url"), F.lit("200").alias("code"), F.lit("OK").alias("message"), "body", *empty)
+    reached, documents = S.expand(S.roots_of(served), responses)
+    listed = S.ordered_urls(reached, documents).groupBy("source_id").agg(F.count("*").alias("n_urls"))
+    return S.dropped_locations(reached, documents).join(listed, "source_id")
+
+
+@query
+def sitemap_bodies(spark, sf_dir):
+    """Sitemaps whose bodies are at hand, without an address of their own."""
+    return S.urls_of_bodies(D.gapped_sitemaps(spark, sf_dir).select("source_id", "body"), D.responses(spark, sf_dir).withColumn("body", F.lit(None).cast("binary")))

@@ -285,3 +285,52 @@ def site_responses(spark: SparkSession, sf_dir: str, hosted: DataFrame) -> DataF
     for part in parts[1:]:
         everything = everything.unionByName(part)
     return everything
+
+
+def twice_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page recorded twice: a 404 first, and later a 200 at the same request, written with another fragment, port and letter case.
+
+    The page number takes the place of the path, so that no two pages are one request.
+    """
+    given = pages(spark, sf_dir).select("page_id", F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("host"))
+    place = F.concat(F.lit("/p"), "page_id")
+    old = given.select(F.concat(F.lit("http://"), "host", place, F.lit("#old")).alias("url"), F.lit("404").alias("code"), F.lit(1).alias("captured_at"))
+    new = given.select(F.concat(F.lit("http://"), F.upper("host"), F.lit(":80"), place).alias("url"), F.lit("200").alias("code"), F.lit(2).alias("captured_at"))
+    empty = [F.lit(None).cast("string").alias(c) for c in ("message", "location", "error_class", "error_message")]
+    return old.unionByName(new).select("*", *empty)
+
+
+def bare_host_redirects(hosted: DataFrame) -> DataFrame:
+    """Responses of hosts: the root sends to ``/start#top``; ``/start`` counts down to itself through ``n_host`` mod 12 redirects."""
+    sites = hosted.filter("rn = 1").select(site(F.col("host")).alias("source"), (F.col("n_host") % 12).alias("n"))
+    root = sites.select(F.concat("source", F.lit("/")).alias("url"), F.lit("301").alias("code"), F.concat(F.lit("/hop"), "n", F.lit("#top")).alias("location"))
+    hop = sites.select("source", F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("k"))
+    hops = hop.select(
+        F.concat("source", F.lit("/hop"), "k").alias("url"),
+        F.when(F.col("k") > 0, "302").otherwise("200").alias("code"),
+        F.when(F.col("k") > 0, F.concat(F.lit("hop"), F.col("k") - 1, F.lit("#top"))).alias("location"),
+    )
+    empty = [F.lit(None).cast("string").alias(c) for c in ("message", "error_class", "error_message")]
+    return root.unionByName(hops).select("*", *empty)
+
+
+AGENT_LINES = (
+    "Disallow: /early", "User-agent: bot-{n}", "Disallow: /x{n}", "Allow:", "Crawl-delay: 7s", "Crawl-delay: 3", "User-agent: *",
+    "Disallow: /z", "User-agent: bot-{n}", "Crawl-delay: 9", "Sitemap: http://h{n}/1.xml", "Sitemap: http://h{n}/2.xml",
+)
+
+
+def agent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(host, text)``: one robots.txt per page with several agents, delays and sitemaps, an empty rule, and a rule before any agent."""
+    number = F.col("page_id").cast("string")
+    return pages(spark, sf_dir).select(
+        F.concat(F.lit("h"), number).alias("host"), F.replace(F.lit("\n".join(AGENT_LINES)), F.lit("{n}"), number).alias("text")
+    )
+
+
+def gapped_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(source_id, doc_url, body)``: one sitemap per page that lists it among ``page_id % 4`` blank locations and one entry without any."""
+    url = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    blank = F.repeat(F.lit("<url><loc> \n </loc></url>"), (F.col("page_id") % 4).cast("int"))
+    body = F.concat(F.lit(f'<urlset xmlns="{SITEMAP_NS}">'), blank, F.lit("<url><loc>"), url, F.lit("</loc></url><url><priority>1</priority></url></urlset>"))
+    return pages(spark, sf_dir).select(F.col("page_id").alias("source_id"), F.concat(F.lit("http://s"), "page_id", F.lit(".example/sitemap.xml")).alias("doc_url"), body.cast("binary").alias("body"))
