@@ -40,19 +40,24 @@ class Captures:
     responses: DataFrame
     chosen: DataFrame
     surplus: int
+    by_text: bool = False
+
+    def key(self, url: Column) -> Column:
+        return url if self.by_text else request_key(url)
 
     @classmethod
-    def of(cls, responses: DataFrame | Captures) -> Captures:
+    def of(cls, responses: DataFrame | Captures, by_text: bool = False) -> Captures:
+        """With ``by_text`` the text of a URL is its key: for tables in which each text was recorded for itself."""
         if isinstance(responses, Captures):
             return responses
         light = [c for c in responses.columns if c not in ("url", BODY)]
         latest = F.col(CAPTURED_AT) if CAPTURED_AT in light else F.lit(0)
         answered = F.col("error_class").isNull() if "error_class" in light else F.lit(True)
         rank = F.struct(latest.alias("_at"), answered.alias("_answered"), _identity(responses).alias("_capture"), *light)
-        best = responses.select(request_key(F.col("url")).alias("_key"), rank.alias("_best")).groupBy("_key")
+        best = responses.select((F.col("url") if by_text else request_key(F.col("url"))).alias("_key"), rank.alias("_best")).groupBy("_key")
         best = best.agg(F.max("_best").alias("_best"), F.count("*").alias("_rows"))
         chosen, seen = measure(best.select("_key", "_rows", "_best._capture", *[f"_best.{c}" for c in light]), "captures", rows=F.count("*"), all=F.sum("_rows"))
-        return cls(responses, chosen.drop("_rows"), (seen["all"] or 0) - seen["rows"])
+        return cls(responses, chosen.drop("_rows"), (seen["all"] or 0) - seen["rows"], by_text)
 
     def single(self) -> DataFrame:
         """The responses that count, with all their columns. Rows that agree in all columns are one."""

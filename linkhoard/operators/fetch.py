@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import http
-from ..functions.urls import is_http_url, request_key, with_scheme
+from ..functions.urls import is_http_url, with_scheme
 from ..sources.tables import measure
 from .captures import Captures
 from .lookup import lookup
@@ -25,8 +25,9 @@ def fetch(
 
     All columns of the responses but ``url`` and ``body`` are added.
     """
-    answers = Captures.of(responses).chosen.drop("_capture").withColumnRenamed("_key", "_answer_key")
-    keyed = requests.withColumn("_key", request_key(F.col(url)))
+    captures = Captures.of(responses)
+    answers = captures.chosen.drop("_capture").withColumnRenamed("_key", "_answer_key")
+    keyed = requests.withColumn("_key", captures.key(F.col(url)))
     return lookup(keyed, answers, "_key", "_answer_key", spread=spread, rows=rows).drop("_key")
 
 
@@ -91,7 +92,7 @@ def follower(
     )
     redirected = F.col("_outcome") == http.FOLLOW
     answered = F.col("_outcome") == http.RESPONSE
-    endless = F.array_contains(F.array_append("trail", F.col("_key")), request_key(F.col("_target")))
+    endless = F.array_contains(F.array_append("trail", F.col("_key")), captures.key(F.col("_target")))
     failed = F.coalesce(
         F.when(redirected, http.redirect_error(F.col("location"))),
         F.when(redirected & ((F.col("hops") >= max_redirects) | endless), "MaxRedirectError"),
@@ -126,7 +127,7 @@ def follower(
         finished = []
         while True:
             found = lookup(
-                moving.withColumn("_key", request_key(F.col("at"))),
+                moving.withColumn("_key", captures.key(F.col("at"))),
                 answers,
                 "_key",
                 "_answer_key",

@@ -13,6 +13,7 @@ from ..functions import http
 from ..functions import urls as U
 from ..schemas import RESULTS
 from ..sources.tables import materialize
+from .captures import Captures
 from .fetch import failure_message, fetch, outcome_of
 
 BatchAdapter = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -30,7 +31,7 @@ class RecordedAdapter:
         answers = self.responses.select(
             "url", "code", "error_class", "error_message", F.lit(True).alias("_recorded")
         )
-        joined = fetch(requests, answers, "_request", spread=["source_id", "ord"])
+        joined = fetch(requests, Captures.of(answers, by_text=True), "_request", spread=["source_id", "ord"])
         known = F.coalesce(F.col("_recorded"), F.lit(False))
         outcome = outcome_of(F.col("_request"), known, follow_redirects=False)
         done = F.col("_outcome") == http.RESPONSE

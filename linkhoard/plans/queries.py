@@ -17,6 +17,7 @@ from ..operators import crawl as C
 from ..operators import fetch as FE
 from ..operators import robots as R
 from ..operators import sitemaps as S
+from ..operators.captures import Captures
 from ..operators.ranking import limit_per_source
 from ..operators.submit import CallableAdapter, RecordedAdapter, posted, submit, summarize
 from ..sources import derived as D
@@ -192,7 +193,7 @@ def fetch_outcome(spark, sf_dir):
 @query
 def fetch_join(spark, sf_dir):
     answers = D.responses(spark, sf_dir).select("url", "code", "location", "error_class")
-    return FE.fetch(D.pages(spark, sf_dir).select("page_id", "url"), answers, spread=["page_id"])
+    return FE.fetch(D.pages(spark, sf_dir).select("page_id", "url"), Captures.of(answers, by_text=True), spread=["page_id"])
 
 
 @query
@@ -226,7 +227,7 @@ def redirect_target(spark, sf_dir):
 @query
 def redirect_chain(spark, sf_dir):
     answers = T.materialize(D.responses(spark, sf_dir), "responses")
-    chains = FE.follow(answers.select("url"), answers)
+    chains = FE.follow(answers.select("url"), Captures.of(answers, by_text=True))
     return chains.select("url", "final_url", "code", "hops", "error_class")
 
 
