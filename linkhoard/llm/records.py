@@ -109,6 +109,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_break = line_break[0] if len(line_break) == 1 else None
         self.known: dict[str, bytes] = {}
 
     _SPLIT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
@@ -117,6 +119,28 @@ class Encoder:
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=f"<u{self.width}").tobytes()
 
+    def _encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of words. Those of letters and digits are encoded as lines of one text, where a line break is always an id of its own."""
+        lines, others = [], []
+        for word in words:
+            as_line = self.line_break is not None and (word[1:] if word[:1] == "\0" else word).isalnum()
+            (lines if as_line else others).append(word)
+        for at in range(0, len(lines), 4096):
+            part = lines[at : at + 4096]
+            text = "\n".join([w[1:] if w[0] == "\0" else " " + w for w in part])
+            (encoded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype=f"<u{self.width}")
+            ends = np.flatnonzero(ids == self.line_break)
+            packed, ends = ids.tobytes(), [*(ends * self.width).tolist(), len(ids) * self.width]
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer joins line breaks with what stands around them")
+            begins = [0, *(end + self.width for end in ends[:-1])]
+            yield from zip(part, [packed[begin:end] for begin, end in zip(begins, ends)])
+        for at in range(0, len(others), 1024):
+            part = others[at : at + 1024]
+            encoded = self.tokenizer.encode_batch_fast([w[1:] if w.startswith("\0") else " " + w for w in part], add_special_tokens=False)
+            yield from ((w, self._pack(e.ids)) for w, e in zip(part, encoded))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [self._words(text) for text in texts]
         found = [list(map(self.known.get, w)) for w in words]
@@ -127,12 +151,9 @@ class Encoder:
                 self.known = {w: f for ws, fs in zip(words, found) for w, f in zip(ws, fs) if f is not None}
             # Punctuation after a letter or digit is split off by the tokenizer too, so a word is encoded once with any ending.
             parts = {w: (w[: len(core)], "\0" + w[len(core) :]) for w in missing if (core := w.rstrip(string.punctuation)) != w and core[-1:].isalnum()}
-            fresh = list(({w for w in missing if w not in parts} | {p for pair in parts.values() for p in pair}) - self.known.keys())
-            for at in range(0, len(fresh), 1024):
-                part = fresh[at : at + 1024]
-                plain = [w[1:] if w.startswith("\0") else " " + w for w in part]
-                encoded = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-                self.known.update((w, self._pack(e.ids)) for w, e in zip(part, encoded))
+            cores = {p for pair in parts.values() for p in pair if p not in self.known}
+            cores.update(w for w in missing if w not in parts)
+            self.known.update(self._encode_words(list(cores)))
             self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
             for ws, fs, places in gaps:
                 for k in places:
