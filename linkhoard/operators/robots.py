@@ -50,14 +50,14 @@ def scan(urls: DataFrame, responses: DataFrame, url: str = "url", *, rows: int |
 
 def parse(documents: DataFrame) -> DataFrame:
     """One row per host: ``(host, rules, delays, others, sitemaps)`` from ``(host, text)``."""
-    entries, agents = F.col("_entries"), F.col("_agents")
+    entries, directives = F.col("_entries"), F.col("_directives")
     return (
         documents.withColumn("_entries", R.entries(F.col("text")))
-        .withColumn("_agents", R.agents(entries))
-        .withColumn("_delays", R.delays(entries, agents))
+        .withColumn("_directives", R.directives(entries))
+        .withColumn("_delays", R.delays(directives))
         .select(
             "host",
-            R.rules(entries, agents).alias("rules"),
+            R.rules(directives).alias("rules"),
             R.last_per_agent(F.col("_delays")).alias("delays"),
             R.others(entries).alias("others"),
             R.sitemaps(entries).alias("sitemaps"),

@@ -103,3 +103,14 @@ def test_schedule(spark, plans):
     parsed = R.parse(documents(spark, "User-agent: link*\nCrawl-delay: 4\nUser-agent: other\nCrawl-delay: 9\n", ""))
     got = {r.ord: r.start_s for r in R.schedule(urls, parsed, "linkhoard/0.1").collect()}
     assert got == {i: 4 * (i // 2) if i % 2 == 0 else 0 for i in range(10)}
+
+
+def test_long_documents(spark):
+    n = 5_000
+    many = "".join(f"User-agent: a{i}\nDisallow: /{i}\nCrawl-delay: {i}\n" for i in range(n))
+    again = "Allow: /first\n" + "User-agent: b\nCrawl-delay: 1\nUser-agent: c\nCrawl-delay: 2\n" * n + "User-agent: b\nUser-agent: d"
+    parsed = R.parse(documents(spark, many, again, ""))
+    rules = {(r.host, r.line_no): r.agent_pattern for r in R.rules(parsed).collect()}
+    assert rules == {("h0", 3 * i + 2): f"^a{i}" for i in range(n)} | {("h1", 1): ".*"}
+    delays = [tuple(r) for r in R.delays(parsed).collect()]
+    assert delays == [("h0", f"^a{i}", i) for i in range(n)] + [("h1", "^b", 1), ("h1", "^c", 2)]
