@@ -12,6 +12,11 @@ from ..operators.submit import Adapter, as_adapter
 from ..schemas import RESULTS
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_KEYS = ["source_id", "ord"]
+
+
 def submit_stream(
     urls: DataFrame,
     adapter: Adapter,
@@ -23,37 +28,39 @@ def submit_stream(
 ) -> StreamingQuery:
     """Start a query that submits a stream of ``(source_id, ord, url)``.
 
-    Every micro-batch drops the keys recorded before, by a try of its own included, submits the rest and
-    appends to its folder ``batch=<id>``; a batch tried again therefore submits only what has no
-    result yet. Keys must not be NULL. ``on_batch`` sees the written results of a batch, errored ones included.
+    The keys seen are kept as keyed state beside the checkpoint, on disk and partitioned by key, so a micro-batch costs what its own
+    rows cost, however many results there are. It appends to its folder ``batch=<id>``; a batch tried again reads that folder alone
+    and submits only what has no result yet. Keys must not be NULL. The checkpoint knows which keys were submitted: a new checkpoint needs a new
+    folder of results, and one that holds results is refused. ``on_batch`` sees the written results of a batch, errored ones included.
     """
     send = as_adapter(adapter)
+    missing = F.raise_error(F.lit("source_id and ord of a stream of URLs must not be NULL"))
+    keyed = urls.withColumns({k: F.coalesce(k, missing.cast(urls.schema[k].dataType)) for k in _KEYS})
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = f"{results_path}/batch={batch_id}"
-        missing = F.raise_error(F.lit("source_id and ord of a stream of URLs must not be NULL"))
-        keyed = batch.withColumns({k: F.coalesce(k, missing.cast(batch.schema[k].dataType)) for k in ("source_id", "ord")})
-        new = keyed.dropDuplicates(["source_id", "ord"])
-        if _holds_rows(spark, results_path):
-            recorded = recorded_results(spark, results_path)
-            new = new.join(recorded.select("source_id", "ord"), ["source_id", "ord"], "left_anti")
-        send(new).write.mode("append").parquet(target)
+        spark.createDataFrame([], RESULTS).write.mode("append").parquet(target)  # so that a first try has a folder to read
+        if batch_id == 0 and not recorded_results(spark, results_path).filter("batch <> 0").isEmpty():
+            raise ValueError(f"{results_path} holds results of another checkpoint")
+        tried = spark.read.schema(RESULTS).parquet(target).select(_KEYS)
+        send(batch.join(tried, _KEYS, "left_anti")).write.mode("append").parquet(target)
         if on_batch is not None:
             on_batch(spark.read.schema(RESULTS).parquet(target), batch_id)
 
-    return (
-        urls.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
-
-
-def _holds_rows(spark: SparkSession, path: str) -> bool:
-    """True if the folder of results exists, in whatever file system."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    spark = urls.sparkSession
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ON_DISK)
+    try:  # a query takes the settings it is started with
+        return (
+            keyed.dropDuplicates(_KEYS)
+            .writeStream.foreachBatch(run)
+            .option("checkpointLocation", checkpoint_path)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+    finally:
+        spark.conf.set(_PROVIDER, before)
 
 
 def recorded_results(spark: SparkSession, results_path: str) -> DataFrame:

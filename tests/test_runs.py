@@ -108,6 +108,33 @@ def test_stream_records_each_key_once(spark, tmp_path):
     assert rows == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c")]
     assert seen == [(0, 2), (1, 1)]
     assert len(list(calls.iterdir())) == 3
+    add((1, 2, "c"), (2, 0, "d"), (1, 0, "a"))
+    run()
+    assert seen[2:] == [(2, 1)] and len(list(calls.iterdir())) == 4
+
+
+def test_stream_tries_again_what_has_no_result(spark, tmp_path):
+    source, out, calls = tmp_path / "in", tmp_path / "out", tmp_path / "calls"
+    calls.mkdir()
+    adapter = CallableAdapter(answering(str(calls)), concurrency=1)
+    spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (1, 2, "c")], URLS).write.parquet(str(source))
+
+    def run(checkpoint, on_batch=None):
+        stream = spark.readStream.schema(URLS).parquet(str(source))
+        submit_stream(stream, adapter, str(out), str(tmp_path / checkpoint), on_batch=on_batch).awaitTermination()
+
+    def fail(results, batch_id):
+        raise RuntimeError("lost after the results were written")
+
+    with pytest.raises(Exception, match="lost after"):
+        run("ck", fail)
+    run("ck")  # the batch is tried again and finds its results
+    assert len(list(calls.iterdir())) == 3 and recorded_results(spark, str(out)).count() == 3
+    spark.createDataFrame([(1, 0, "a"), (1, 3, "d")], URLS).write.mode("append").parquet(str(source))
+    run("ck")
+    assert len(list(calls.iterdir())) == 4
+    with pytest.raises(Exception, match="another checkpoint"):
+        run("other")
 
 
 @pytest.fixture
