@@ -144,7 +144,7 @@ def sitemap_documents(hosted: DataFrame) -> DataFrame:
 
     The pages of a host are cut into leaves, leaves into indexes, and so on up to
     ``/sitemap.xml``; every index names its first child twice. Leaves are plain XML, zipped XML or
-    text lines in turn.
+    text lines in turn; some XML documents are in UTF-16 or declare ISO-8859-1.
     """
     fan = 1 << FAN_BITS
     z = F.col("rn") - 1
@@ -187,9 +187,15 @@ def sitemap_documents(hosted: DataFrame) -> DataFrame:
     )
     escaped = F.transform("_entries", lambda u: F.replace(u, F.lit("&"), F.lit("&amp;")))
 
+    turn = (F.col("source_id") + F.col("number") + F.col("level")) % 5
+    plain_ascii = ~F.exists(escaped, lambda u: u.rlike(r"[^\x00-\x7F]"))
+    encoding = F.when(turn == 3, "UTF-16").when((turn == 4) & plain_ascii, "ISO-8859-1").otherwise("UTF-8")
+
     def xml(root: str, item: str) -> Column:
         return F.concat(
-            F.lit(f'<?xml version="1.0" encoding="UTF-8"?>\n<{root} xmlns="{SITEMAP_NS}">\n'),
+            F.lit('<?xml version="1.0" encoding="'),
+            encoding,
+            F.lit(f'"?>\n<{root} xmlns="{SITEMAP_NS}">\n'),
             F.array_join(
                 F.transform(escaped, lambda u: F.concat(F.lit(f"  <{item}><loc>"), u, F.lit(f"</loc></{item}>"))), "\n"
             ),
@@ -212,7 +218,7 @@ def sitemap_documents(hosted: DataFrame) -> DataFrame:
         F.col("level").cast("long").alias("level"),
         "number",
         _document_url(F.col("source"), F.col("level"), F.col("top"), F.col("number")).alias("doc_url"),
-        text.cast("binary").alias("_raw"),
+        F.when((encoding == "UTF-16") & text.startswith("<?xml"), F.encode(text, "UTF-16")).otherwise(text.cast("binary")).alias("_raw"),
         zipped.alias("_zipped"),
     ).select(
         "source_id",

@@ -1,8 +1,8 @@
 """Column functions, each over a table of cases."""
 
+import gzip
 import re
 import zlib
-import gzip
 from urllib.parse import urljoin
 
 import pytest
@@ -169,3 +169,26 @@ def test_links(spark):
 @pytest.mark.parametrize("text", ["<a " * 20_000, "<a x" + "y" * 300_000, "<!--" * 50_000, '<a href="' + "x" * 300_000])
 def test_links_of_broken_pages(spark, text):
     assert evaluate(spark, [(text,)], "v string", html.links(F.lit("http://h/"), F.col("v")).alias("out"))[0][0] == []
+
+
+def test_sitemap_encodings(spark):
+    def body(declared, codec, loc="http://a/é"):
+        return f'<?xml version="1.0"{declared}?><urlset><url><loc>{loc}</loc></url></urlset>'.encode(codec)
+
+    read = [
+        body("", "utf-8"), body(' encoding="UTF-8"', "utf-8-sig"), body(" encoding='ISO-8859-1'", "latin-1"), body(' encoding="windows-1252"', "cp1252"),
+        body(' encoding="UTF-16"', "utf-16"), body("", "utf-16-le"), body(' encoding="utf-16"', "utf-16-be"), body("", "utf-32"),
+        gzip.compress(body(' encoding="latin1"', "latin-1")), body(' encoding="UTF-16"', "utf-8"), body(' encoding="ISO-8859-1"', "utf-8-sig"),
+    ]
+    unread = [body(' encoding="no-such"', "utf-8"), b"\xff\xfe\x00", body(' encoding="hex"', "utf-8"), body(' encoding="ascii-8"', "utf-8"), b"\xfe\xff\xd8\x00"]
+    empty = [None, b"", gzip.compress(b"")]
+    lines = "http://a/1\nhttp://a/2".encode("utf-16")  # a text of lines, which takes ASCII URLs only
+    rows = spark.createDataFrame(list(enumerate([*read, *unread, *empty, lines])), "i int, body binary")
+    got = {r.i: r.d for r in S.with_document(rows, "d").collect()}
+    for i in range(len(read)):
+        assert (got[i].page_locs, got[i].dropped) == (["http://a/é"], 0), read[i]
+    for i in range(len(read), len(read + unread)):
+        assert (got[i].kind, got[i].page_locs, got[i].dropped) == ("plain", [], 1), unread[i - len(read)]
+    assert got.pop(len(got) - 1).page_locs == ["http://a/1", "http://a/2"]
+    for i in range(len(read + unread), len(got)):
+        assert (got[i].page_locs, got[i].dropped) == ([], 0)
