@@ -14,6 +14,7 @@ from ..config import NO_LIMIT, check_limit
 from ..functions import html, http
 from ..functions import urls as U
 from ..sources.tables import is_small, materialize, measure, settle
+from . import hosts as host_rules
 from . import robots as robots_ops
 from .captures import Captures
 from .lookup import lookup
@@ -111,14 +112,19 @@ def crawl(
 ) -> DataFrame:
     """Visit pages level by level from each ``(source_id, source)``: ``(source_id, ord, depth, url)``.
 
-    Every source has its own history. A link is followed when its host is the start host or matches ``hosts``; with ``rules``
-    (parsed robots.txt per host) also only when allowed. ``limit`` bounds the pages visited per source.
+    Every source has its own history. A link is followed when its host is the start host or matches ``hosts`` or, if ``sources`` has an array
+    column ``hosts``, a rule of its source there (``operators.hosts``); with ``rules`` (parsed robots.txt per host) also only when
+    allowed. ``limit`` bounds the pages visited per source; a column ``url_limit`` of ``sources`` tells single sources theirs (NULL: ``limit``).
 
     Order is breadth first: by depth, then by the parent's position, then by the place of the link.
     One level is a join to the pages that can be visited, and one to their links; the loop ends when
     no source finds a new page. The history is an append-only list of level tables.
     """
     limit = check_limit(limit)
+    own_hosts = host_rules.index(sources) if "hosts" in sources.columns else None
+    own_limits = "url_limit" in sources.columns
+    # What all rows of a source share and offers hand on.
+    shared = {"start_host": "string"} | ({"most": "long"} if own_limits else {})
     start = U.with_scheme(F.col("source"))
     zero = F.lit(0).cast("long")
     found, seen = measure(
@@ -126,6 +132,7 @@ def crawl(
             "source_id",
             start.alias("url"),
             U.host(start).alias("start_host"),
+            *([F.coalesce(F.col("url_limit").cast("long"), F.lit(limit).cast("long")).alias("most")] if own_limits else []),
             zero.alias("base"),
             (zero - 1).alias("parent"),
             zero.alias("pos"),
@@ -138,21 +145,23 @@ def crawl(
     level_columns = [
         F.col("source_id"),
         F.col("url"),
-        F.col("start_host"),
+        *map(F.col, shared),
         ord_.alias("ord"),
         (F.col("base") + F.col("_level_total")).alias("base"),
         F.col("n_links"),
         F.col("parts"),
     ]
-    within_limit = F.lit(True) if limit == NO_LIMIT else F.col("ord") < limit
-    goes_on = F.lit(True) if limit == NO_LIMIT else F.col("base") < limit
+    unlimited = limit == NO_LIMIT and not own_limits
+    most = F.col("most") if own_limits else F.lit(limit)
+    within_limit = F.lit(True) if unlimited else (most == NO_LIMIT) | (F.col("ord") < most)
+    goes_on = F.lit(True) if unlimited else (most == NO_LIMIT) | (F.col("base") < most)
     dst_host = U.host(F.col("link.dst"))
     accepted = (dst_host == F.col("start_host")) | U.host_matches(dst_host, tuple(hosts))
     # Offers and history meet in one aggregation: a page is new if no row of the history is there.
     offer_columns = [
         F.col("source_id"),
         F.col("link.dst").alias("url"),
-        F.col("start_host"),
+        *map(F.col, shared),
         F.col("base"),
         F.struct(F.col("ord").alias("parent"), F.col("link.pos").alias("pos")).alias("_from"),
         F.lit(False).alias("_seen"),
@@ -160,13 +169,13 @@ def crawl(
     seen_columns = [
         F.col("source_id"),
         F.col("url"),
-        F.lit(None).cast("string").alias("start_host"),
+        *[F.lit(None).cast(kind).alias(name) for name, kind in shared.items()],
         F.lit(None).cast("long").alias("base"),
         F.lit(None).cast("struct<parent:bigint,pos:bigint>").alias("_from"),
         F.lit(True).alias("_seen"),
     ]
     first_offer = [
-        F.max("start_host").alias("start_host"),
+        *[F.max(name).alias(name) for name in shared],
         F.max("base").alias("base"),
         F.min("_from").alias("_from"),
         F.bool_or("_seen").alias("_seen"),
@@ -179,9 +188,9 @@ def crawl(
     page_part = F.explode(
         F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda piece: _page_part(F.col("url"), piece))
     )
-    onward_columns = [F.col(c) for c in ("source_id", "start_host", "base", "ord")]
+    onward_columns = [F.col(c) for c in ("source_id", *shared, "base", "ord")]
 
-    rows = seen["rows"] if limit != 0 else 0
+    rows = seen["rows"] if own_limits or limit != 0 else 0
     visited = 0
     levels: list[DataFrame] = []
     while rows:
@@ -229,10 +238,15 @@ def crawl(
                 narrow_right=True,
             )
             .select(*onward_columns, F.explode("links").alias("link"))
-            .filter(accepted)
-            .select(*offer_columns)
         )
         rows = None if seen["unknown"] else seen["offers"]
+        if own_hosts is None:
+            onward = onward.filter(accepted)
+        else:
+            onward = host_rules.keep_accepted(
+                onward, F.col("link.dst"), accepted, own_hosts, spread=[F.col("ord"), F.col("link.pos")], rows=rows
+            )
+        onward = onward.select(*offer_columns)
         history = reduce(DataFrame.unionByName, [x.select(*seen_columns) for x in levels])
         if is_small(rows) and not is_small(visited):
             # Few offers, long history: read the history without a shuffle.
@@ -242,7 +256,7 @@ def crawl(
             .groupBy("source_id", "url")
             .agg(*first_offer)
             .filter(~F.col("_seen"))
-            .select("source_id", "url", "start_host", "base", "_from.parent", "_from.pos")
+            .select("source_id", "url", *shared, "base", "_from.parent", "_from.pos")
         )
         if not is_small(rows):
             found, seen = measure(found, f"crawl-found-{len(levels)}", rows=F.count("*"))

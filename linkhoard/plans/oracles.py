@@ -434,4 +434,30 @@ def all_oracles() -> dict[str, str]:
         "d_pages",
         "d_saved",
     )
+    sql["archive_rules"] = _sql(
+        rf"""r_zero AS (SELECT host AS zero, url AS first_url FROM d_pages WHERE page_id = 0),
+           r_sites AS (
+             SELECT s.*, zero, source_id % 7 AS how, (source_id % 7 = 5 AND k IN (0, 1, 4)) OR source_id % 7 = 4 AS by_sitemap,
+                    host <> zero AND CASE source_id % 7 WHEN 2 THEN regexp_matches(zero, '\.example\.net$')
+                      WHEN 3 THEN regexp_matches(zero, '^[a-z]+.*\.com$') ELSE true END AS abroad,
+                    CASE source_id % 4 WHEN 0 THEN {RUN_LIMIT} WHEN 1 THEN 1000000000 WHEN 2 THEN 3 ELSE 0 END AS most
+             FROM d_sources s LEFT JOIN r_zero ON true),
+           r_crawled AS (
+             SELECT source_id, most, 0 AS depth, false AS away, 0 AS rn, source AS url FROM r_sites WHERE how <> 6 AND how <> 4 AND NOT by_sitemap
+             UNION ALL
+             SELECT s.source_id, most, 1 + floor(log2(p.rn)), false, p.rn, p.url FROM r_sites s JOIN d_pages p USING (host)
+             WHERE how <> 6 AND NOT by_sitemap
+             UNION ALL
+             SELECT s.source_id, most, 2 + floor(log2(p.rn)), true, p.rn, p.url FROM r_sites s JOIN d_pages p ON p.host = s.zero
+             WHERE how <> 6 AND NOT by_sitemap AND abroad),
+           r_urls AS (
+             SELECT source_id, most, row_number() OVER (PARTITION BY source_id ORDER BY depth, away, rn) - 1 AS ord, url FROM r_crawled
+             UNION ALL
+             SELECT s.source_id, most, p.rn - 1, p.url FROM r_sites s JOIN d_pages p USING (host) WHERE by_sitemap AND k IN (0, 1, 4)
+             UNION ALL
+             SELECT source_id, most, 0, source FROM r_sites WHERE how = 6)
+           {_RUN.format(urls="(SELECT * FROM r_urls WHERE ord < most)")}""",
+        "d_sources",
+        "d_saved",
+    )
     return sql

@@ -650,6 +650,29 @@ def archive_urls(spark, sf_dir):
     return _run(spark, sf_dir, "urls").summary
 
 
+@query
+def archive_rules(spark, sf_dir):
+    """One run in which sources differ in strategy, hosts to visit and limit; every site links to that of page 0."""
+    hosted, sites, site = _sites(spark, sf_dir)
+    zero = hosted.filter("page_id = 0").select("host").scalar()
+    how = F.col("source_id") % 7
+    rules = (
+        F.when(how.isin(0, 5), F.array(zero, F.lit(" ")))
+        .when(how == 1, F.array(F.concat(F.lit("."), F.substring_index(zero, ".", -2))))
+        .when(how == 2, F.array(F.lit(r"/^x/"), F.lit(r"/\.example\.net$/")))
+        .when(how == 3, F.array(F.lit(r"/^[a-z]+.*\.com$/"), F.lit(None)))
+    )
+    sites = sites.select(
+        "source_id",
+        F.when(how == 4, F.concat("source", F.lit("/sitemap.xml"))).otherwise(F.col("source")).alias("source"),
+        F.when(how < 4, "crawl").when(how == 4, "sitemap").when(how == 6, "url").alias("strategy"),
+        rules.alias("hosts"),
+        F.element_at(F.array(F.lit(None), F.lit(-1), F.lit(3), F.lit(0)), (F.col("source_id") % 4 + 1).cast("int")).alias("url_limit"),
+    )
+    saved = D.save_responses(spark, sf_dir).select("url", "code", "error_class", "error_message")
+    return A.archive(sites, site, RecordedAdapter(saved), Options(limit=RUN_LIMIT), _site_links(hosted)).results.select(*_RESULT)
+
+
 @query
 def sitemap_dropped(spark, sf_dir):
     """Locations of each source, and the entries of its documents that gave none."""
