@@ -17,7 +17,7 @@ def test_query_matches_its_sql(spark, key):
     assert difference(all_queries()[key](spark, SF_DIR), SF_DIR, all_oracles()[key]) is None
 
 
-@pytest.mark.parametrize("key", ["limit_per_source", "limit_nulls", "redirect_chain", "crawl_urls", "crawl_bodies"])
+@pytest.mark.parametrize("key", ["limit_per_source", "limit_nulls", "redirect_chain", "crawl_urls", "crawl_bodies", "archive_rules"])
 def test_plans_for_large_tables_give_the_same_rows(spark, key, monkeypatch):
     monkeypatch.setattr(tables, "SMALL_ROWS", -1)
     assert difference(all_queries()[key](spark, SF_DIR), SF_DIR, all_oracles()[key]) is None

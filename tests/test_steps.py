@@ -3,6 +3,7 @@
 import random
 import re
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -327,6 +328,13 @@ def test_work_folder_follows_the_session(spark):
     assert tables.work_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://host:7077", "yarn"])
+def test_a_cluster_must_name_a_shared_folder(master):
+    settings = {"spark.master": master}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.work_folder(SimpleNamespace(conf=settings))
+
+
 def test_small_tables_only_when_bounded():
     assert tables.is_small(10) and not tables.is_small(None) and not tables.is_small(10**9)
 
