@@ -90,9 +90,9 @@ def test_resolve_like_the_standard_library(spark):
 
 
 def test_host_matches(spark):
-    values = ["example.com", "host1.example.com", "other.org", None]
-    rules = ["example.com", re.compile(r"host[\d]+\.example\.com")]
-    assert one(spark, values, lambda c: U.host_matches(c, rules)) == [True, True, False, False]
+    values = ["shop.test", "my.shop.test", "eu-west.mirror.test", "eu-west.mirror.test.evil", "mirror.test", None]
+    rules = ["shop.test", re.compile(r"^[a-z]{2}-\w+\.mirror\.test$")]
+    assert one(spark, values, lambda c: U.host_matches(c, rules)) == [True, False, True, False, False, False]
 
 
 def test_redirect_target(spark):
