@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize, measure
+from ..sources.tables import materialize, measure, passing
 
 MIN_WORDS = 5
 #: Up to so many lines (of 28 bytes) with a possible partner are sent to all tasks instead of moving all texts.
@@ -154,8 +154,9 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     A document that lost lines is dropped as a whole if only blank lines are left. The other columns stay as they are; ``n_chars``, if there is one, is counted
     anew where lines were taken out.
     """
-    hashed = hashed_lines(docs)
-    found = dropped_lines(docs, min_words, lines=hashed).distinct()
+    with passing() as keep:
+        found = materialize(dropped_lines(docs, min_words, lines=hashed_lines(docs)).distinct(), "dropped-lines")
+        keep(found)
     per_doc = found.groupBy("doc_id", "row").agg(F.collect_list("line_no").alias("_dropped"))
     lines = F.split("text", "\n")
     keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_row": F.xxhash64("text")})

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import is_small, materialize, measure
+from ..sources.tables import is_small, materialize, measure, passing
 from .components import components
 
 BITS = 64
@@ -118,9 +118,11 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
 
     Rows without a doc_id can't be told apart and are kept.
     """
-    found = near_duplicates(docs, words)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
-    gone, seen = measure(gone, "near-duplicates", rows=F.count("*"))
+    with passing() as keep:
+        found = near_duplicates(docs, words)
+        gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
+        gone, seen = measure(gone, "near-duplicates", rows=F.count("*"))
+        keep(gone)
     gone = F.broadcast(gone) if is_small(seen["rows"]) else gone
     keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_row": F.xxhash64("text")})
     return keyed.join(gone, ["_id", "_row"], "left_anti").select(docs.columns)

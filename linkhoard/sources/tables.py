@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -35,15 +38,53 @@ def work_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/linkhoard"
 
 
+#: Tables written within the innermost ``passing``, with their paths.
+_PASSING: ContextVar[list[tuple[DataFrame, str]] | None] = ContextVar("passing", default=None)
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the work folder and read it back.
 
     Cuts the lineage of loops, survives lost executors, and, being columnar, later steps read
-    only the columns they need.
+    only the columns they need. The shuffle files of the write go with it, as nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = f"{work_folder(spark)}/{label}-{uuid4().hex}"
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_SHUFFLE_CLEANUP) if before is None else spark.conf.set(_SHUFFLE_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    written = _PASSING.get()
+    if written is not None:
+        written.append((table, path))
+    return table
+
+
+@contextmanager
+def passing() -> Iterator[Callable[[DataFrame], None]]:
+    """Tables materialized within are deleted at the end, except those given to the function that this yields.
+
+    For steps whose lasting result is a small table: nothing that reads the others may leave.
     """
-    path = f"{work_folder(df.sparkSession)}/{label}-{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written: list[tuple[DataFrame, str]] = []
+    kept: list[DataFrame] = []
+    token = _PASSING.set(written)
+    try:
+        yield kept.append
+    finally:
+        _PASSING.reset(token)
+        around = _PASSING.get()
+        for table, path in written:
+            if not any(table is k for k in kept):
+                spark = table.sparkSession
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            elif around is not None:
+                around.append((table, path))
 
 
 def measure(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
