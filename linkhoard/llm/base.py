@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "label", "pick"), min(total, max_rows)
 
 
+#: What a worker keeps from task to task, by name; of one operator at a time.
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """What ``make`` gave when a task of this worker last asked for ``name``, or gives now in place of what was kept before."""
+    if name not in _KEPT:
+        forget()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def forget() -> None:
+    """Let go of what the worker keeps. Operators call it in tasks that keep nothing: in a job of several operators, workers would else hold the models
+    and words of all of them."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 class Known:
     """What is known of words, in two generations: words met again move to the recent one, the others are forgotten.
 

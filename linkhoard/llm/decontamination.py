@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
+from . import base
 
 WINDOW = 10
 BLOCK = 100_000
@@ -48,6 +49,7 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """``(item_id, terms)`` of the windows of all items; item_id as text, terms joined by spaces."""
 
     def run(batches):
+        base.forget()
         for batch in batches:
             ids, found = [], []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
@@ -94,6 +96,7 @@ def index(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     """The postings of the words of ``vocabulary``, a row per document, stored as a table."""
 
     def run(batches):
+        base.forget()
         for batch in batches:
             rows = []
             for text in batch.column("text").cast(pa.binary()).to_pylist():

@@ -314,12 +314,15 @@ def _packed(count: int):
 _NO_IDS = pa.array([], pa.int32())
 
 
-@functools.lru_cache(maxsize=2)
 def _loaded(path: str):
-    import sentencepiece
+    """The model with what it has learnt, and the normaliser. A worker keeps those of the last path until ``base.forget``."""
 
-    normaliser = sentencepiece.SentencePieceProcessor(model_file=path)
-    return Model.load(path), normaliser.normalize
+    def load():
+        import sentencepiece
+
+        return Model.load(path), sentencepiece.SentencePieceProcessor(model_file=path).normalize
+
+    return base.kept(f"pieces {path}", load)
 
 
 def _encoded(path: str, texts: list[str | None]) -> Iterator[list[bytes]]:

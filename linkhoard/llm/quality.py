@@ -125,6 +125,7 @@ def _start(s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _fit(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
     """The parameters of one shard."""
+    base.forget()
     rows = rows.sort_values("pick", kind="stable")
     examples = _examples(rows["text"].tolist(), s.bits)
     vectors, output, bias = _start(s)
@@ -175,6 +176,7 @@ def filter_documents(docs: DataFrame, model: Model, threshold: float) -> DataFra
     at = docs.columns.index("text")
 
     def kept(batches):
+        base.forget()
         for batch in batches:
             texts = batch.column(at).to_pylist()
             values = [score_texts(chunk, bits, effects, shift) for chunk in base.chunks(texts, _CHUNK)]

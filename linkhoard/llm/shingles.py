@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import is_small, materialize, measure, passing
+from . import base
 from .components import components
 from .simhash import SEED
 
@@ -49,6 +50,7 @@ def _sets(docs: DataFrame, words: int, common: np.ndarray, counts: np.ndarray) -
     """``(doc_id, row, node, n, sketch, shingles)`` of every row with words; shingles rare in ``common`` (ascending) and ``counts`` come first."""
 
     def run(batches):
+        base.forget()
         for batch in batches:
             ids, kept, nodes, sizes, sketches, found = [], [], [], [], [], []
             for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()):

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import is_small, materialize, measure, passing
+from . import base
 from .components import components
 
 BITS = 64
@@ -48,6 +49,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """``(doc_id, row, fp)`` of every row, ``fp`` as a signed 64-bit number; ``row`` is a hash of the text, which tells rows of one doc_id apart."""
 
     def run(batches):
+        base.forget()
         for batch in batches:
             texts = batch.column(2).cast(pa.binary()).to_pylist()
             values = np.array([fingerprint(t or b"", words) for t in texts], dtype=np.uint64).view(np.int64)

@@ -1,11 +1,12 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from linkhoard.llm import pieces
+from linkhoard.llm import base, pieces, quality
 from linkhoard.llm.base import tokenizer_file
 
 from .conftest import documents, prose
@@ -78,3 +79,12 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert pieces.encode(documents(spark, {}), PATH).count() == 0
     nulls = documents(spark, {1: "a"}).withColumn("ids", F.lit(None).cast("array<int>"))
     assert pieces.decode(nulls, PATH).first()["text"] == ""
+
+
+def test_workers_keep_the_model_of_one_operator_only():
+    model = pieces._loaded(PATH)
+    assert pieces._loaded(PATH) is model
+    base.kept("another operator", list)
+    assert pieces._loaded(PATH) is not model and len(base._KEPT) == 1
+    quality._fit(pd.DataFrame({"text": ["a b"], "label": [1], "pick": [0]}), quality.Settings())
+    assert not base._KEPT
