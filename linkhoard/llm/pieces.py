@@ -3,7 +3,7 @@
 A text is normalised as the model says (white space becomes the mark U+2581) and cut into marked words, which no
 piece crosses. The distinct marked words of a batch are sorted, which is the depth-first order of their trie: each
 word keeps the forward states of the prefix it shares with the word before and goes on from there. Every distinct
-prefix of a batch is thus worked out once; words seen in earlier batches of a task are looked up.
+prefix of a batch is thus worked out once; words seen in earlier batches are looked up, without the signs at their end.
 
 The forward state after a prefix depends on the kind of model:
 
@@ -21,8 +21,8 @@ from __future__ import annotations
 import functools
 import heapq
 import itertools
-import operator
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -36,8 +36,10 @@ from pyspark.sql import types as T
 from . import base
 
 MARK = "▁"
-_CACHED = 150_000
+_CACHED = 200_000
 _CACHED_PAIRS = 500_000
+#: Signs that often end a word: a word is looked up, and worked out, without them.
+_SIGNS = string.punctuation
 # Fixed values of the model format: kinds of pieces and of models.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
@@ -267,28 +269,26 @@ class Model:
             return [found]
         return [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
 
-    def _cut(self, word: str) -> list[str]:
-        """Parts of a word between characters that stand side by side in no piece: nothing is ever merged across."""
-        whole = list(map(self.joined.__contains__, map(operator.add, word, word[1:])))
-        if False not in whole:
-            return [word]
-        at = [k for k, joined in enumerate(whole, 1) if not joined]
-        return [word[a:b] for a, b in zip([0, *at], [*at, len(word)])]
+    def _cut(self, word: str) -> tuple[str, ...]:
+        """A word without the signs at its end, and these: nothing is ever merged across characters that stand side by side in no piece."""
+        end = len(word.rstrip(_SIGNS))
+        return (word[:end], word[end:]) if 0 < end < len(word) and word[end - 1 : end + 1] not in self.joined else (word,)
 
     def encode(self, normal: list[str]) -> list[bytes]:
         """Ids of normalised texts, packed as 4-byte numbers."""
         words = [self._split(text) for text in normal]
-        self.known.learn({w for ws in words for w in ws}, self._spell_all)
-        packed = [b"".join(map(self.known.recent.__getitem__, ws)) for ws in words]
+        parts = {w: self._cut(w) for w in set(itertools.chain.from_iterable(words))}
+        self.known.learn(set(itertools.chain.from_iterable(parts.values())), self._spell_all)
+        known = self.known.recent
+        spelled = {w: known[ps[0]] if len(ps) == 1 else known[ps[0]] + known[ps[1]] for w, ps in parts.items()}
+        packed = [b"".join(map(spelled.__getitem__, ws)) for ws in words]
         self.known.age()
         return packed if self.bytes else list(map(self._merge_unknown, packed))
 
     def _spell_all(self, words: set[str]) -> Iterator[tuple[str, bytes]]:
-        cut = {w: self._cut(w) for w in words}
-        paths = self._paths(p for ps in cut.values() for p in ps)
-        parts = {path[0]: _packed(len(ids))(*ids) for path in paths if (ids := self._spelled_ids(*path))}
-        for w, ps in cut.items():
-            yield w, parts[w] if len(ps) == 1 else b"".join(map(parts.__getitem__, ps))
+        for word, numbers, lengths in self._paths(words):
+            ids = self._spelled_ids(word, numbers, lengths)
+            yield word, _packed(len(ids))(*ids)
 
     def _merge_unknown(self, packed: bytes) -> bytes:
         """Neighbouring unknown characters are one unknown."""

@@ -81,6 +81,14 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert pieces.decode(nulls, PATH).first()["text"] == ""
 
 
+def test_words_are_worked_out_without_the_signs_at_their_end(library):
+    model, normalise = pieces._loaded(PATH)
+    texts = ["sealword sealword, sealword. sealword!!! (sealword) 'sealword' sealword's", "c# c#, x.y.z... ===, ,,,a #", "…, a…… naïve-, 12,345.67."]
+    ids = [np.frombuffer(p, dtype="<i4").tolist() for p in model.encode(list(map(normalise, texts)))]
+    assert ids == [library.encode(t) for t in texts]
+    assert {w for w in model.known.recent if w.startswith("▁sealword")} == {"▁sealword", "▁sealword's"}
+
+
 def test_workers_keep_the_model_of_one_operator_only():
     model = pieces._loaded(PATH)
     assert pieces._loaded(PATH) is model
