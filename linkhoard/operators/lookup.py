@@ -34,7 +34,9 @@ def lookup(
     The rows of a hot (or NULL) left key are spread over many partitions by a hash of the
     ``spread`` columns, and the matching right row is repeated for each. Hot keys come from a
     frequent-item sketch, which misses none above its threshold and holds at most
-    ``1 / HOT_SHARE`` keys; the join result does not depend on it. The right key column is dropped.
+    ``1 / HOT_SHARE`` keys. Which others it holds depends on the order of rows, so it is worked out once,
+    when the join is stated, and both sides spread the same keys: the join result does not depend on it.
+    The right key column is dropped.
 
     ``rows`` is a known upper bound on the rows of ``left``; when it is small, or the left keys are
     declared ``unique``, no key can be hot and the join is a plain one. ``narrow_right`` first
@@ -56,10 +58,10 @@ def lookup(
         return left.join(right, F.col(left_key) == F.col("_right_key"), how).drop("_right_key")
 
     salts = salt_count(left)
-    hot = left.stat.freqItems([left_key], HOT_SHARE).scalar()
+    hot = [key for key in left.stat.freqItems([left_key], HOT_SHARE).head()[0] if key is not None]
 
     def is_hot(key: Column) -> Column:
-        return F.coalesce(F.array_contains(hot, key), F.lit(False))
+        return F.coalesce(key.isin(hot), F.lit(False))
 
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     copies = F.when(is_hot(F.col("_right_key")), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
