@@ -49,7 +49,7 @@ def test_lookup_loses_no_row_to_the_sketch(own_sketches, how):
     assert sorted((r["id"], -1 if r["v"] is None else r["v"]) for r in rows) == [(i, 2 * i) for i in range(n)]
 
 
-@pytest.mark.parametrize("key", ("archive_sitemap", "archive_urls", "auto", "crawl_polite", "posted", "run_summary"))
+@pytest.mark.parametrize("key", ("archive_run", "archive_sitemap", "archive_urls", "auto", "crawl_polite", "posted", "run_summary"))
 def test_query_does_not_depend_on_the_sketch(own_sketches, monkeypatch, key):
     monkeypatch.setattr(tables, "SMALL_ROWS", -1)
     monkeypatch.setattr(joins, "HOT_SHARE", 0.05)  # a sketch of fewer keys than there are
