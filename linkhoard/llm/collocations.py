@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -139,8 +140,9 @@ class Bitmap:
         bucket, bit = F.bitmap_bucket_number("place"), F.bitmap_bit_position("place")
         found = names.select(place.alias("place")).groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("bitmap"))
         data = np.zeros((1 << bits) // 8, dtype=np.uint8)
-        for number, bitmap in found.collect():  # at most 2 ** 28 bits
-            data[(number - 1) * 4096 : number * 4096] = np.frombuffer(bitmap, dtype=np.uint8)
+        table = found.toArrow()  # at most 2 ** 28 bits
+        for number, bitmap in zip(table.column("bucket").to_pylist(), table.column("bitmap")):
+            data[(number - 1) * 4096 : number * 4096] = np.frombuffer(bitmap.as_buffer(), dtype=np.uint8)
         return Bitmap(bits, data)
 
     def __contains__(self, sym: int) -> bool:
@@ -148,6 +150,26 @@ class Bitmap:
         return bool(self.data[place >> 3] >> (place & 7) & 1)
 
 
+def _most_frequent(often: DataFrame, most: int) -> tuple[np.ndarray, int]:
+    """Names of the ``most`` most frequent words, in falling order, and the number of all words.
+
+    Counts of so many binary digits tell which words can be among them; only those are sorted, and by a task: the driver, which would sort what it
+    collects, gets no more than the result.
+    """
+    sizes = dict(often.groupBy(F.length(F.bin("n"))).count().collect())  # at most 64 rows
+    least, held = 0, 0
+    for digits in sorted(sizes, reverse=True):
+        least, held = 1 << digits - 1, held + sizes[digits]
+        if held >= most:
+            break
+    top = often.filter(F.col("n") >= least).orderBy(F.desc("n"), "sym").limit(most).select("sym").toArrow()
+    return _longs(top, "sym").view(np.uint64), sum(sizes.values())
+
+
+def _longs(table: pa.Table, column: str) -> np.ndarray:
+    return np.asarray(table.column(column).to_numpy(), dtype=np.int64)
+
+
 def _symbols(batches: Iterator[pa.RecordBatch], frequent: Bitmap, seed: int, gathered: int) -> Iterator[np.ndarray]:
     """Names of the words in a row, 0 for a break or a word that isn't frequent."""
     known: dict[str, dict[bytes, int]] = defaultdict(dict)
@@ -235,11 +257,11 @@ def _signed(names: np.ndarray) -> pa.Array:
     return pa.array(names.view(np.int64))
 
 
-def _reported(docs: DataFrame, frequent: Bitmap, seed: int, split: np.ndarray, size: int, share: float) -> DataFrame:
+def _reported(docs: DataFrame, frequent: Broadcast, seed: int, split: np.ndarray, size: int, share: float) -> DataFrame:
     """``(key, n)`` of prefixes of ``size`` words whose first ``size - 1`` are split, as far as they are a ``share`` of the suffixes at hand; stored as a table."""
 
     def run(batches):
-        for symbols in _symbols(batches, frequent, seed, _GATHERED):
+        for symbols in _symbols(batches, frequent.value, seed, _GATHERED):
             names, rows, counts = _suffixes(symbols, size)
             key, length = _prefix_keys(names, rows, split)  # no prefix of this size is split yet
             many = (length == size) & (counts >= share * counts.sum())
@@ -249,25 +271,24 @@ def _reported(docs: DataFrame, frequent: Bitmap, seed: int, split: np.ndarray, s
     return materialize(counted.groupBy("key").agg(F.sum("n").alias("n")), "prefixes")
 
 
-def _split(docs: DataFrame, often: DataFrame, frequent: Bitmap, seed: int, longest: int, budget: int) -> tuple[np.ndarray, DataFrame, int]:
+def _split(docs: DataFrame, often: DataFrame, frequent: Broadcast, seed: int, longest: int, budget: int) -> tuple[np.ndarray, DataFrame, int]:
     """Sorted keys of the split prefixes, ``(key, n)`` of the others as far as known, and the occurrences of the rest."""
-    spark, total = docs.sparkSession, often.agg(F.sum("n").alias("n")).first()["n"] or 0
-    leaves, keys, rest, limit = often.select(F.col("sym").alias("key"), "n"), np.zeros(0, dtype=np.uint64), 0, budget // 2
+    total = often.agg(F.sum("n").alias("n")).first()["n"] or 0
+    prefixes, leaves, keys, rest, limit = often.select(F.col("sym").alias("key"), "n"), None, np.zeros(0, dtype=np.uint64), 0, budget // 2
     for size in range(2, longest + 2):
         # What no task reports of a prefix is less than half a budget, so one that isn't split has at most a whole one. Of each
         # length at most twice all occurrences divided by the budget are split.
-        found = leaves.filter(F.col("n") > limit).select("key", "n").collect()
-        if not found:
+        found = prefixes.filter(F.col("n") > limit).select("key", "n").toArrow()
+        others = prefixes.filter(F.col("n") <= limit)
+        leaves = others if leaves is None else leaves.unionByName(others)
+        if not found.num_rows:
             break
-        fresh = np.array([r["key"] for r in found], dtype=np.int64).view(np.uint64)
-        keys = np.union1d(keys, fresh)
-        rest += sum(r["n"] for r in found)
-        leaves = leaves.join(spark.createDataFrame([(r["key"],) for r in found], "key long"), "key", "left_anti")
+        keys = np.union1d(keys, _longs(found, "key").view(np.uint64))
+        rest += int(_longs(found, "n").sum())
         if size > longest:
             break
-        reported = _reported(docs, frequent, seed, keys, size, limit / total)
-        rest = max(0, rest - (reported.agg(F.sum("n").alias("n")).first()["n"] or 0))
-        leaves = leaves.unionByName(reported)
+        prefixes = _reported(docs, frequent, seed, keys, size, limit / total)
+        rest = max(0, rest - (prefixes.agg(F.sum("n").alias("n")).first()["n"] or 0))
     return keys, leaves, rest
 
 
@@ -277,10 +298,10 @@ def _bounds(leaves: DataFrame, rest: int, budget: int) -> np.ndarray:
     bits = min(20, max(6, (64 * total // budget).bit_length()))
     place = F.shiftrightunsigned("key", 64 - bits)
     weights = np.full(1 << bits, -(-rest >> bits), dtype=np.int64)
-    for at, n in leaves.groupBy(place.alias("at")).agg(F.sum("n").alias("n")).collect():  # at most 2 ** 20 rows
-        weights[at] += n
+    found = leaves.groupBy(place.alias("at")).agg(F.sum("n").alias("n")).toArrow()  # at most 2 ** 20 rows
+    weights[_longs(found, "at")] += _longs(found, "n")
     starts, held = [0], 0
-    for at in np.flatnonzero(weights).tolist():
+    for at in np.flatnonzero(weights):
         if held and held + weights[at] > budget:
             starts.append(at)
             held = 0
@@ -374,14 +395,13 @@ def count_phrases(docs: DataFrame, longest: int = 5, least: int = 100, budget: i
     ``(sym, lang, word, n)`` of all words. Both are stored as tables."""
     counted, seed = _named_words(docs)
     often = counted.filter(F.col("n") >= least)
-    frequent = Bitmap.of(often, often.count())
-    top = often.orderBy(F.desc("n"), "sym").limit(_COMMON).select("sym").collect()
-    common = np.array([r["sym"] for r in top], dtype=np.int64).view(np.uint64)
+    common, rows = _most_frequent(often, _COMMON)
+    frequent = docs.sparkSession.sparkContext.broadcast(Bitmap.of(often, rows))  # one copy for all jobs
     split, leaves, rest = _split(docs, often, frequent, seed, longest, budget)
     bounds = _bounds(leaves, rest, budget)
 
     def spread(batches):
-        for symbols in _symbols(batches, frequent, seed, _GATHERED):
+        for symbols in _symbols(batches, frequent.value, seed, _GATHERED):
             names, rows, counts = _suffixes(symbols, longest)
             numbers = _numbered(names, common)
             key, length = _prefix_keys(names, rows, split)
@@ -405,7 +425,9 @@ def count_phrases(docs: DataFrame, longest: int = 5, least: int = 100, budget: i
         return pa.table({"phrase": pa.array(phrases, pa.list_(pa.int64())), "n": pa.array(totals, pa.int64())})
 
     found = _rows(docs).mapInArrow(spread, "group long, blob binary").groupBy("group").applyInArrow(grow, "phrase array<long>, n long")
-    return materialize(found, "phrases"), counted
+    phrases = materialize(found, "phrases")
+    frequent.destroy()
+    return phrases, counted
 
 
 def score(phrases: DataFrame, counted: DataFrame, factor: int = 1000) -> DataFrame:

@@ -84,3 +84,39 @@ def test_packed_suffixes_come_back(distinct, common):
     blobs = [collocations._packed(names, numbers, len(often), rows[at], counts[at], lengths[at]) for at in (slice(0, 7), slice(7, None))]
     back = collocations._gathered(blobs, often)
     assert (back[0][back[1]] == names[rows]).all() and (back[2] == counts).all() and (back[3] == lengths).all()
+
+
+def test_driver_collects_no_rows_of_words(spark, monkeypatch):
+    """What comes to the driver is packed or of fixed size, and the split prefixes are told apart by their counts, without a join."""
+    frame, split, fetched, plans = type(spark.range(1)), collocations._split, [], []
+
+    def collect(self, plain=frame.collect):
+        rows = plain(self)
+        fetched.append(len(rows))
+        return rows
+
+    def planned(*given):
+        found = split(*given)
+        plans.append((len(found[0]), found[1]._jdf.queryExecution().optimizedPlan().toString()))
+        return found
+
+    rows = [("en", " ".join(f"w{a} w{b} w{a}" for a in range(40) for b in range(20)))] * 2
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    monkeypatch.setattr(frame, "collect", collect)
+    monkeypatch.setattr(collocations, "_split", planned)
+    monkeypatch.setattr(collocations, "_COMMON", 15)
+    phrases, _ = collocations.count_phrases(df, longest=3, least=2, budget=60)
+    assert phrases.count() > 100
+    assert len(plans) == 1 and plans[0][0] > 10 and "Join" not in plans[0][1]
+    assert max(fetched, default=0) <= 10
+
+
+def test_most_frequent_words(spark):
+    rng = random.Random(2)
+    words = [(rng.getrandbits(63) - (1 << 62), rng.choice([1, 2, 3, 4, 5, 8, 9, 1 << 40])) for _ in range(400)]
+    df = spark.createDataFrame(words, "sym long, n long").repartition(5)
+    for most in (1, 60, 61, 399, 400, 1000):
+        names, rows = collocations._most_frequent(df, most)
+        assert rows == 400 and names.view(np.int64).tolist() == [s for s, _ in sorted(words, key=lambda w: (-w[1], w[0]))[:most]]
+    names, rows = collocations._most_frequent(df.limit(0), 10)
+    assert rows == 0 and len(names) == 0 and names.dtype == np.uint64
